@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from pyspark.sql import functions as F
+
+from . import mixing, quality_rules, token_counts
 from .work import table
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_quality_rules(spark, sf_dir):
     return quality_rules.line_first_clean(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules,)}
+def op4_mixing(spark, sf_dir):
+    rows = mixing.mix(table(spark, sf_dir, "documents"), F.array("source"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.Ranks(vocabulary("byte_bpe_50k.tiktoken")))
+
+
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_mixing, op5_token_counts)}
 ORACLE_SQL = {"op3_quality_rules": quality_rules.ORACLE_SQL}
