@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, token_counts
+from . import mixing, quality_rules, token_counts, warc
 from .work import table
 
 
@@ -14,6 +14,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_warc(spark, sf_dir):
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark, sf_dir):
     return quality_rules.line_first_clean(table(spark, sf_dir, "documents"))
 
@@ -27,5 +31,5 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.Ranks(vocabulary("byte_bpe_50k.tiktoken")))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_mixing, op5_token_counts)}
-ORACLE_SQL = {"op3_quality_rules": quality_rules.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_quality_rules, op4_mixing, op5_token_counts)}
+ORACLE_SQL = {"op2_warc": warc.ORACLE_SQL, "op3_quality_rules": quality_rules.ORACLE_SQL}
