@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, token_counts, warc
+from . import mixing, quality_model, quality_rules, token_counts, toxicity, warc
 from .work import table
 
 
@@ -14,6 +14,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def remainder(modulus: int):
+    """crc32 of doc_id as text, modulo."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op1_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_model.classify(docs, labels, "quality", remainder(5) == 0)
+
+
 def op2_warc(spark, sf_dir):
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
@@ -31,5 +41,10 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.Ranks(vocabulary("byte_bpe_50k.tiktoken")))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_quality_rules, op4_mixing, op5_token_counts)}
+def op9_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.classify(docs, labels, "toxic", remainder(4) == 2)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_quality_rules, op4_mixing, op5_token_counts, op9_toxicity)}
 ORACLE_SQL = {"op2_warc": warc.ORACLE_SQL, "op3_quality_rules": quality_rules.ORACLE_SQL}
