@@ -19,9 +19,9 @@ from . import text as X
 #: log2 of the number of coordinates: what is broadcast has at most this many weights.
 BITS = 20
 #: Most labelled documents learned from, those of least hash; documents a shard; passes over a shard.
-SAMPLE, SHARD, PASSES = 16_000, 4_000, 3
+SAMPLE, SHARD, PASSES = 16_000, 4_000, 4
 #: FTRL: rate, its offset, and the two penalties; score from which a document counts as toxic.
-ALPHA, BETA, L1, L2, CUT = 0.2, 1.0, 0.6, 0.5, 0.3
+ALPHA, BETA, L1, L2, CUT = 0.3, 1.0, 3.0, 0.5, 0.3
 #: Lengths in bytes of the word stems that join the whole words.
 STEMS = (4, 5, 6, 7, 8)
 
