@@ -25,25 +25,38 @@ FRAGMENT_WORDS = 3
 LEAST_LEFT = 50
 
 
-def _count(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
-
-
 def _solid(text: Column) -> Column:
     return F.translate(text, BLANKS, "")
 
 
-def line_passes(line: Column) -> Column:
-    """Whether one line with words passes all rules."""
-    solid, low = _solid(line), F.lower(line)
-    chars, last = F.length(solid), F.substring(solid, -1, 1)
-    navigation = _count(solid, "|") * BAR_EVERY >= chars
-    symbols = _count(solid, SYMBOLS) * SYMBOL_EVERY >= chars
-    shouting = _count(solid, "!") * SHOUT_EVERY >= chars
-    fragment = ~last.isin(STOPS) & line.rlike(r"^[ \t-\r]*([^ \t-\r]+[ \t-\r]*){1,%d}$" % (FRAGMENT_WORDS - 1)) & (chars < 40 * FRAGMENT_WORDS)
+def line_facts(text: Column) -> Column:
+    """The lines that hold a word, as structs of what the rules ask: each is worked out once a line."""
+    lines = F.transform(F.split(text, "\n"), lambda x: F.struct(x.alias("line"), _solid(x).alias("solid")))
+    lines = F.filter(lines, lambda x: x["solid"] != "")
+    return F.transform(
+        lines,
+        lambda x: F.struct(
+            x["line"].alias("line"),
+            F.length(x["solid"]).alias("chars"),
+            (F.length(x["solid"]) - F.length(F.translate(x["solid"], SYMBOLS, ""))).alias("symbols"),
+            (F.length(x["solid"]) - F.length(F.replace(x["solid"], F.lit("|")))).alias("bars"),
+            (F.length(x["solid"]) - F.length(F.replace(x["solid"], F.lit("!")))).alias("shouts"),
+            F.substring(x["solid"], -1, 1).alias("last"),
+            F.lower(x["line"]).alias("low"),
+        ),
+    )
+
+
+def passes(x: Column) -> Column:
+    """Whether one line of line_facts passes all rules."""
+    navigation = x["bars"] * BAR_EVERY >= x["chars"]
+    symbols = x["symbols"] * SYMBOL_EVERY >= x["chars"]
+    shouting = x["shouts"] * SHOUT_EVERY >= x["chars"]
+    short = (x["chars"] < 40 * FRAGMENT_WORDS) & ~x["last"].isin(STOPS)
+    fragment = short & x["line"].rlike(r"^[ \t-\r]*([^ \t-\r]+[ \t-\r]*){1,%d}$" % (FRAGMENT_WORDS - 1))
     boilerplate = F.lit(False)
     for phrase in PHRASES:
-        boilerplate = boilerplate | F.contains(low, F.lit(phrase))
+        boilerplate = boilerplate | F.contains(x["low"], F.lit(phrase))
     return ~(navigation | symbols | shouting | fragment | boilerplate)
 
 
@@ -76,11 +89,11 @@ def line_first_clean(docs: DataFrame) -> DataFrame:
     judged inside each text alone, so no row meets another and nothing is shuffled.
     """
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_t"))
+    base = base.withColumn("_trim", F.trim("_t", F.lit(BLANKS)))
     base = base.select(
         "doc_id",
-        "_t",
-        F.filter(F.split("_t", BLANK_RUN), lambda w: w != "").alias("_words"),
-        F.filter(F.split("_t", "\n"), lambda x: F.length(_solid(x)) > 0).alias("_lines"),
+        F.when(F.col("_trim") != "", F.split("_trim", BLANK_RUN)).otherwise(F.array().cast("array<string>")).alias("_words"),
+        line_facts(F.col("_t")).alias("_lines"),
     )
     first, second, third, at = repeated_words("_words")
     out = base.withColumns(first).withColumns(second).withColumns(third).withColumn("_at", at)
@@ -89,15 +102,15 @@ def line_first_clean(docs: DataFrame) -> DataFrame:
     out = out.select(
         "doc_id",
         F.size("_words").cast("long").alias("n_words"),
-        F.length(_solid(F.col("_t"))).cast("long").alias("word_chars"),
-        _count(F.col("_t"), SYMBOLS).cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        total(F.col("_lines.chars")).alias("word_chars"),
+        total(F.col("_lines.symbols")).alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct(F.col("_lines.line")))).cast("long").alias("n_dup_lines"),
         F.coalesce(total(steps), F.lit(0).cast("long")).alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
-        F.filter("_lines", line_passes).alias("_good"),
+        F.filter("_lines", passes).getField("chars").alias("_good"),
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    left = total(F.transform("_good", lambda x: F.length(_solid(x))))
+    left = total(F.col("_good"))
     return out.select(
         "doc_id",
         "n_words",
@@ -114,7 +127,7 @@ def line_first_clean(docs: DataFrame) -> DataFrame:
 
 def cleaned_text(docs: DataFrame) -> DataFrame:
     """docs with the text reduced to its passing lines; blank lines go; a null text stays null."""
-    lines = F.filter(F.split("text", "\n"), lambda x: (F.length(_solid(x)) > 0) & line_passes(x))
+    lines = F.filter(line_facts(F.col("text")), passes).getField("line")
     return docs.withColumn("text", F.array_join(lines, "\n"))
 
 
