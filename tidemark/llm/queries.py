@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, quality_model, quality_rules, token_counts, toxicity, warc
+from . import lm_score, mixing, near_dup, quality_model, quality_rules, substring_dedup, token_counts, toxicity, warc
 from .work import table
 
 
@@ -41,10 +41,22 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.Ranks(vocabulary("byte_bpe_50k.tiktoken")))
 
 
+def op6_lm_score(spark, sf_dir):
+    return lm_score.score(table(spark, sf_dir, "documents"), remainder(7) == 2)
+
+
+def op7_substring_dedup(spark, sf_dir):
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.classify(docs, labels, "toxic", remainder(4) == 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_quality_rules, op4_mixing, op5_token_counts, op9_toxicity)}
-ORACLE_SQL = {"op2_warc": warc.ORACLE_SQL, "op3_quality_rules": quality_rules.ORACLE_SQL}
+def op10_near_dup(spark, sf_dir):
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_quality_rules, op4_mixing, op5_token_counts, op6_lm_score, op7_substring_dedup, op9_toxicity, op10_near_dup)}
+ORACLE_SQL = {"op2_warc": warc.ORACLE_SQL, "op3_quality_rules": quality_rules.ORACLE_SQL, "op7_substring_dedup": substring_dedup.ORACLE_SQL, "op10_near_dup": near_dup.ORACLE_SQL}
