@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import text as X
 from .work import saved
 
-STATISTICS = ["log_words", "symbols", "upper", "bars", "shouts", "digits", "stops", "word_length", "distinct", "top_word", "line_words", "same_lines"]
+STATISTICS = ["_" + k for k in "log_words symbols upper bars shouts digits stops word_length distinct top_word line_words same_lines".split()]
 #: Trees, their depth and bins; strength of the lasso; score from which a document counts as good.
 TREES, DEPTH, BINS, LASSO, CUT = 12, 3, 48, 0.0008, 0.3
 
@@ -33,7 +33,8 @@ def _member(chars: bytes) -> np.ndarray:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and STATISTICS of every row, null texts as empty; read in one pass, nothing shuffled."""
+    """docs and STATISTICS of every row, null texts as empty; read in one pass, nothing shuffled."""
+    own = [c for c in docs.columns if c not in STATISTICS]
     tables = {k: _member(v) for k, v in CLASSES.items()}
     upper_table, newline = _member(bytes(range(65, 91))), 10
 
@@ -73,9 +74,10 @@ def statistics(docs: DataFrame) -> DataFrame:
                         a, b = line_first[i], line_first[i + 1]
                         same[i] = 1 - len(np.unique(key[a:b])) / (b - a)
                 cols |= {"distinct": distinct, "top_word": top, "same_lines": same}
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n)] + [pa.array(cols[k]) for k in STATISTICS], ["doc_id", *STATISTICS])
+                yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)).slice(lo, n) for c in own] + [pa.array(cols[k[1:]]) for k in STATISTICS], [*own, *STATISTICS])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{k} double" for k in STATISTICS))
+    columns = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own] + [f"{k} double" for k in STATISTICS]
+    return docs.select(own).mapInArrow(run, ", ".join(columns))
 
 
 Rule = tuple[tuple[str, bool, float], ...]
@@ -139,6 +141,13 @@ def fit(rows: DataFrame, label: str, seed: int = 7) -> Ensemble:
         rows.unpersist()
 
 
+def learn(docs: DataFrame, labels: DataFrame, label: str, held_out: Column) -> tuple[Ensemble, DataFrame]:
+    """The ensemble, and doc_id, held_out and STATISTICS of every row of docs."""
+    stats = saved(statistics(docs.select("doc_id", "text")).drop("text"), "statistics").withColumn("held_out", held_out)
+    known = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("_label"))
+    return fit(stats.where(~F.col("held_out")).join(known, "doc_id"), "_label"), stats
+
+
 def classify(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, cut: float = CUT) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of docs, then STATISTICS.
 
@@ -147,8 +156,12 @@ def classify(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, c
     documents are never read.  Null or empty texts have all-zero counts and are scored like others;
     a null doc_id is scored, its held_out is null and it is not learned from.  Rows in = rows out.
     """
-    stats = saved(statistics(docs), "statistics").withColumn("held_out", held_out)
-    known = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("_label"))
-    ensemble = fit(stats.where(~F.col("held_out")).join(known, "doc_id"), "_label")
+    ensemble, stats = learn(docs, labels, label, held_out)
     scored = stats.withColumn("score", ensemble.score())
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= cut).cast("int").alias("predicted"), *STATISTICS)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, cut: float = CUT) -> DataFrame:
+    """The rows of docs that classify() predicts as 1, whole and unchanged; nothing is joined back."""
+    ensemble, _ = learn(docs, labels, label, held_out)
+    return statistics(docs).where(ensemble.score() >= cut).select([c for c in docs.columns if c not in STATISTICS])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import lm_score, mixing, near_dup, quality_model, quality_rules, substring_dedup, token_counts, toxicity, warc
+from . import decontaminate, lm_score, mixing, near_dup, quality_model, quality_rules, substring_dedup, token_counts, toxicity, warc
 from .work import table
 
 
@@ -49,6 +49,10 @@ def op7_substring_dedup(spark, sf_dir):
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.classify(docs, labels, "toxic", remainder(4) == 2)
@@ -58,5 +62,5 @@ def op10_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_quality_rules, op4_mixing, op5_token_counts, op6_lm_score, op7_substring_dedup, op9_toxicity, op10_near_dup)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_quality_rules, op4_mixing, op5_token_counts, op6_lm_score, op7_substring_dedup, op8_decontaminate, op9_toxicity, op10_near_dup)}
 ORACLE_SQL = {"op2_warc": warc.ORACLE_SQL, "op3_quality_rules": quality_rules.ORACLE_SQL, "op7_substring_dedup": substring_dedup.ORACLE_SQL, "op10_near_dup": near_dup.ORACLE_SQL}

@@ -170,16 +170,19 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _finish(rows: DataFrame, text_out: bool) -> DataFrame:
-    """doc_id, tag, n_words, n_removed, kept_sha256 and, if asked for, text of rows (doc_id, tag, text, spans)."""
-    schema = "doc_id long, tag int, n_words long, n_removed long, kept_sha256 string" + ", text string" * text_out
+    """Rows (doc_id, text, _spans and others) with the counts, or with text cut down in place."""
+    counts = "n_words long, n_removed long, kept_sha256 string"
+    kept = [c for c in rows.columns if c != "_spans"] if text_out else ["doc_id"]
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ("" if text_out else ", " + counts)
+    names = kept + ([] if text_out else [c.split()[0] for c in counts.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
+            column = lambda part, c: part.column(part.schema.get_field_index(c))
             for lo, hi, data, offs in X.pieces(batch):
                 part, raw = batch.slice(lo, hi - lo), data.tobytes()
                 out, total, removed = [], [], []
-                for i, spans in enumerate(part.column(3)):
+                for i, spans in enumerate(column(part, "_spans")):
                     words = raw[offs[i] : offs[i + 1]].split()
                     total.append(len(words))
                     cut = 0
@@ -193,33 +196,39 @@ def _finish(rows: DataFrame, text_out: bool) -> DataFrame:
                         words = keep + words[at:]
                     removed.append(cut)
                     out.append(b" ".join(words))
-                columns = [part.column(0), part.column(1), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in out])]
-                yield pa.RecordBatch.from_arrays(columns + ([pa.array([x.decode() for x in out])] if text_out else []), names)
+                if text_out:  # texts that lose nothing stay as they are
+                    whole = [t if not n else x.decode() for t, n, x in zip(column(part, "text").to_pylist(), removed, out)]
+                    columns = [column(part, c) if c != "text" else pa.array(whole, pa.string()) for c in kept]
+                else:
+                    columns = [column(part, "doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in out], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.select("doc_id", "tag", "text", "spans").mapInArrow(run, schema)
+    return rows.select(*dict.fromkeys([*kept, "text", "_spans"])).mapInArrow(run, schema)
 
 
 def dedup_substrings(docs: DataFrame, length: int = LENGTH, text_out: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 (and text) of every row.
+    """doc_id, n_words, n_removed, kept_sha256 of every row; or, with text_out, docs with what is kept as text.
 
     A word goes if a window of ``length`` words that covers it also starts in a document with a smaller
-    doc_id; windows are judged on the input.  kept_sha256 is of the kept words joined by one space,
-    and so is text.  Words are compared unchanged.  A null text has no words; a row with a null doc_id
-    neither loses words nor makes others lose them; rows that share a doc_id don't make each other
-    lose words.  Texts shorter than ``length`` words are whole.  Rows in = rows out.
+    doc_id; windows are judged on the input.  kept_sha256 is of the kept words joined by one space, and
+    so is the text of rows that lose words.  Words are compared unchanged.  A null text has no words; a
+    row with a null doc_id neither loses words nor makes others lose them; rows that share a doc_id don't
+    make each other lose words.  Texts shorter than ``length`` words are whole.  Rows in = rows out, and
+    further columns are passed through with text_out, else left out.
 
-    Windows that branch are compared by two 64-bit hashes of their words, nodes and edges by one.
+    Windows where paths branch are compared by two 64-bit hashes of their words, nodes and edges by one.
     """
-    docs = docs.select("doc_id", "text", F.hash("text").alias("tag"))
-    spans = saved(covered(docs, length), "spans")
+    docs = docs.withColumn("_tag", F.hash("text"))
+    spans = saved(covered(docs.select("doc_id", "text", F.col("_tag").alias("tag")), length), "spans")
+    spans = spans.select("doc_id", F.col("tag").alias("_tag"), F.col("spans").alias("_spans"))
     ids = saved(spans.select("doc_id").distinct(), "ids")
     if ids.count() <= BROADCAST_ROWS:
-        hit = docs.join(F.broadcast(ids), "doc_id", "left_semi").join(spans, ["doc_id", "tag"], "left")
-        whole = docs.join(F.broadcast(ids), "doc_id", "left_anti")
-        rows = hit.select("doc_id", "tag", "text", "spans").union(whole.select("doc_id", "tag", "text", F.lit(None).cast(spans.schema["spans"].dataType)))
+        hit = docs.join(F.broadcast(ids), "doc_id", "left_semi").join(spans, ["doc_id", "_tag"], "left")
+        whole = docs.join(F.broadcast(ids), "doc_id", "left_anti").withColumn("_spans", F.lit(None).cast(spans.schema["_spans"].dataType))
+        rows = hit.unionByName(whole)
     else:
-        rows = docs.join(spans, ["doc_id", "tag"], "left")
-    return _finish(rows, text_out).drop("tag")
+        rows = docs.join(spans, ["doc_id", "_tag"], "left")
+    return _finish(rows.drop("_tag"), text_out)
 
 
 ORACLE_SQL = r"""

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: The white space that separates words, as characters and as a Java regular expression.
 BLANKS = " \t\n\x0b\f\r"
@@ -35,3 +36,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Up to so many ids are broadcast to drop rows of a table; more are dropped by a shuffled join.
+BROADCAST_ROWS = 200_000
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id is in ids (doc_id); rows with a null doc_id stay."""
+    ids = saved(ids.select("doc_id").where("doc_id is not null").distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_anti").select(docs.columns)
