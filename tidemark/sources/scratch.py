@@ -8,12 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path below spark.checkpoint.dir; where that is unset, as in tests, below a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="spark-")
+        root = _own[app]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
