@@ -13,12 +13,17 @@ BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = "[ \\t-\\r]+"
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's spark.checkpoint.dir; where it is unset, as in tests, a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="spark-")
+        found = _own[app]
     return found.rstrip("/")
 
 
