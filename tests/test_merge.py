@@ -202,6 +202,16 @@ def test_scalars(spark):
         scalars.with_currency(df, "v", "v", None)
 
 
+def test_tokens_do_not_collide():
+    made = {scalars.unique_token(n) for n in ("a.b", "a_b", "a-b", "A/B")}
+    assert len(made) == 4 and scalars.unique_token("a_b") == "A_B"
+
+
+def test_foreign_source_needs_a_driver(spark):
+    with pytest.raises(Exception):
+        loads.native_source(spark, "jdbc:none:x", "select 1")
+
+
 def test_log_replay_gives_the_mirror(spark):
     none = F.lit(None).cast("timestamp")
     t0 = spark.createDataFrame([], T)

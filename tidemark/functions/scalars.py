@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,6 +115,12 @@ def with_currency(amounts: DataFrame, amount: str, currency: str, decimals: Data
     return rows.withColumn("curr_amount", scaled.cast("decimal(30,5)")).drop("_key", "_dec")
 
 
+def unique_token(name: str) -> str:
+    """A table token for a target name: upper case, other characters as _, and a short hash where any was replaced."""
+    plain = re.sub(r"[^A-Z0-9_]", "_", name.upper())
+    return plain if plain == name.upper() else f"{plain}_{hashlib.sha256(name.upper().encode()).hexdigest()[:6].upper()}"
+
+
 SQL_FUNCTIONS = {
     "alpha_in(v STRING, n INT)": "STRING RETURN CASE WHEN v RLIKE '^[0-9]+$' AND length(v) < n THEN lpad(v, n, '0') ELSE v END",
     "alpha_out(v STRING)": "STRING RETURN CASE WHEN v RLIKE '^[0-9]+$' THEN regexp_replace(v, '^0+(?=.)', '') ELSE v END",

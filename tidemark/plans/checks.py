@@ -12,8 +12,6 @@ from . import scenarios as X
 from .registry import query
 from .syncs import BASE, CDC, COLS, IMAGE, K, UPSERT
 
-NOW = F.timestamp_seconds(F.lit(X.NOW))
-
 
 # -- quality -------------------------------------------------------------------------------------------
 
@@ -161,7 +159,7 @@ def a_counters(spark, d):
 
 
 def _view(spark, d):
-    return metrics.targets(X.registry(spark, d), X.registry_runs(spark, d), X.registry_cdc(spark, d), NOW)
+    return metrics.targets(X.registry(spark, d), X.registry_runs(spark, d), X.registry_cdc(spark, d), F.timestamp_seconds(F.lit(X.NOW)))
 
 
 VIEW = "target, lag_seconds, is_blocked, is_parked, lease_age, is_stale, cdc_status, is_healthy, last_ins, last_upd, last_del"
