@@ -11,6 +11,7 @@ import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 
 from .work import fresh_path, saved
 
-#: Payload bytes of one archive file, about; least bytes of a payload that others may revisit.
-ARCHIVE_BYTES, LEAST_REVISIT = 16 << 20, 1000
+#: Least bytes of a payload that others may revisit.
+LEAST_REVISIT = 1000
 
 # Fixed values of the formats.
 ARC_FIELDS = {
@@ -54,20 +55,17 @@ def arc_record(version: int, name: str, page_id, url: str | None, html: str | No
     return f"{place} 0.0.0.0 {CAPTURE_DATE} text/html{more} {len(block)}\n".encode() + block
 
 
-def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def arc_records(data: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
     """(fields, network response) of every document after the version block."""
-    at, version = 0, None
-    while at < len(data):
-        if data[at : at + 1] in (b"\n", b"\r"):
-            at += 1
+    version = None
+    while line := data.readline():
+        line = line.decode("utf-8").rstrip("\r\n")
+        if not line:
             continue
-        end = data.index(b"\n", at)
-        line = data[at:end].decode("utf-8").rstrip("\r")
         length = int(line.rsplit(" ", 1)[1])
-        block = data[end + 1 : end + 1 + length]
+        block = data.read(length)
         if len(block) < length:
             raise ValueError(f"an archive ends {length - len(block)} bytes early")
-        at = end + 1 + length
         if version is None:
             version = int(block.split(b" ", 1)[0])
             if version not in ARC_FIELDS:
@@ -104,20 +102,18 @@ def warc_record(kind: str, fields: list[tuple[str, str]], block: bytes) -> bytes
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
-def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def warc_records(data: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields by lower-case name, block) of every record."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"a record begins with {lines[0][:20]!r}")
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        length = int(fields["content-length"])
-        block = data[end + 4 : end + 4 + length]
-        if data[end + 4 + length : end + 8 + length] != b"\r\n\r\n":
+    while line := data.readline():
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"a record begins with {line[:20]!r}")
+        fields = {}
+        while (line := data.readline().decode("utf-8").rstrip("\r\n")):
+            name, _, value = line.partition(":")
+            fields[name.strip().lower()] = value.strip()
+        block = data.read(int(fields["content-length"]))
+        if data.read(4) != b"\r\n\r\n":
             raise ValueError("a record does not end where its length says")
-        at = end + 8 + length
         yield fields, block
 
 
@@ -128,23 +124,19 @@ def _archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
 
 
-def _inflated(content: bytes) -> bytes:
-    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+def _inflated(content: pa.Scalar) -> BinaryIO:
+    """An archive as a stream, so that a task holds one record of it at a time."""
+    data = pa.BufferReader(content.as_buffer())
+    return gzip.GzipFile(fileobj=data) if content.as_buffer()[:2].to_pybytes() == b"\x1f\x8b" else data
 
 
 def _write(records: DataFrame, path: str, end: str) -> None:
     records.select(F.col("record").cast("string")).write.option("lineSep", end).option("compression", "gzip").text(path)
 
 
-def _spread(rows: DataFrame, size: str, key: str) -> DataFrame:
-    """rows dealt by key over as many partitions as archives are needed."""
-    total = rows.agg(F.sum(size)).first()[0] or 0
-    return rows.repartition(max(1, -(-int(total) // ARCHIVE_BYTES)), F.xxhash64(key))
-
-
 def write_arc(pages: DataFrame, path: str) -> None:
-    """A folder of .gz ARC archives, versions 1 and 2 in turn, of about ARCHIVE_BYTES of html each."""
-    rows = _spread(pages.select("page_id", "url", "html", F.octet_length("html").alias("_n")), "_n", "page_id").drop("_n")
+    """A folder of .gz ARC archives, versions 1 and 2 in turn, one for each partition that is read."""
+    rows = pages.select("page_id", "url", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -171,7 +163,7 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for fields, block in arc_records(_inflated(content.as_py())):
+                for fields, block in arc_records(_inflated(content)):
                     head, payload, http = http_parts(block)
                     digest = hashlib.sha1(payload).hexdigest()
                     page = http.get("x-page-id")
@@ -188,7 +180,10 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_warc(records: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
-    """A folder of .gz WARC archives: of equal payloads of ``least`` bytes or more only the one with the largest page_id is stored whole."""
+    """A folder of .gz WARC archives, one for each partition of the only exchange of payloads, which is by digest.
+
+    Of equal payloads of ``least`` bytes or more only the one with the largest page_id is stored whole.
+    """
     large = records.where(F.col("payload_bytes") >= least)
     kept = large.groupBy("payload_digest").agg(F.max(F.struct("page_id", "record_id")).alias("_keep"), F.count("*").alias("_n"))
     kept = kept.where("_n > 1").drop("_n")
@@ -196,7 +191,7 @@ def write_warc(records: DataFrame, path: str, least: int = LEAST_REVISIT) -> Non
     later = (F.col("payload_bytes") >= least) & F.col("_keep").isNotNull() & F.coalesce(F.col("page_id") < F.col("_keep.page_id"), F.col("_keep.page_id").isNotNull())
     rows = rows.select("*", F.when(later, F.col("_keep.record_id")).alias("refers_to")).drop("_keep")
     rows = rows.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")))
-    rows = _spread(rows.select("url", "ip", "warc_date", "content_type", "head", "payload", "payload_digest", "payload_bytes", "record_id", "refers_to"), "payload_bytes", "record_id")
+    rows = rows.select("url", "ip", "warc_date", "content_type", "head", "payload", "payload_digest", "payload_bytes", "record_id", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -237,7 +232,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for fields, block in warc_records(_inflated(content.as_py())):
+                for fields, block in warc_records(_inflated(content)):
                     kind = fields["warc-type"]
                     if kind not in ("response", "revisit"):
                         continue
