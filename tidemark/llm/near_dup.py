@@ -22,6 +22,8 @@ from .work import saved
 PERMUTATIONS, ROWS, BITS = 128, 4, 4
 #: Pairs whose estimate is this far below the threshold are dropped: over 6 standard errors of an estimate.
 SLACK = 0.25
+#: A shingle that one in COMMON members of a group has is taken into the group's measure.
+COMMON = 10
 #: Up to so many ids are broadcast to pick rows of a table; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -92,14 +94,28 @@ def _both(pairs: DataFrame, facts: DataFrame, a: str, b: str, columns: dict[str,
     return pairs
 
 
+def _beside(rest: DataFrame, sets: DataFrame, measure: DataFrame, percent: int) -> DataFrame:
+    """Members of groups against a set for each group: how many shingles they lack of it and have beside it.
+
+    beside holds of the latter only as many as a link that needs them must share one of.
+    """
+    rows = rest.join(sets, "key").join(measure, "centre").withColumn("beside", F.array_except("grams", "measure"))
+    rows = rows.withColumns({"n1": F.size("measure").cast("long"), "has": F.size("beside").cast("long")})
+    rows = rows.withColumn("lacks", F.col("n1") - (F.col("n2") - F.col("has")))
+    least = F.greatest(F.lit(1), F.ceil(F.lit(percent / 100) * F.col("n2") - 1e-9) - (F.col("n2") - F.col("has")))
+    rows = rows.withColumn("beside", F.slice(F.sort_array("beside"), 1, F.greatest(F.lit(0), F.col("has") - least + 1).cast("int")))
+    return rows.select("centre", "key", "linked", "members", "n1", "lacks", "has", "beside")
+
+
 def links(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b) of keys: enough of all pairs with 100 * intersection >= percent * union to tell every component.
 
     reps: key, doc_id, n, bands, planes, one row per distinct word sequence.
     Every bucket of two or more has as centre its member with the most company.  Each member is
-    compared with the centre exactly.  Two members x, y of a centre c that are not linked with it
-    both can only be linked if they share words that c lacks, or if the counts of words that they
-    lack of c and have beside c allow it; both kinds are found by equality joins and compared.
+    compared with the centre exactly.  Two members of which one is not linked with the centre can only
+    be linked if they share shingles outside the group's measure (any set will do), or if the counts of
+    shingles that they lack of it and have beside it allow it; both kinds are found by equality joins
+    and compared.
     """
     enough = lambda inter, n1, n2: 100 * inter >= percent * (n1 + n2 - inter)
     alike = lambda n1, n2: 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
@@ -120,16 +136,19 @@ def links(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
     star = _both(star, sets, "centre", "key", {"grams": "g"})
     star = star.withColumn("inter", F.size(F.array_intersect("g1", "g2")))
     star = star.withColumn("linked", enough(F.col("inter"), F.col("n1"), F.col("n2")))
-    # words beside the centre, only as many as a link with another member needs to share one of
-    beside = F.array_except("g2", "g1")
-    least = F.greatest(F.lit(1), F.ceil(F.lit(percent / 100) * F.col("n2") - 1e-9) - F.col("inter"))
-    star = star.withColumn("beside", F.slice(F.sort_array(beside), 1, F.greatest(F.lit(0), F.col("n2") - F.col("inter") - least + 1).cast("int")))
-    star = saved(star.select("centre", "key", "n1", "n2", "inter", "linked", "members", "beside"), "compared")
-    found = star.where("linked").select(F.col("centre").alias("a"), F.col("key").alias("b"))
-    found = saved(found, "found")
-
-    far = star.where("not linked").select("centre").distinct()
-    rest = star.where("members > 1").join(far, "centre", "left_semi").select("centre", "key", "linked", "n1", (F.col("n1") - F.col("inter")).alias("lacks"), (F.col("n2") - F.col("inter")).alias("has"), "beside")
+    star = saved(star.select("centre", "key", "n1", "n2", "inter", "linked", "members"), "compared")
+    found = saved(star.where("linked").select(F.col("centre").alias("a"), F.col("key").alias("b")), "found")
+
+    # Groups with members that are not linked to the centre are measured by the centre's set first, then by that
+    # and the shingles that COMMON of the group have beside it: what an edit took from the centre alone is no news.
+    far = star.where("not linked and members > 1").select("centre").distinct()
+    rest = star.where("members > 1").join(far, "centre", "left_semi").select("centre", "key", "linked", "n2", "members")
+    measure = sets.select(F.col("key").alias("centre"), F.col("grams").alias("measure"))
+    news = saved(_beside(rest, sets, measure, percent).select("centre", "members", F.explode("beside").alias("word")), "news")
+    common = news.groupBy("centre", "word").agg(F.count("*").alias("c"), F.first("members").alias("members")).where((F.col("c") >= 20) & (COMMON * F.col("c") >= F.col("members")))
+    common = common.groupBy("centre").agg(F.collect_set("word").alias("common"))
+    measure = measure.join(common, "centre", "left").select("centre", F.when(F.col("common").isNull(), F.col("measure")).otherwise(F.array_union("measure", "common")).alias("measure"))
+    rest = _beside(rest, sets, measure, percent)
     known = components(found)
     rest = rest.join(known.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     rest = saved(rest, "rest")
