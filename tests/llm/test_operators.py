@@ -302,12 +302,15 @@ def brute_leaks(docs, items, k=5):
     out = {}
     for d, t in docs:
         w = (t or "").lower().split()
+        own = set(grams(w))
         for i, b in words.items():
             if len(b) < k:
                 if any(w[p : p + len(b)] == b for p in range(len(w))):
                     out[d, i] = 1.0
                 continue
             c, best = Counter(grams(b)), 0
+            if not own & c.keys():
+                continue
             for p in range(max(1, len(w) - len(b) + 1)):
                 n = Counter(grams(w[p : p + len(b)]))
                 weigh = lambda g: 1 / df[g] if g in c else 1
