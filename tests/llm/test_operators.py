@@ -338,6 +338,19 @@ def test_leaks(spark, monkeypatch):
     assert decontaminate.leaks(d.limit(0), b).count() == 0 and decontaminate.leaks(d, b.limit(0)).count() == 0
 
 
+def test_leaks_do_not_depend_on_blocks(spark, monkeypatch):
+    # eight items share a passage: its shingles weigh 1/8 in every block, whichever items are handled with it
+    shared = prose(900, 24)
+    items = [(i, shared + " " + prose(700 + i, 22)) for i in range(8)] + [(i, shared.upper() + "  " + prose(700 + i, 22)) for i in range(2)]
+    docs = [(i, prose(i, 30) + " " + prose(800 + i, 12) + " " + " ".join(t.split()[j:])) for i, (j, (_, t)) in enumerate((j, x) for j in (0, 2, 4) for x in items)]
+    want = brute_leaks(docs, items[:8])
+    assert any(v < 1 for v in want.values())
+    for most in (1000, 3):
+        monkeypatch.setattr(decontaminate, "ITEMS", most)
+        rows = decontaminate.leaks(table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+        assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in rows} == want
+
+
 # -- 10: near-duplicates ---------------------------------------------------------------------------------------------
 
 

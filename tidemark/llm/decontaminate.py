@@ -68,12 +68,12 @@ def _block(fp: Column, b: int) -> Column:
     return F.shiftrightunsigned(fp, 8 * b).bitwiseAND(F.lit(0xFF)).cast("int")
 
 
-def _one_block(docs: DataFrame, items: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, item_id, start, similarity of windows of docs near one of at most ITEMS items of k-word shingles."""
-    items = _gram_rows(items, k).where(F.size("grams") > 0).select("item_id", "grams", (F.size("grams") + k - 1).alias("words"))
-    items = items.withColumn("item", F.xxhash64("item_id", "grams"))
+def _one_block(docs: DataFrame, items: DataFrame, spread: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, item_id, start, similarity of windows of docs near one of at most about ITEMS items of k-word shingles.
+
+    items: item, item_id, grams, words; spread: h, df of every shingle of the whole benchmark.
+    """
     counts = items.select("item", F.explode("grams").alias("h")).groupBy("item", "h").agg(F.count("*").alias("c"))
-    spread = counts.groupBy("h").agg(F.count("*").alias("df"))
     weighed = counts.join(spread, "h").groupBy("item").agg(F.collect_list(F.struct("h", (1.0 / F.col("df")).alias("w"), F.col("c").cast("double").alias("c"))).alias("shingles"))
     items = saved(with_fingerprint(items, "grams").join(weighed, "item"), "items")
     lengths = saved(items.select(F.explode("grams").alias("h"), "words").distinct(), "item-grams")
@@ -126,12 +126,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, percent: int
     """
     items = benchmark.select("item_id", "text").dropDuplicates()
     items = items.withColumn("_k", F.least(F.size(_words(F.col("text"))), F.lit(k))).where("_k > 0")
-    groups = {r["_k"]: r["n"] for r in items.groupBy("_k").agg(F.count("*").alias("n")).collect()}
+    groups = [r["_k"] for r in items.select("_k").distinct().collect()]  # at most k
     found = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start int, similarity double")
-    for size, n in sorted(groups.items()):
-        blocks = -(-n // ITEMS)
+    for size in sorted(groups):
+        whole = _gram_rows(items.where(F.col("_k") == size), size).where(F.size("grams") > 0).select("item_id", "grams", (F.size("grams") + size - 1).alias("words"))
+        whole = saved(whole.withColumn("item", F.xxhash64("item_id", "grams")).dropDuplicates(["item"]), "benchmark")
+        # over all items, so that no weight depends on the blocks
+        spread = saved(whole.select(F.explode(F.array_distinct("grams")).alias("h")).groupBy("h").agg(F.count("*").alias("df")), "spread")
+        blocks = max(1, -(-whole.count() // ITEMS))
         for i in range(blocks):
-            block = items.where((F.col("_k") == size) & (F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)).drop("_k")
-            found = found.union(_one_block(docs, block, size, percent))
+            found = found.union(_one_block(docs, whole.where(F.pmod("item", F.lit(blocks)) == i), spread, size, percent))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s")))
     return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", (-F.col("b.s")).alias("start"), F.col("b.similarity").alias("similarity"))
