@@ -190,6 +190,16 @@ def test_token_counts_equal_the_library(spark, odd):
     assert token_counts.token_counts(spark.createDataFrame([], EMPTY), ranks).count() == 0
 
 
+def test_token_counts_of_long_blank_runs(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json"))
+    ranks = token_counts.Ranks(queries.vocabulary("byte_bpe_50k.tiktoken"))
+    texts = [" " * 1_200_000 + "x", "A naïve 😀 text's<|endoftext|>  12 " + "\n" * 1_200_000 + "a b", "short"]
+    got = token_counts.token_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ranks).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
 # -- 6: language model --------------------------------------------------------------------------------------
 
 

@@ -7,6 +7,7 @@ counts are appended to the cache.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -38,13 +39,47 @@ class Ranks:
         return hashlib.sha256(repr((self.pattern, sorted(self.special.items()))).encode() + self.raw).hexdigest()
 
 
+def _merge(token: bytes, ranks: dict[bytes, int]) -> list[bytes]:
+    """The two parts that the merges of lower rank leave of a token."""
+    parts = [token[i : i + 1] for i in range(len(token))]
+    while len(parts) > 2:
+        at = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], len(ranks)))
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return parts
+
+
+def library(ranks: dict[bytes, int], pattern: str, special: dict[str, int]):
+    """The same vocabulary as a tokenizer of the tokenizers library: slower, but without a limit on runs of white space."""
+    from tokenizers import AddedToken, Regex, Tokenizer, models, pre_tokenizers
+
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the library writes these bytes as themselves, the others from 256 on
+    shown = {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}}
+    text = lambda token: "".join(shown[b] for b in token)
+    merges = [tuple(map(text, _merge(t, ranks))) for t in sorted(ranks, key=ranks.get) if len(t) > 1]
+    made = Tokenizer(models.BPE({text(t): i for t, i in ranks.items()} | special, merges))
+    made.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    made.add_special_tokens([AddedToken(s, special=True, normalized=False) for s in special])
+    return made
+
+
 def counter(raw: bytes, pattern: str, special: dict[str, int]):
-    """A function from a text to its number of tokens."""
+    """A function from a text to its number of tokens.
+
+    tiktoken refuses texts with about a million blanks in a row; these are encoded by the tokenizers library.
+    """
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
     made = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: len(made.encode_to_numpy(text, allowed_special="all"))
+    slow = functools.cache(lambda: library(ranks, pattern, special))
+
+    def count(text: str) -> int:
+        try:
+            return len(made.encode_to_numpy(text, allowed_special="all"))
+        except ValueError:
+            return len(slow().encode(text, add_special_tokens=False).ids)
+
+    return count
 
 
 def encode(misses: DataFrame, tokenizer: Ranks) -> DataFrame:
