@@ -139,6 +139,34 @@ def test_portions_hold_every_row_once(spark):
         portions.refuse_overlap(["P"], "p")
 
 
+def greedy(counts, limit):
+    out = []
+    for v, n in sorted(counts.items()):
+        if out and out[-1][2] + n <= limit:
+            out[-1][1:] = [v, out[-1][2] + n]
+        else:
+            out.append([v, v, n])
+    return [(i + 1, *x) for i, x in enumerate(out)]
+
+
+def test_portions_of_many_values_are_exact(spark):
+    df = spark.range(60_000).select(F.explode(F.array_repeat("id", F.expr("if(id % 1000 = 7, 30, 1 + id % 3)").cast("int"))).alias("p"))
+    counts = {i: 30 if i % 1000 == 7 else 1 + i % 3 for i in range(60_000)}
+    for limit in (25, 20_000, 10**9):
+        assert sorted(map(tuple, portions.by_records(df, "p", limit).collect())) == greedy(counts, limit)
+
+
+@pytest.mark.parametrize("kind", ["long", "date", "string"])
+def test_portions_over_many_bins(spark, monkeypatch, kind):
+    monkeypatch.setattr(portions, "VALUES_A_BIN", 6)
+    p = {"long": "id * 3 - 40", "date": "date_add(date'2020-01-01', cast(id as int))", "string": "concat('k', id)"}[kind]
+    df = spark.range(60).select(F.expr(p).alias("p"), F.explode(F.array_repeat(F.lit(1), F.expr("if(id = 31, 90, 1 + id * 7 % 5)").cast("int"))).alias("x"))
+    counts = {r.p: r.n for r in df.groupBy("p").agg(F.count("*").alias("n")).collect()}
+    for limit in (1, 9, 50):
+        assert sorted(map(tuple, portions.by_records(df.select("p"), "p", limit).collect())) == greedy(counts, limit)
+    assert portions.by_records(df.limit(0), "p", 5).count() == 0
+
+
 def test_numbering_over_bins(spark, monkeypatch):
     monkeypatch.setattr(changelog, "ROWS_A_BIN", 100)
     got = changelog.numbered(spark.range(1000).select((F.col("id") * 7 % 1000).alias("k")), ["k"], base=5).orderBy("k").collect()
