@@ -18,11 +18,11 @@ IS_WORD[list(WHITE)] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-#: Bytes of text handled at once inside a task; one longer text is handled alone.
-PIECE = 2 << 20
+#: Bytes of text handled at once inside a task; one longer text is handled alone, its bytes in steps of STEP.
+PIECE, STEP = 1 << 19, 1 << 16
 
 _P, _Q = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-_powers: dict[int, np.ndarray] = {}
+_low: dict[int, np.ndarray] = {}
 
 
 class Words(NamedTuple):
@@ -44,26 +44,50 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 … base ** n modulo 2 ** 64."""
-    got = _powers.get(base)
-    if got is None or len(got) <= n:
-        size = 1 << max(12, int(n + 1).bit_length())
-        got = np.full(size, base, np.uint64)
-        got[0] = 1
-        got = np.cumprod(got, dtype=np.uint64)
-        if size <= 8 << 20:
-            _powers[base] = got
-    return got[: n + 1]
+def powers(base: int, exponents: np.ndarray) -> np.ndarray:
+    """base ** exponents modulo 2 ** 64, from two tables of bounded size."""
+    if base not in _low:
+        table = np.full(STEP, base, np.uint64)
+        table[0] = 1
+        _low[base] = np.cumprod(table, dtype=np.uint64)
+    out = _low[base][exponents & (STEP - 1)]
+    if len(exponents) and exponents[-1] >= STEP:
+        steps = np.full(int(exponents[-1]) // STEP + 1, pow(base, STEP, 1 << 64), np.uint64)
+        steps[0] = 1
+        out *= np.cumprod(steps, dtype=np.uint64)[exponents // STEP]
+    return out
 
 
-def ranged(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: int) -> np.ndarray:
-    """Hash of values[lo:hi] for each pair, the same wherever the values stand."""
-    n = len(values)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * powers(base, n)[:n], out=total[1:])
-    back = powers(pow(base, -1, 1 << 64), n)
-    return mix((total[hi] - total[lo]) * back[lo])
+def ranged(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: int, plus: int = 0) -> np.ndarray:
+    """Hash of values[lo:hi] + plus for each pair, the same wherever the values stand; lo and hi must not fall.
+
+    Sums of values times powers are only kept for STEP values and for the places asked for.
+    """
+    n, scale, carry, whole = len(values), np.ones(1, np.uint64), np.zeros(1, np.uint64), pow(base, STEP, 1 << 64)
+    one = powers(base, np.arange(min(n, STEP)))
+    sums, total = [np.zeros(len(lo), np.uint64), np.zeros(len(hi), np.uint64)], np.empty(STEP + 1, np.uint64)
+    done = [0, 0]
+    for s in range(0, n, STEP):
+        part = values[s : s + STEP].astype(np.uint64)
+        if plus:
+            part += np.uint64(plus)
+        part *= one[: len(part)]
+        if s:
+            part *= scale
+        total[0] = 0
+        np.cumsum(part, out=total[1 : len(part) + 1])
+        total[: len(part) + 1] += carry
+        for k, at in enumerate((lo, hi)):
+            upto = int(np.searchsorted(at, s + len(part), "right"))
+            sums[k][done[k] : upto] = total[at[done[k] : upto] - s]
+            done[k] = upto
+        carry, scale = total[len(part) : len(part) + 1].copy(), scale * np.uint64(whole)
+    out, back = sums[1], pow(base, -1, 1 << 64)
+    out -= sums[0]
+    del sums
+    for s in range(0, len(out), STEP):
+        out[s : s + STEP] = mix(out[s : s + STEP] * powers(back, lo[s : s + STEP]))
+    return out
 
 
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -86,20 +110,31 @@ def split(data: np.ndarray, offs: np.ndarray, lower: bool = False, table: np.nda
     """The words of each text; lower: A-Z become a-z; table: which bytes belong to words."""
     if lower:
         data = LOWER[data]
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = table[data]
-    before, after = inside[:-2].copy(), inside[2:].copy()
-    inner = offs[(offs > 0) & (offs < len(data))]
-    before[inner] = False
-    after[inner - 1] = False
-    here = inside[1:-1]
-    starts, ends = np.flatnonzero(here & ~before), np.flatnonzero(here & ~after) + 1
-    return Words(data, starts, ends, np.searchsorted(starts, offs))
+    cuts = offs[(offs > 0) & (offs < len(data))]
+    starts, ends = [], []
+    before = False
+    for s in range(0, len(data), PIECE):
+        e = min(len(data), s + PIECE)
+        here = np.empty(e - s + 1, bool)  # the byte before, then those of this step
+        here[0] = before
+        here[1:] = table[data[s:e]]
+        before = here[-1]
+        begins, stops = here[1:] & ~here[:-1], here[:-1] & ~here[1:]
+        inner = cuts[np.searchsorted(cuts, s) : np.searchsorted(cuts, e)] - s  # where another text begins
+        stops[inner] |= here[inner]
+        begins[inner] |= here[inner + 1]
+        starts.append(np.flatnonzero(begins) + s)
+        ends.append(np.flatnonzero(stops) + s)
+    if before:
+        ends.append(np.array([len(data)]))
+    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    starts = join(starts)
+    return Words(data, starts, join(ends), np.searchsorted(starts, offs))
 
 
 def word_hashes(w: Words) -> np.ndarray:
     """One 64-bit hash for each word."""
-    return ranged(w.data.astype(np.uint64) + np.uint64(1), w.starts, w.ends, _P)
+    return ranged(w.data, w.starts, w.ends, _P, 1)
 
 
 def gram_hashes(words: np.ndarray, lo: np.ndarray, hi: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -115,8 +150,10 @@ def shingle_ranges(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, n
     counts = np.diff(first)
     runs = np.where(counts >= k, counts - k + 1, (counts > 0).astype(np.int64))
     bounds = np.concatenate([[0], np.cumsum(runs)])
-    lo = np.arange(bounds[-1]) - np.repeat(bounds[:-1] - first[:-1], runs)
-    hi = np.minimum(lo + k, np.repeat(first[1:], runs))
+    lo = np.arange(bounds[-1])
+    lo -= np.repeat(bounds[:-1] - first[:-1], runs)
+    hi = lo + k
+    np.minimum(hi, np.repeat(first[1:], runs), out=hi)
     return lo, hi, bounds
 
 

@@ -44,10 +44,9 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     h = X.word_hashes(w)
     owner = np.repeat(np.arange(len(offs) - 1), np.diff(w.first))
     out = [(owner, h)]
-    values = w.data.astype(np.uint64) + np.uint64(1)
     for n in STEMS:
         long = np.flatnonzero(w.ends - w.starts > n)
-        out.append((owner[long], X.ranged(values, w.starts[long], w.starts[long] + n, X._P) ^ np.uint64(n)))
+        out.append((owner[long], X.ranged(w.data, w.starts[long], w.starts[long] + n, X._P, 1) ^ np.uint64(n)))
     for gap in (1, 2):
         same = np.flatnonzero(owner[:-gap] == owner[gap:])
         out.append((owner[same], X.mix(h[same] * np.uint64(3) + h[same + gap] + np.uint64(gap))))
@@ -114,12 +113,14 @@ def classify(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, c
     labels: doc_id and the 0/1 label; nulls are passed over, of repeated labels the largest counts.
     Learned from are the ``sample`` labelled documents of least hash among those not held out; labels of
     held-out documents are never read.  A null or empty text gets the intercept's score; a null doc_id
-    is scored, its held_out is null.  Without labels every score is 0.5.  Rows in = rows out.
+    is scored, its held_out is null.  Without labels every score is 0.5.  Rows that share a doc_id are
+    learned from once, by the least text; all are scored.  Rows in = rows out.
     """
     spark = docs.sparkSession
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     known = known.where(~held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    coords, weights, bias = fit(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"))  # at most SAMPLE rows
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most SAMPLE ids
+    coords, weights, bias = fit(rows.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text")))
     table = np.zeros(1 << BITS, np.float32)
     table[coords] = weights
     shipped = spark.sparkContext.broadcast((table, bias))
