@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The white space that separates words, as characters and as a Java regular expression.
@@ -17,13 +21,15 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; where it is unset, as in tests, a temporary folder."""
+    """The session's spark.checkpoint.dir.  Unset, it is a temporary folder in local mode, as in tests, and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            _own[app] = tempfile.mkdtemp(prefix="spark-")
-        found = _own[app]
+        context = spark.sparkContext
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if context.applicationId not in _own:
+            _own[context.applicationId] = tempfile.mkdtemp(prefix="spark-")
+        found = _own[context.applicationId]
     return found.rstrip("/")
 
 
@@ -39,15 +45,63 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """name, with more underscores if columns are called so already."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Up to so many ids are broadcast to drop rows of a table; more are dropped by a shuffled join.
-BROADCAST_ROWS = 200_000
+#: Most bits of the filter that possible() ships, as a power of 2: 16 MB.
+FILTER_BITS = 27
+
+
+def possible(wanted: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A test on a column: true for every value of wanted's key, and for few others.
+
+    A bitmap with two places a value, of 16 bits a value up to 2 ** FILTER_BITS in all; beyond that it lets
+    more rows pass.  It spares rows that can't match a shuffle; an exact join of the rest must follow.
+    """
+    spark = wanted.sparkSession
+    bits = min(FILTER_BITS, max(10, (16 * wanted.count()).bit_length()))
+    mask = F.lit((1 << bits) - 1)
+    places = F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 36).bitwiseAND(mask)))
+    found = wanted.select(F.xxhash64(key).alias("h")).select(places.alias("p"))
+    found = found.groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("v")).toArrow()  # at most 2 ** (FILTER_BITS - 6) rows
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    table[found["at"].to_numpy()] = found["v"].to_numpy().view(np.uint64)
+    shipped = spark.sparkContext.broadcast(table)
+
+    def test(hashes: pa.Array) -> pa.Array:
+        h, out, low = hashes.to_numpy().view(np.uint64), None, np.uint64((1 << bits) - 1)
+        for p in (h & low, (h >> np.uint64(36)) & low):
+            hit = (shipped.value[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1)
+            out = hit if out is None else out & hit
+        return pa.array(out.astype(bool))
+
+    check = F.arrow_udf(test, "boolean")
+    return lambda c: check(F.xxhash64(c))
+
+
+def text_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a hash of the text in a new column, and its name: with doc_id it tells rows apart whose doc_id is the same."""
+    name = free_name("_text_key", docs.columns)
+    return docs.withColumn(name, F.xxhash64("text")), name
+
 
+def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """docs without the rows whose doc_id and ``key``, from text_key(), are in gone; a null doc_id is a value like others.
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is in ids (doc_id); rows with a null doc_id stay."""
-    ids = saved(ids.select("doc_id").where("doc_id is not null").distinct(), "ids")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_anti").select(docs.columns)
+    Only rows that may be in gone are shuffled.  Columns are kept, but for key.
+    """
+    columns = [c for c in docs.columns if c != key]
+    gone = saved(gone.select(F.col("doc_id").alias("_gone_id"), F.col(key).alias("_gone_key")).distinct(), "gone")
+    may = possible(gone, "_gone_key")
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col(key) == F.col("_gone_key"))
+    doubtful = docs.where(may(F.col(key))).join(gone.hint("merge"), same, "left_anti")
+    return docs.where(~may(F.col(key))).select(columns).unionByName(doubtful.select(columns))
