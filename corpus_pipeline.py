@@ -7,32 +7,49 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, mixing, near_dup, quality_model, substring_dedup
 from tidemark.llm.queries import remainder
-from tidemark.llm.work import saved, table, without
+from tidemark.llm.work import saved, table, text_key, without
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts.
+
+    Every row is judged by its own text, null as empty; repeated rows, null ids and all columns stay as
+    they are; an empty table stays empty.
+    """
     return quality_model.accepted(docs, table(spark, sf_dir, "labels"), "quality", remainder(5) == 0)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8."""
-    return without(docs, near_dup.near_duplicates(docs).where("not kept"))
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8.
+
+    Rows without words or with a null doc_id stay.  Of rows that share a doc_id each is judged by its
+    own text; repeated rows of the document that is kept stay together.
+    """
+    docs, key = text_key(docs)
+    return without(docs, near_dup.near_duplicates(docs, by=(key,)).where("not kept"), key)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that documents with smaller ids hold; n_chars follows the text."""
+    """Texts without the passages that documents with smaller ids hold; n_chars, if there, follows the text.
+
+    Texts that lose all words stay as empty texts; null texts, null ids, repeated rows and other columns
+    stay as they are.
+    """
     out = substring_dedup.dedup_substrings(docs, text_out=True)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns) if "n_chars" in docs.columns else out
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage near a benchmark item."""
-    return without(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")))
+    """Documents without a passage near a benchmark item.
+
+    Every row is judged by its own text, rows with a null doc_id too; null and empty texts stay.
+    """
+    docs, key = text_key(docs)
+    return without(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"), by=("doc_id", key)), key)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document that is left."""
+    """What the mix takes of each document that is left: 0 of texts without words; a null source is one of its own."""
     rows = mixing.mix(docs, F.array("source"))
     return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
 
