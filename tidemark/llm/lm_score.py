@@ -1,16 +1,18 @@
-"""LM scoring by a weighted backoff automaton.
+"""LM scoring by a weighted backoff automaton over all n-grams of up to three words.
 
-States are the histories of up to two words that are frequent enough; a failure arc leads from each to
-its suffix with a backoff weight.  The state after a word depends on its last two words alone, so one
-left-to-right pass over the arrays of a text finds every state and adds the log-probabilities up.
+States are the histories of at most two words that training texts hold.  From a state an arc leads over every
+word that has followed it; over other words the failure arc leads to the history's suffix.  Weights are those
+of Dirichlet smoothing: with the history's count n and the strength a of its order, an arc over a word seen c
+times weighs (c + a * p) / (n + a), the failure arc a / (n + a), where p is what the suffix gives the word.
+Weights over a state add up to 1, whatever has been seen, so no n-gram has to be left out.
 
-Frequent means at least a fixed share of all training tokens, so the automaton has a bounded size at
-any corpus size and can be broadcast; counts of all other words come by a join on word hashes.
+Texts are read once, into batches of tokens.  A batch sends its distinct n-grams, as sorted 64-bit hashes, to
+the part of the hash range that counts them, and gets their counts in all training texts back in the same
+order; then it is traversed.  No table of n-grams is gathered or broadcast at any size.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +23,16 @@ from pyspark.sql import functions as F
 from . import text as X
 from .work import saved
 
-#: Least share of the training tokens of a state's word, and of an n-gram with a weight of its own: at most 1 / share of each.
-WORD_SHARE, GRAM_SHARE = 5e-7, 5e-6
-#: What n-gram counts lose to the failure arcs; tokens counted at once in a task.
-DISCOUNT, BLOCK = 0.5, 4_000_000
+#: Tokens of a batch, and for each part of the hash range; strength of the smoothing of pairs and of triples.
+BLOCK, PART = 1 << 22, 1 << 21
+STRENGTH = {2: 30.0, 3: 8.0}
 #: The end of a text, as a word's hash.
 END = np.uint64(0x0E0F0E0D0C0B0A09)
 
+CORPUS = "batch long, size long, row array<long>, doc_id array<long>, held_out array<boolean>, cut array<boolean>, first array<int>, skip array<int>, word binary, token binary"
+COUNTS = "batch long, n int, part int, counts binary, types long, once long, twice long, total long"
+SCORES = "row long, doc_id long, held_out boolean, cut boolean, n_tokens long, n_known long, base_score double, score double"
+
 
 def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes with the end of each text, index of each text's first and the end)."""
@@ -35,168 +40,245 @@ def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(X.word_hashes(w), w.first[1:], END), w.first + np.arange(len(w.first))
 
 
-def grams(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(place of the last word, hash) of every run of n words of one text, the end included."""
-    at = np.arange(n - 1, len(h))
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    at = at[owner[at] == owner[at - n + 1]]
-    return at, X.gram_hashes(h, at - n + 1, at + 1, n)
+# -- numbers as bytes ----------------------------------------------------------------------------------
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of their bytes, those that are all 0 left out."""
+    values = np.ascontiguousarray(values, np.uint64)
+    width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+    planes = values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return np.array([len(values), width], np.int64).tobytes() + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n, width = np.frombuffer(data, np.int64, 2)
+    out = np.zeros((n, 8), np.uint8)
+    if n * width:
+        out[:, :width] = np.frombuffer(pa.decompress(data[16:], int(n * width), "zstd"), np.uint8).reshape(width, n).T
+    return out.view(np.uint64).ravel()
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """As pack(), for numbers that rise: the steps are smaller than they are."""
+    return values[:1].tobytes() + pack(np.diff(values))
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(np.concatenate([np.frombuffer(data, np.uint64, 1), unpack(data[8:])]), dtype=np.uint64)
+
+
+# -- n-grams of a batch --------------------------------------------------------------------------------
+
+
+def grams(h: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, place of the last word, hash) of every run of n = 1, 2, 3 words of one text; begin flags first words."""
+    a, b = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+    yield 1, np.arange(len(h)), X.mix(h ^ np.uint64(0x5BD1E995))
+    pairs = X.mix(h[:-1] * a + h[1:] * b)  # ending at 1, 2, …
+    inside = ~begin[1:]
+    yield 2, np.flatnonzero(inside) + 1, pairs[inside]
+    inside = inside[:-1] & inside[1:]
+    yield 3, np.flatnonzero(inside) + 2, X.mix(pairs[:-1] * a + h[2:] * b + np.uint64(1))[inside]
+
+
+class Batch:
+    """One row of CORPUS: its words' hashes h, first words of stretches, and each stretch's tokens of context."""
 
+    def __init__(self, row: dict):
+        self.row = row
+        self.first = np.array(row["first"], np.int64)
+        self.skip = np.array(row["skip"], np.int64)
+        word = np.frombuffer(row["word"], np.uint64)
+        self.h = word[unpack(row["token"]).astype(np.int64)] if len(word) else np.zeros(0, np.uint64)
+        self.begin = np.zeros(len(self.h), bool)
+        self.begin[self.first[:-1]] = True
+        self.own = np.ones(len(self.h), bool)  # not the context that a stretch of a long text repeats
+        for k in np.flatnonzero(self.skip):
+            self.own[self.first[k] : self.first[k] + self.skip[k]] = False
 
-def _count(docs: DataFrame, orders: tuple[int, ...], share: float, only: np.ndarray | None = None) -> DataFrame:
-    """(n, gram, c): counts by block of BLOCK tokens of the grams that hold ``share`` of a block, or of those in ``only``."""
-    wanted = docs.sparkSession.sparkContext.broadcast(only) if only is not None else None
+    def spread(self, values) -> np.ndarray:
+        return np.repeat(np.array(values), np.diff(self.first))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush():
-            for n in orders:
-                if held[n]:
-                    found, c = np.unique(np.concatenate(held[n]), return_counts=True)
-                    keep = np.flatnonzero(c >= max(1, math.ceil(share * size)))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), n, np.int32)), X.longs(found[keep]), pa.array(c[keep].astype(np.int64))], ["n", "gram", "c"])
-                    held[n].clear()
 
-        held: dict[int, list[np.ndarray]] = {n: [] for n in orders}
+def _stretches(first: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+    """(text, begin, end, tokens of context) of stretches of at most ``most`` tokens and context."""
+    parts = np.maximum(1, -(-np.diff(first) // most))
+    text = np.repeat(np.arange(len(parts)), parts)
+    k = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+    begin = first[text] + k * most
+    skip = np.minimum(2, k * most)
+    return text, begin - skip, np.minimum(begin + most, first[text + 1]), skip
+
+
+def batches(docs: DataFrame) -> DataFrame:
+    """CORPUS of docs (doc_id, text, held_out): tokens of consecutive rows of a task; long texts are cut into stretches."""
+    block = BLOCK
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        number, made = task << 36, task << 28
+        held: list[tuple] = []
         size = 0
-        for batch in batches:
-            for _, _, data, offs in X.pieces(batch):
+
+        def flush() -> pa.RecordBatch:
+            h = np.concatenate([x[0] for x in held])
+            word, index, c = np.unique(h, return_inverse=True, return_counts=True)
+            rank = np.argsort(-c, kind="stable")  # frequent words get small numbers
+            place = np.empty(len(rank), np.int64)
+            place[rank] = np.arange(len(rank))
+            first = np.cumsum(np.concatenate([[0], *[x[1] for x in held]]))
+            lists = [np.concatenate([x[k] for x in held]) for k in (2, 5, 6)]
+            ids, outs = (pa.concat_arrays([x[k] for x in held]) for k in (3, 4))
+            row = [[made], [len(h)], [lists[0]], [ids.to_pylist()], [outs.to_pylist()], [lists[1]], [first], [lists[2]], [word[rank].tobytes()], [pack(place[index])]]
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
+
+        names = [c.split()[0] for c in CORPUS.split(", ")]
+        kinds = [{"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_()), "array<int>": pa.list_(pa.int32())}[c.split()[1]] for c in CORPUS.split(", ")]
+        for batch in rows:
+            for lo, hi, data, offs in X.pieces(batch):
                 h, first = tokens(data, offs)
-                for n in orders:
-                    g = h if n == 1 else grams(h, first, n)[1]
-                    if wanted is not None:
-                        table = wanted.value
-                        g = g[table[np.minimum(np.searchsorted(table, g), len(table) - 1)] == g] if len(table) else g[:0]
-                    held[n].append(g)
-                size += len(h)
-                if size >= BLOCK:
-                    yield from flush()
-                    size = 0
-        yield from flush()
-
-    rows = docs.select("text").mapInArrow(run, "n int, gram long, c long")
-    return rows.groupBy("n", "gram").agg(F.sum("c").alias("c"))
-
-
-def _frame(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(gram, c) sorted by the gram as unsigned; only called with a proven bound on the rows."""
-    pdf = df.select("gram", "c").toPandas()
-    g = pdf.gram.to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(g)
-    return g[order], pdf.c.to_numpy(np.int64)[order]
-
-
-def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Index of each key in a sorted table, or -1."""
-    if not len(table):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
+                ids, out = batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo)
+                text, begin, end, skip = _stretches(first, block)
+                if len(text) == hi - lo:
+                    parts = [(h, np.diff(first), number + text, ids, out, np.zeros(len(text), bool), skip)]
+                else:
+                    cut = np.bincount(text)[text] > 1
+                    parts = [(h[a:b], np.array([b - a]), np.array([number + t]), ids.slice(t, 1), out.slice(t, 1), np.array([c]), np.array([s])) for t, a, b, s, c in zip(text, begin, end, skip, cut)]
+                for part in parts:
+                    held.append(part)
+                    size += len(part[0])
+                    if size >= block:
+                        yield flush()
+                        made, size = made + 1, 0
+                        held.clear()
+                number += hi - lo
+        if held:
+            yield flush()
+
+    return docs.mapInArrow(run, CORPUS)
+
+
+def sent(corpus: DataFrame, bits: int) -> DataFrame:
+    """part, n, batch, grams, counts: every distinct n-gram of a batch, and how often its training texts hold it."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = [i << (64 - bits) for i in range(1, 1 << bits)]
+        edges = np.array(edges, np.uint64)
+        for batch in rows:
+            for i in range(batch.num_rows):
+                b = Batch(batch.slice(i, 1).to_pylist()[0])
+                learned = b.spread([x is False for x in b.row["held_out"]]) & b.own
+                for n, at, key in grams(b.h, b.begin):
+                    found = np.unique(key)
+                    mine, c = np.unique(key[learned[at]], return_counts=True)
+                    counts = np.zeros(len(found), np.int64)
+                    counts[np.searchsorted(found, mine)] = c
+                    bounds = np.concatenate([[0], np.searchsorted(found, edges), [len(found)]])
+                    parts = np.flatnonzero(np.diff(bounds))
+                    if len(parts):
+                        packed = [(pack_sorted(found[bounds[p] : bounds[p + 1]]), pack(counts[bounds[p] : bounds[p + 1]])) for p in parts]
+                        size = len(parts)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(parts.astype(np.int32)), pa.array(np.full(size, n, np.int32)), pa.array(np.full(size, b.row["batch"])), pa.array([g for g, _ in packed], pa.binary()), pa.array([x for _, x in packed], pa.binary())],
+                            ["part", "n", "batch", "grams", "counts"],
+                        )
+
+    return corpus.mapInArrow(run, "part int, n int, batch long, grams binary, counts binary")
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """COUNTS: for each row of sent() the counts over all batches, in the order of its n-grams; and the sums over words.
+
+    A group holds a bounded share of the hash range: a frequent n-gram has one entry in it for each batch.
+    """
+
+    def count(table: pa.Table) -> pa.Table:
+        part, n = table["part"][0].as_py(), table["n"][0].as_py()
+        keys = [unpack_sorted(x.as_py()) for x in table["grams"]]
+        ends = np.cumsum([len(k) for k in keys])
+        key, c = np.concatenate(keys), np.concatenate([unpack(x.as_py()) for x in table["counts"]]).astype(np.int64)
+        order = np.argsort(key)
+        key, c = key[order], c[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        totals = np.add.reduceat(c, np.flatnonzero(new))
+        out = np.empty(len(key), np.int64)
+        out[order] = totals[np.cumsum(new) - 1]
+        answers = [pack(x) for x in np.split(out, ends[:-1])]
+        batch = table["batch"].to_pylist()
+        sums = [[None] * len(batch) for _ in range(4)]
+        if n == 1:
+            batch, answers = [*batch, None], [*answers, None]
+            sums = [[*x, int(v)] for x, v in zip(sums, ((totals > 0).sum(), (totals == 1).sum(), (totals == 2).sum(), totals.sum()))]
+        columns = [pa.array(batch, pa.int64()), pa.array([n] * len(batch), pa.int32()), pa.array([part] * len(batch), pa.int32()), pa.array(answers, pa.binary()), *[pa.array(x, pa.int64()) for x in sums]]
+        return pa.Table.from_arrays(columns, [c.split()[0] for c in COUNTS.split(", ")])
+
+    return rows.groupBy("part", "n").applyInArrow(count, COUNTS)
 
 
 class Automaton:
-    """Arrays of words, two- and three-word grams with their log10 weights and failure weights."""
+    """What all states share: training tokens, words, and the share of the unseen word."""
 
     def __init__(self, total: int, types: int, once: int, twice: int):
         self.total, self.types = total, types
         #: Share of unseen words: what absolute discounting takes from seen ones.
         self.discount = min(0.9, max(0.1, once / (once + 2 * twice))) if once and twice else 0.5
-        self.words = self.pairs = self.triples = np.zeros(0, np.uint64)
 
     def single(self, c: np.ndarray) -> np.ndarray:
-        """log10 probability of words of count c without history; 0 is the unseen word."""
-        if not self.total:
-            return np.zeros(len(c))
-        return np.log10(np.where(c > 0, np.maximum(c - self.discount, 1e-300), self.discount * self.types) / self.total)
+        """Probability of words of count c in the state without history; 0 is the unseen word."""
+        return np.where(c > 0, c - self.discount, self.discount * self.types) / self.total
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 1.0) / (self.total + self.types + 1.0))
 
-    def build(self, words, pairs, triples, pair_parts, triple_parts) -> None:
-        """words, pairs, triples: (hash, count), sorted; *_parts: indexes of (history, suffix without the first word)."""
-        (self.words, wc), (self.pairs, pc), (self.triples, tc) = words, pairs, triples
-        self.word_base, self.word_single = self.base(wc), self.single(wc)
-        history, last = pair_parts
-        p = (pc - DISCOUNT) / wc[history]
-        self.pair_weight = np.log10(p)
-        left = 1 - np.bincount(history, p, len(wc))
-        lower = 1 - np.bincount(history, 10 ** self.word_single[last], len(wc))
-        self.word_fail = np.log10(np.maximum(left, 1e-12) / np.maximum(lower, 1e-12))
-        history, suffix = triple_parts
-        q = (tc - DISCOUNT) / pc[history]
-        self.triple_weight = np.log10(q)
-        left = 1 - np.bincount(history, q, len(pc))
-        lower = 1 - np.bincount(history, p[suffix], len(pc))
-        self.pair_fail = np.log10(np.maximum(left, 1e-12) / np.maximum(lower, 1e-12))
-
-    def run(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(index of each token's word or -1, its log10 weight, whether the word's own count is still to be added)."""
-        word = find(self.words, h)
-        pair, triple = np.full(len(h), -1), np.full(len(h), -1)
-        at, g = grams(h, first, 2)
-        pair[at] = find(self.pairs, g)
-        at, g = grams(h, first, 3)
-        triple[at] = find(self.triples, g)
-        begin = np.zeros(len(h), bool)
-        begin[first[:-1]] = True
-        last, last_pair = np.full(len(h), -1), np.full(len(h), -1)
-        last[1:], last_pair[1:] = word[:-1], pair[:-1]
-        last[begin] = last_pair[begin] = -1
-        weight = np.zeros(len(h))
-        by_triple = triple >= 0
-        weight[by_triple] = self.triple_weight[triple[by_triple]]
-        down = ~by_triple & (last_pair >= 0)
-        weight[down] += self.pair_fail[last_pair[down]]
-        by_pair = ~by_triple & (pair >= 0)
-        weight[by_pair] += self.pair_weight[pair[by_pair]]
-        down = ~by_triple & ~by_pair & (last >= 0)
-        weight[down] += self.word_fail[last[down]]
-        single = ~by_triple & ~by_pair
-        known = single & (word >= 0)
-        weight[known] += self.word_single[word[known]]
-        return word, weight, single & (word < 0)
-
-
-def learn(train: DataFrame) -> tuple[Automaton, DataFrame]:
-    """The automaton, and (gram, c) of every training word."""
-    counts = saved(_count(train, (1,), 0.0).select("gram", "c"), "words")
-    t = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("one"), F.count_if(F.col("c") == 2).alias("two")).first()
-    total = int(t.n or 0)
-    made = Automaton(total, int(t.v), int(t.one), int(t.two))
-    words = _frame(counts.where(F.col("c") >= WORD_SHARE * total))
-    # A gram with GRAM_SHARE of all tokens has half of that share in some blocks, and these blocks hold half of its count.
-    dealt = train.coalesce(max(1, total // BLOCK))
-    likely = _count(dealt, (2, 3), GRAM_SHARE / 2).where(F.col("c") >= GRAM_SHARE / 2 * total)
-    likely = np.sort(likely.select("gram").toPandas().gram.to_numpy(np.int64).view(np.uint64))
-    exact = saved(_count(dealt, (2, 3), 0.0, likely).where((F.col("c") >= GRAM_SHARE * total) & (F.col("c") > 1)), "grams")
-    pairs, triples = _frame(exact.where("n = 2")), _frame(exact.where("n = 3"))
-    shipped = train.sparkSession.sparkContext.broadcast((words[0], pairs[0], triples[0]))
-
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs, triples = shipped.value
-        seen = [np.zeros(len(pairs), bool), np.zeros(len(triples), bool)]
-        for batch in batches:
-            for _, _, data, offs in X.pieces(batch):
-                h, first = tokens(data, offs)
-                for n, table, done in ((2, pairs, seen[0]), (3, triples, seen[1])):
-                    at, g = grams(h, first, n)
-                    own = find(table, g)
-                    at, own = at[own >= 0], own[own >= 0]
-                    own, where = np.unique(own, return_index=True)
-                    new = ~done[own]
-                    own, at = own[new], at[where[new]]
-                    done[own] = True
-                    if not len(own):
-                        continue
-                    if n == 2:
-                        a, b = find(words, h[at - 1]), find(words, h[at])
-                    else:
-                        a, b = find(pairs, X.gram_hashes(h, at - 2, at, 2)), find(pairs, X.gram_hashes(h, at - 1, at + 1, 2))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), n, np.int32)), pa.array(own), pa.array(a), pa.array(b)], ["n", "gram", "a", "b"])
-
-    got = dealt.select("text").mapInArrow(parts, "n int, gram long, a long, b long").groupBy("n", "gram").agg(F.min("a").alias("a"), F.min("b").alias("b")).toPandas()
-    split = lambda n: tuple(got[got.n == n].sort_values("gram")[c].to_numpy(np.int64) for c in "ab")
-    made.build(words, pairs, triples, split(2), split(3))
-    return made, counts
+    def traverse(self, begin: np.ndarray, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray) -> np.ndarray:
+        """log10 weight of each token; words, pairs, triples: counts of the n-grams that end at it, 0 where there is none.
+
+        The state before a token is what the token before it has led to: its count as a word and as the end of a
+        pair.  A state of count 0 isn't there, and its failure arc weighs 1.
+        """
+        state, state_of_pair = np.zeros(len(words)), np.zeros(len(words))
+        state[1:], state_of_pair[1:] = np.where(begin[1:], 0, words[:-1]), np.where(begin[1:], 0, pairs[:-1])
+        weight = self.single(words)
+        for history, c, strength in ((state, pairs, STRENGTH[2]), (state_of_pair, triples, STRENGTH[3])):
+            # the arc, or the failure arc where c is 0, and on from the suffix
+            weight = (c + strength * weight) / (history + strength)
+        return np.log10(weight)
+
+
+def traversed(corpus: DataFrame, counts: DataFrame, made: Automaton) -> DataFrame:
+    """SCORES of every stretch of every batch."""
+
+    def run(own: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = own.to_pylist()
+        if not rows:
+            return pa.Table.from_arrays([pa.array([], k) for k in kinds], names)
+        b = Batch(rows[0])
+        at_end = {n: np.zeros(len(b.h)) for n in (1, 2, 3)}
+        answers = answers.sort_by([("n", "ascending"), ("part", "ascending")])
+        orders = answers["n"].to_numpy()
+        for n, at, key in grams(b.h, b.begin):
+            if len(at):
+                found = np.concatenate([unpack(answers["counts"][int(i)].as_py()) for i in np.flatnonzero(orders == n)])
+                order = np.argsort(key)
+                new = np.ones(len(key), bool)
+                new[1:] = key[order[1:]] != key[order[:-1]]
+                at_end[n][at[order]] = found[np.cumsum(new) - 1]
+        texts = len(b.first) - 1
+        owner = b.spread(np.arange(texts))[b.own]
+        add = lambda v: np.bincount(owner, v[b.own], texts)
+        zero = np.zeros(len(b.h))
+        score, base = (made.traverse(b.begin, at_end[1], at_end[2], at_end[3]), made.base(at_end[1])) if made.total else (zero, zero)
+        known = add(at_end[1] > 0).astype(np.int64)
+        columns = [b.row["row"], b.row["doc_id"], b.row["held_out"], b.row["cut"], np.bincount(owner, minlength=texts), known, add(base), add(score)]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    names = [c.split()[0] for c in SCORES.split(", ")]
+    kinds = [{"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}[c.split()[1]] for c in SCORES.split(", ")]
+    return corpus.groupBy("batch").cogroup(counts.select("batch", "n", "part", "counts").groupBy("batch")).applyInArrow(run, SCORES)
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -207,57 +289,17 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     adds log10((c + 1) / (N + V + 1)) over the tokens; score adds the automaton's weights, which sum to 1
     over the known words and the one unseen word after any history.  A null doc_id is scored, its held_out
     is null and it is not learned from.  With nothing to learn from both scores are 0.  Repeated rows are
-    scored each; rows in = rows out.  Words and grams are compared by 64-bit hashes.
+    scored each; columns other than doc_id and text are not looked at; rows in = rows out.  Words and
+    n-grams are compared by 64-bit hashes.
     """
-    docs = docs.select("doc_id", "text", held_out.alias("held_out"))
-    made, counts = learn(docs.where(~F.col("held_out")))
-    shipped = docs.sparkSession.sparkContext.broadcast({k: v for k, v in vars(made).items()})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        automaton = Automaton(0, 0, 0, 0)
-        vars(automaton).update(shipped.value)
-        row = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            for lo, hi, data, offs in X.pieces(batch):
-                h, first = tokens(data, offs)
-                owner = np.repeat(np.arange(hi - lo), np.diff(first))
-                word, weight, open_ = automaton.run(h, first)
-                known = word >= 0
-                add = lambda v, at: np.bincount(owner[at], v, hi - lo).astype(float)
-                base = add(automaton.word_base[word[known]], known)
-                rare = np.flatnonzero(open_)
-                order = np.lexsort((h[rare], owner[rare]))
-                r, o = h[rare][order], owner[rare][order]
-                fresh = np.ones(len(r), bool)
-                fresh[1:] = (r[1:] != r[:-1]) | (o[1:] != o[:-1])
-                heads = np.flatnonzero(fresh)
-                times = np.diff(np.append(heads, len(r)))
-                bounds = np.searchsorted(o[heads], np.arange(hi - lo + 1))
-                part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row + np.arange(hi - lo)), part.column(0), part.column(2), pa.array(np.diff(first)), pa.array(add(np.ones(known.sum()), known).astype(np.int64)),
-                        pa.array(base), pa.array(np.bincount(owner, weight, hi - lo)), X.long_lists(r[heads], bounds),
-                        pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(times.astype(np.int32))),
-                    ],
-                    ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "times"],
-                )
-                row += hi - lo
-
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<int>"
-    rows = saved(docs.mapInArrow(run, schema), "scored")
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("gram"), F.col("x.times").alias("times"))
-    rare = rare.join(counts, "gram", "left")
-    n, v, d = made.total, made.types, made.discount
-    c = F.coalesce("c", F.lit(0))
-    single = F.log10(F.when(c > 0, c - d).otherwise(d * v) / n) if n else F.lit(0.0)
-    rare = rare.groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("more_base"),
-        F.sum(F.col("times") * single).alias("more_score"),
-    )
-    out = rows.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score").join(rare, "row", "left")
-    plus = lambda a, b: (F.col(a) + F.coalesce(F.col(b), F.lit(0))).alias(a)
-    return out.select("doc_id", "held_out", "n_tokens", plus("n_known", "more_known"), F.lit(n).cast("long").alias("train_tokens"), plus("base_score", "more_base"), plus("score", "more_score"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
+    corpus = saved(batches(rows), "lm-corpus")
+    size = corpus.agg(F.sum("size")).first()[0] or 0
+    counts = saved(counted(sent(corpus, max(0, size // PART).bit_length())), "lm-counts")
+    t = counts.where("batch is null").agg(*[F.sum(c).alias(c) for c in ("total", "types", "once", "twice")]).first()
+    made = Automaton(*[int(x or 0) for x in t])
+    done = saved(traversed(corpus, counts.where("batch is not null"), made), "lm-scores")
+    columns = ["doc_id", "held_out", "n_tokens", "n_known", F.lit(made.total).cast("long").alias("train_tokens"), "base_score", "score"]
+    sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
+    cut = done.where("cut").groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"), *sums)
+    return done.where("not cut").select(columns).unionByName(cut.select(columns))
