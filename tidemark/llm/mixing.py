@@ -6,9 +6,9 @@ on the driver; documents are picked on the executors from their place on a seede
 
 from __future__ import annotations
 
-from collections import deque
 from fractions import Fraction
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,10 +16,10 @@ from .work import BLANK_RUN, BLANKS, saved
 
 #: Weights by rank of the source, repeating; most passes over one document; seed of the order of documents.
 WEIGHTS, MOST_PASSES, SEED = (1, 2, 3), 3, 20_240_601
-#: Parts of each pattern's line of tokens: one task orders 1/PARTS of a pattern, however hot its source.
-PARTS = 1 << 12
-#: Most patterns that may be collected; more is refused, never cut.
-MOST_PATTERNS = 100_000
+#: About so many documents lie in one part of the line of tokens; one task orders a part of one pattern.
+PART_ROWS = 100_000
+#: Most patterns that the driver routes (about a minute); more is refused, never cut.
+MOST_PATTERNS = 200_000
 
 
 def word_count(text: Column) -> Column:
@@ -49,54 +49,105 @@ def capped_targets(sizes: dict[str | None, int], weights=WEIGHTS, most: int = MO
     return target
 
 
+def _linked(patterns: list[tuple]) -> list[list[int]]:
+    """Numbers of patterns by group: patterns of different groups have no source in common."""
+    parent: dict[str | None, str | None] = {}
+
+    def root(s):
+        while parent.setdefault(s, s) != s:
+            parent[s] = s = parent[parent[s]]
+        return s
+
+    for pattern in patterns:
+        for s in pattern[1:]:
+            parent[root(s)] = root(pattern[0])
+    groups: dict[str | None, list[int]] = {}
+    for i, pattern in enumerate(patterns):
+        if pattern:
+            groups.setdefault(root(pattern[0]), []).append(i)
+    return list(groups.values())
+
+
+def _path(start: np.ndarray, between: np.ndarray, end: np.ndarray) -> list[int] | None:
+    """The shortest chain of sources from one with spare tokens to one with an open quota, each able to pass tokens on."""
+    via = np.where(start > 0, -1, -2)  # -2: not reached
+    level = np.flatnonzero(start > 0)
+    while len(level):
+        ends = level[end[level] > 0]
+        if len(ends):
+            chain = [int(ends[0])]
+            while via[chain[-1]] >= 0:
+                chain.append(int(via[chain[-1]]))
+            return chain[::-1]
+        following = []
+        for s in level:
+            fresh = np.flatnonzero((between[s] > 0) & (via == -2))
+            via[fresh] = s
+            following.append(fresh)
+        level = np.concatenate(following)
+    return None
+
+
+def _flow(tokens: np.ndarray, member: np.ndarray, quota: np.ndarray, most: int) -> np.ndarray:
+    """Tokens of each pattern (row) for each source (column) of one group.
+
+    All patterns that can pass tokens along the same arc between two sources are moved together, so the
+    number of augmenting paths follows the sources, not the patterns.
+    """
+    flow = np.zeros(member.shape, np.int64)
+    open_ = quota.astype(np.int64)
+    between = np.zeros((len(quota), len(quota)), np.int64)  # tokens of one source that another may hold instead
+    spare = np.zeros(len(tokens), np.int64)
+
+    def refresh(sources):
+        for s in sources:
+            between[s] = flow[:, s] @ member
+            between[s, s] = 0
+
+    def draw(room: np.ndarray, amount: int) -> np.ndarray:
+        """amount, taken from the first patterns that have room."""
+        upto = np.minimum(np.cumsum(room), amount)
+        return np.diff(upto, prepend=0)
+
+    for _ in range(most):  # pass r costs r - 1 a token, and only here: cheaper passes are used up first
+        spare += tokens
+        start = spare @ member
+        while (chain := _path(start, between, open_)) is not None:
+            arcs = list(zip(chain, chain[1:]))
+            amount = int(min([start[chain[0]], open_[chain[-1]], *(between[a, b] for a, b in arcs)]))
+            moved = draw(spare * member[:, chain[0]], amount)
+            spare -= moved
+            flow[:, chain[0]] += moved
+            for a, b in arcs:
+                # the tokens that have just come to a are as good as those that it had
+                moved = draw(flow[:, a] * member[:, b], amount)
+                flow[:, a] -= moved
+                flow[:, b] += moved
+            open_[chain[-1]] -= amount
+            start = spare @ member
+            refresh(chain)
+    return flow
+
+
 def route(supply: dict[tuple, int], quota: dict[str | None, int], most: int = MOST_PASSES) -> dict[tuple, dict[str | None, int]]:
     """Tokens that each pattern gives each source: a maximum flow of least cost.
 
     Pass r over a pattern's tokens costs r - 1 a token, so repetition is spread before it is piled up.
-    Successive shortest augmenting paths on a graph of patterns and sources.
+    Costs are on the arcs into patterns alone, so a path costs what its first arc does, and successive
+    shortest paths are one maximum flow for each pass, on top of the one before.
     """
-    heads: list[int] = []
-    room: list[int] = []
-    price: list[int] = []
-    out: dict[object, list[int]] = {}
-
-    def arc(a, b, cap, cost):
-        for x, y, c, p in ((a, b, cap, cost), (b, a, 0, -cost)):
-            out.setdefault(x, []).append(len(heads))
-            heads.append(y)
-            room.append(c)
-            price.append(p)
-
-    middle: dict[tuple, dict[str | None, int]] = {}
-    for pattern, tokens in supply.items():
-        for r in range(most):
-            arc("from", ("p", pattern), tokens, r)
-        for s in pattern:
-            middle.setdefault(pattern, {})[s] = len(heads)
-            arc(("p", pattern), ("s", s), most * tokens, 0)
-    for s, tokens in quota.items():
-        arc(("s", s), "to", tokens, 0)
-    while True:
-        best, via, queue, queued = {"from": 0}, {}, deque(["from"]), {"from"}
-        while queue:
-            at = queue.popleft()
-            queued.discard(at)
-            for k in out.get(at, ()):
-                if room[k] and best[at] + price[k] < best.get(heads[k], 1 << 62):
-                    best[heads[k]], via[heads[k]] = best[at] + price[k], k
-                    if heads[k] not in queued:
-                        queue.append(heads[k])
-                        queued.add(heads[k])
-        if "to" not in best:
-            return {p: {s: room[k ^ 1] for s, k in ks.items()} for p, ks in middle.items()}
-        path, at = [], "to"
-        while at != "from":
-            path.append(via[at])
-            at = heads[via[at] ^ 1]
-        least = min(room[k] for k in path)
-        for k in path:
-            room[k] -= least
-            room[k ^ 1] += least
+    patterns = list(supply)
+    out: dict[tuple, dict[str | None, int]] = {p: {} for p in patterns}
+    for group in _linked(patterns):
+        sources = by_code_point(list({s for i in group for s in patterns[i]}))
+        column = {s: j for j, s in enumerate(sources)}
+        member = np.zeros((len(group), len(sources)), np.int64)
+        for i, p in enumerate(group):
+            member[i, [column[s] for s in patterns[p]]] = 1
+        flow = _flow(np.array([supply[patterns[p]] for p in group], np.int64), member, np.array([quota[s] for s in sources], np.int64), most)
+        for i, p in enumerate(group):
+            out[patterns[p]] = {s: int(flow[i, column[s]]) for s in patterns[p]}
+    return out
 
 
 def mix(docs: DataFrame, members: Column, weights=WEIGHTS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
@@ -111,7 +162,10 @@ def mix(docs: DataFrame, members: Column, weights=WEIGHTS, most: int = MOST_PASS
     empty table gives an empty result.  Only doc_id and text are read beside members.
     """
     sized = docs.select("doc_id", members.alias("members"), word_count(F.col("text")).alias("size"))
-    sized = saved(sized.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id")).withColumn("_part", F.pmod(F.shiftright("_h", 20), F.lit(PARTS))), "mixing")
+    sized = saved(sized.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id")), "mixing")
+    # parts are ranges of the hash, so their number changes no order
+    bits = min(32, (sized.count() // PART_ROWS).bit_length())
+    sized = sized.withColumn("_part", F.shiftright("_h", 64 - bits) if bits else F.lit(0).cast("long"))
     parts = sized.groupBy("members", "_part").agg(F.sum("size").alias("tokens"))
     parts = saved(parts, "mixing-parts")
     rows = parts.groupBy("members").agg(F.sum("tokens").alias("tokens")).limit(MOST_PATTERNS + 1).collect()
