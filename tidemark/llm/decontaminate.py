@@ -22,8 +22,10 @@ from .work import BLANK_RUN, BLANKS, saved
 SHINGLE, PERCENT = 5, 80
 #: Hamming radius of 64-bit fingerprints: windows at similarity 0.8 differ in 10 bits, deviation 3.
 RADIUS, BLOCKS = 23, 8
-#: Items whose shingles and probes are broadcast at once; more items are handled block after block.
-ITEMS = 1000
+#: Rows of shingles and probes that are broadcast at once (about 40 bytes each); a larger benchmark is handled in blocks of items.
+ROWS = 1_000_000
+#: Most words of 64 bits in the bitmap of shingles, which travels with the plan; a fuller bitmap passes more places to the join.
+BITMAP = 1 << 16
 
 _LANES = 0x0001000100010001
 _NEAR = [0] + [1 << i for i in range(8)] + [1 << i | 1 << j for i in range(8) for j in range(i)]
@@ -46,11 +48,6 @@ def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.withColumn(name, F.explode(F.array(value)))
 
 
-def _gram_rows(rows: DataFrame, k: int) -> DataFrame:
-    rows = _once(rows, "_h", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)))
-    return _once(rows, "grams", _grams("_h", k)).drop("_h")
-
-
 def with_fingerprint(rows: DataFrame, grams: str) -> DataFrame:
     """rows with fp, the SimHash of an array of shingle hashes: each bit is that of most shingles."""
     spread = lambda h, j: F.call_function("shiftright", h, j).bitwiseAND(F.lit(_LANES))
@@ -68,41 +65,50 @@ def _block(fp: Column, b: int) -> Column:
     return F.shiftrightunsigned(fp, 8 * b).bitwiseAND(F.lit(0xFF)).cast("int")
 
 
-def _one_block(docs: DataFrame, items: DataFrame, spread: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, item_id, start, similarity of windows of docs near one of at most about ITEMS items of k-word shingles.
+def _maybe(shingles: DataFrame):
+    """A column function: may a hash be one of the shingles?  A bitmap of 64 bits for each, up to BITMAP words."""
+    size = 1 << max(6, min(BITMAP, shingles.count()).bit_length())
+    word, bit = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(size - 1)), F.expr("shiftleft(1L, cast(h & 63 as int))")
+    bitmap = np.zeros(size, np.int64)
+    for r in shingles.groupBy(word.alias("at")).agg(F.bit_or(bit).alias("bits")).collect():  # at most ``size`` rows
+        bitmap[r["at"]] = r["bits"]
+    table = F.from_json(F.lit(json.dumps(bitmap.tolist())), "array<bigint>")
+    return lambda h: F.getbit(F.get(table, F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(size - 1)).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def _one_block(docs: DataFrame, by: list[str], items: DataFrame, spread: DataFrame, sizes: list[int], percent: int) -> DataFrame:
+    """The columns ``by`` of docs, item_id, start, similarity of windows of docs near one of the items of a block.
 
-    items: item, item_id, grams, words; spread: h, df of every shingle of the whole benchmark.
+    items: item, item_id, k, grams, words; spread: h, df of every shingle of the whole benchmark; sizes: all k.
     """
     counts = items.select("item", F.explode("grams").alias("h")).groupBy("item", "h").agg(F.count("*").alias("c"))
     weighed = counts.join(spread, "h").groupBy("item").agg(F.collect_list(F.struct("h", (1.0 / F.col("df")).alias("w"), F.col("c").cast("double").alias("c"))).alias("shingles"))
     items = saved(with_fingerprint(items, "grams").join(weighed, "item"), "items")
-    lengths = saved(items.select(F.explode("grams").alias("h"), "words").distinct(), "item-grams")
-
-    # which shingles may be in the benchmark: a bitmap of 64 bits for each of its shingles
-    found = np.array([r.h for r in lengths.select("h").distinct().collect()], np.int64)  # of at most ITEMS items
-    if not len(found):
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start int, similarity double")
-    size = 1 << max(6, int(len(found)).bit_length())
-    bitmap = np.zeros(size, np.uint64)
-    np.bitwise_or.at(bitmap, (found.view(np.uint64) >> np.uint64(6)).astype(np.int64) & (size - 1), np.uint64(1) << (found.view(np.uint64) & np.uint64(63)))
-    table = F.from_json(F.lit(json.dumps(bitmap.view(np.int64).tolist())), "array<bigint>")
-    may = lambda h: F.getbit(F.get(table, F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(size - 1)).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1
-
-    rows = _gram_rows(docs.select("doc_id", "text"), k).drop("text")
-    places = F.when(F.size("grams") > 0, F.filter(F.sequence(F.lit(0), F.size("grams") - 1), lambda i: may(F.get(F.col("grams"), i))))
-    rows = _once(rows, "places", places).withColumn("place", F.explode("places")).drop("places").withColumn("h", F.get("grams", F.col("place")))
-    rows = rows.join(F.broadcast(lengths), "h")
-    rows = rows.withColumn("start", F.greatest(F.lit(0), F.least("place", F.size("grams") - 1 + k - F.col("words"))))
-    rows = _once(rows, "window", F.slice("grams", F.col("start") + 1, F.col("words") - k + 1)).select("doc_id", "start", "words", "window")
+    lengths = saved(items.select(F.explode("grams").alias("h"), "k", "words").distinct(), "item-grams")
+    may = _maybe(lengths.select("h").distinct())
+
+    # one pass: the shingles of every size that an item has, and the places of those that may be the benchmark's
+    rows = _once(docs.select(*by, "text"), "_h", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w))).drop("text")
+    for k in sizes:
+        rows = _once(rows, f"_g{k}", _grams("_h", k))
+    rows = rows.drop("_h")
+    place = lambda k: F.transform(F.filter(F.sequence(F.lit(0), F.size(f"_g{k}") - 1), lambda i: may(F.get(F.col(f"_g{k}"), i))), lambda i: F.struct(F.lit(k).alias("k"), i.alias("i")))
+    places = [F.when(F.size(f"_g{k}") > 0, place(k)).otherwise(F.array().cast("array<struct<k:int,i:int>>")) for k in sizes]
+    rows = _once(rows, "_places", F.concat(*places)).withColumn("_p", F.explode("_places")).drop("_places")
+    grams = reduce(lambda rest, k: F.when(F.col("_p.k") == k, F.col(f"_g{k}")).otherwise(rest), sizes[1:], F.col(f"_g{sizes[0]}"))
+    rows = rows.select(*by, F.col("_p.k").alias("k"), F.col("_p.i").alias("place"), grams.alias("grams")).withColumn("h", F.get("grams", F.col("place")))
+    rows = rows.join(F.broadcast(lengths), ["h", "k"])
+    rows = rows.withColumn("start", F.greatest(F.lit(0), F.least("place", F.size("grams") - 1 + F.col("k") - F.col("words"))))
+    rows = _once(rows, "window", F.slice("grams", F.col("start") + 1, F.col("words") - F.col("k") + 1)).select(*by, "start", "k", "words", "window")
     rows = with_fingerprint(rows, "window")
 
     probes = F.array(*[F.struct(F.lit(b).alias("b"), _block(F.col("fp"), b).alias("v")) for b in range(BLOCKS)])
-    near = items.select("words", "item", F.col("fp").alias("item_fp"), F.explode(probes).alias("x"))
-    near = near.select("words", "item", "item_fp", "x.b", F.explode(F.array(*[F.col("x.v").bitwiseXOR(F.lit(m)) for m in _NEAR])).alias("v"))
-    pairs = rows.withColumn("x", F.explode(probes)).select("*", "x.b", "x.v").drop("x").join(F.broadcast(near), ["words", "b", "v"])
+    near = items.select("k", "words", "item", F.col("fp").alias("item_fp"), F.explode(probes).alias("x"))
+    near = near.select("k", "words", "item", "item_fp", "x.b", F.explode(F.array(*[F.col("x.v").bitwiseXOR(F.lit(m)) for m in _NEAR])).alias("v"))
+    pairs = rows.withColumn("x", F.explode(probes)).select("*", "x.b", "x.v").drop("x").join(F.broadcast(near), ["k", "words", "b", "v"])
     unlike = F.col("fp").bitwiseXOR(F.col("item_fp"))
     first = reduce(lambda rest, b: F.when(F.bit_count(_block(unlike, b)) <= 2, b).otherwise(rest), reversed(range(BLOCKS)), F.lit(-1))
-    pairs = pairs.where((F.bit_count(unlike) <= RADIUS) & (first == F.col("b"))).select("doc_id", "start", "window", "item")
+    pairs = pairs.where((F.bit_count(unlike) <= RADIUS) & (first == F.col("b"))).select(*by, "start", "window", "item")
 
     pairs = pairs.join(F.broadcast(items.select("item", "item_id", "shingles")), "item")
     times = F.transform("shingles", lambda g: F.struct(g["w"].alias("w"), g["c"].alias("c"), F.size(F.filter("window", lambda x: x == g["h"])).cast("double").alias("n")))
@@ -111,10 +117,10 @@ def _one_block(docs: DataFrame, items: DataFrame, spread: DataFrame, k: int, per
     both = total(lambda g: g["w"] * F.least(g["c"], g["n"]))
     any_ = total(lambda g: g["w"] * F.greatest(g["c"], g["n"])) + F.size("window") - total(lambda g: g["n"])
     pairs = _once(pairs, "similarity", both / any_)
-    return pairs.where(100 * F.col("similarity") >= percent - 1e-9).select("doc_id", "item_id", "start", "similarity")
+    return pairs.where(100 * F.col("similarity") >= percent - 1e-9).select(*by, "item_id", "start", "similarity")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, percent: int = PERCENT, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """doc_id, item_id, start, similarity: documents with a window near an item; of the best windows the first.
 
     Words are runs outside white space, in lower case.  A window has as many words as the item, or all
@@ -122,19 +128,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, percent: int
     of weight * greatest count; a shingle of an item weighs 1 / the number of items that hold it, any other 1.
     Items of fewer than k words are found where all their words stand in a row.  Items or documents with
     null or blank text are near nothing; null ids are reported as null; repeated rows are reported once.
-    Documents are read whole, in one pass for each ITEMS items, and not shuffled.
+    by: the columns of docs that tell rows apart, reported for each find; others are not looked at.
+    Documents are read whole and not shuffled, in one pass for all items; a benchmark whose shingles and
+    probes make more than ROWS rows is dealt into blocks of items, with a pass and equal results for each.
     """
+    by = list(by)
     items = benchmark.select("item_id", "text").dropDuplicates()
     items = items.withColumn("_k", F.least(F.size(_words(F.col("text"))), F.lit(k))).where("_k > 0")
-    groups = [r["_k"] for r in items.select("_k").distinct().collect()]  # at most k
-    found = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start int, similarity double")
-    for size in sorted(groups):
-        whole = _gram_rows(items.where(F.col("_k") == size), size).where(F.size("grams") > 0).select("item_id", "grams", (F.size("grams") + size - 1).alias("words"))
-        whole = saved(whole.withColumn("item", F.xxhash64("item_id", "grams")).dropDuplicates(["item"]), "benchmark")
-        # over all items, so that no weight depends on the blocks
-        spread = saved(whole.select(F.explode(F.array_distinct("grams")).alias("h")).groupBy("h").agg(F.count("*").alias("df")), "spread")
-        blocks = max(1, -(-whole.count() // ITEMS))
-        for i in range(blocks):
-            found = found.union(_one_block(docs, whole.where(F.pmod("item", F.lit(blocks)) == i), spread, size, percent))
+    sizes = sorted(r["_k"] for r in items.select("_k").distinct().collect())  # at most k
+    none = docs.select(*by, F.lit(None).cast("long").alias("item_id"), F.lit(0).alias("start"), F.lit(0.0).alias("similarity")).limit(0)
+    if not sizes:
+        return none
+    rows = _once(items, "_h", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)))
+    grams = reduce(lambda rest, n: F.when(F.col("_k") == n, _grams("_h", n)).otherwise(rest), sizes[1:], _grams("_h", sizes[0]))
+    whole = _once(rows, "grams", grams).select("item_id", F.col("_k").alias("k"), "grams", F.size("_h").alias("words"))
+    whole = saved(whole.withColumn("item", F.xxhash64("item_id", "k", "grams")).dropDuplicates(["item"]), "benchmark")
+    # over all items, so that no weight depends on the blocks
+    spread = saved(whole.select(F.explode(F.array_distinct("grams")).alias("h")).groupBy("h").agg(F.count("*").alias("df")), "spread")
+    blocks = max(1, -(-whole.agg(F.sum(F.size("grams") + F.lit(BLOCKS * len(_NEAR)))).first()[0] // ROWS))
+    found = none
+    for i in range(blocks):
+        found = found.union(_one_block(docs, by, whole.where(F.pmod("item", F.lit(blocks)) == i), spread, sizes, percent))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s")))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", (-F.col("b.s")).alias("start"), F.col("b.similarity").alias("similarity"))
+    return found.groupBy(*by, "item_id").agg(best.alias("b")).select(*by, "item_id", (-F.col("b.s")).alias("start"), F.col("b.similarity").alias("similarity"))
