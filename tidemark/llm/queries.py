@@ -38,7 +38,7 @@ def op4_mixing(spark, sf_dir):
 
 
 def op5_token_counts(spark, sf_dir):
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.Ranks(vocabulary("byte_bpe_50k.tiktoken")))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.Tokenizer(vocabulary("byte_bpe_50k.json")))
 
 
 def op6_lm_score(spark, sf_dir):
