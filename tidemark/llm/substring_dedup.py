@@ -2,9 +2,10 @@
 
 Nodes are the k-mers that are least in some window of LENGTH words, so that every window has an own
 node, and equal windows have equal ones; edges are the words from one node to the next.  A node all of whose
-occurrences have the same edge in and the same edge out doesn't branch: joins on node hashes find these,
-and runs of them compact into paths that occur as a whole.  A window on a compacted path is settled by the
-path; only windows where paths branch are compared by their own words, found again by source coordinates.
+occurrences have the same edge in and the same edge out doesn't branch: joins on node hashes find these, and
+runs of them along a document compact into one path.  Every document that holds a path is then read again at
+the path's source coordinates: the repeated span of a path is verified as a whole, by two hashes of all its
+words, and windows where paths branch are verified one by one.
 """
 
 from __future__ import annotations
@@ -14,16 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as X
-from .work import saved
+from .work import free_name, possible, saved
 
 #: Words of a window; words of a node.
 LENGTH, NODE = 50, 8
-#: Up to so many ids are broadcast to pick rows of a table; more are joined by shuffle.
-BROADCAST_ROWS = 200_000
+#: Salts of the two hashes that verify spans.
+VERIFY = (0x1B873593, 0x6C62272E)
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -76,19 +77,9 @@ class Nodes:
         self.into[1:] = np.where(same, edge, 0)
         self.out[:-1] = np.where(same, edge, 0)
 
-    def paths(self, inner: np.ndarray, k: int = NODE) -> tuple[np.ndarray, np.ndarray]:
-        """First word and end of the compacted path around each inner node."""
-        index = np.arange(len(self.place))
-        opens, closes = np.ones(len(index), bool), np.ones(len(index), bool)
-        opens[1:] = (self.owner[1:] != self.owner[:-1]) | ~inner[1:]
-        closes[:-1] = (self.owner[1:] != self.owner[:-1]) | ~inner[:-1]
-        before = np.maximum.accumulate(np.where(opens, index, 0))
-        after = np.minimum.accumulate(np.where(closes, index, len(index))[::-1])[::-1]
-        return self.place[before], self.place[after] + k
-
 
 def nodes(docs: DataFrame, length: int) -> DataFrame:
-    """key, into, out, doc_id, tag, place (nodes before it in its text) of every node."""
+    """key, into, out, doc_id, tag, place (nodes before it in its text) of every node; none of rows without a doc_id or with few words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,8 +97,20 @@ def nodes(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("doc_id", "tag", "text").where("doc_id is not null").mapInArrow(run, "key long, into long, out long, doc_id long, tag int, place int")
 
 
-def settle(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
-    """From texts and their shared nodes: covered spans (lo, hi) with null hashes, and the windows left to compare."""
+def compacted(shared: DataFrame) -> DataFrame:
+    """doc_id, tag, runs: of each document the runs of nodes that don't branch, and its other shared nodes one by one.
+
+    shared: doc_id, tag, place, inner.  A run has the same nodes wherever it occurs, so its ends are all that is kept.
+    """
+    dealt = shared.repartition("doc_id", "tag")  # one exchange for all three steps
+    island = F.col("place") - F.dense_rank().over(Window.partitionBy("doc_id", "tag", "inner").orderBy("place"))
+    rows = dealt.withColumn("island", F.when(F.col("inner"), island).otherwise(F.col("place")))
+    rows = rows.groupBy("doc_id", "tag", "inner", "island").agg(F.min("place").alias("from"), F.max("place").alias("upto"))
+    return rows.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("from", "upto", "inner")).alias("runs"))
+
+
+def located(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+    """doc_id, tag, lo, hi, h1, h2: the word range of every path's windows and of every window where paths branch, with hashes of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,61 +121,65 @@ def settle(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
                 got = Nodes(h, w.first, length)
                 if not len(got.start):
                     continue
-                ids, tags, lists = part.column(0), part.column(1), part.column(3)
-                where = np.searchsorted(got.owner, np.arange(b - a))
-                repeated, inner, least = np.zeros(len(got.place), bool), np.zeros(len(got.place), bool), np.zeros(len(got.place), np.int64)
-                flat = lists.flatten()
-                index = np.repeat(where, np.diff(lists.offsets.to_numpy())) + flat.field(0).to_numpy()
-                repeated[index], inner[index], least[index] = True, flat.field(1).to_numpy(zero_copy_only=False), flat.field(2).to_numpy()
-                left, right = got.paths(inner)
-                node, start, text = got.node, got.start, got.text
-                on_path = inner[node] & (start >= left[node]) & (start + length <= right[node])
-                away = np.flatnonzero(on_path & (least[node] < ids.to_numpy()[text]))
-                if len(away):
-                    fresh = np.ones(len(away), bool)
-                    fresh[1:] = (start[away[1:]] != start[away[:-1]] + 1) | (text[away[1:]] != text[away[:-1]])
-                    heads = np.flatnonzero(fresh)
-                    lo, hi = away[heads], away[np.append(heads[1:], len(away)) - 1]
-                    begin, take = w.first[text[lo]], pa.array(text[lo])
-                    none = pa.nulls(len(lo), pa.int64())
-                    yield pa.RecordBatch.from_arrays([ids.take(take), tags.take(take), pa.array((start[lo] - begin).astype(np.int32)), pa.array((start[hi] + length - begin).astype(np.int32)), none, none], names)
-                open_ = np.flatnonzero(repeated[node] & ~on_path)
-                if len(open_):
-                    here, take = start[open_], pa.array(text[open_])
-                    lo = here - w.first[text[open_]]
-                    hashes = [X.longs(X.gram_hashes(h, here, here + length, salt)) for salt in (0x1B873593, 0x6C62272E)]
-                    yield pa.RecordBatch.from_arrays([ids.take(take), tags.take(take), pa.array(lo.astype(np.int32)), pa.array((lo + length).astype(np.int32)), *hashes], names)
+                lists = part.column(3)
+                begin, end = np.searchsorted(got.owner, np.arange(b - a)), np.searchsorted(got.owner, np.arange(b - a), "right")
+                flat, row = lists.flatten(), np.repeat(np.arange(b - a), np.diff(lists.offsets.to_numpy()))
+                first, last = begin[row] + flat.field(0).to_numpy(), begin[row] + flat.field(1).to_numpy()
+                inner = flat.field(2).to_numpy(zero_copy_only=False)
+                # a path reaches from the node before its run to the node after it
+                left = got.place[np.maximum(first - 1, begin[row])]
+                right = got.place[np.minimum(last + 1, end[row] - 1)] + NODE
+                each = np.repeat(np.arange(len(first)), last - first + 1)  # run of every shared node
+                index = first[each] + np.arange(len(each)) - np.searchsorted(each, each)
+                run_of = np.full(len(got.place), -1)
+                run_of[index] = each
+                mine = run_of[got.node]  # run of each window's own node, or -1
+                there = np.flatnonzero(mine >= 0)
+                mine = mine[there]
+                start = got.start[there]
+                whole = inner[mine] & (start >= left[mine]) & (start + length <= right[mine])
+                lo, hi = start[~whole], start[~whole] + length
+                if whole.any():  # the windows of a path follow each other
+                    path, at = mine[whole], start[whole]
+                    new = np.flatnonzero(np.concatenate([[True], (path[1:] != path[:-1]) | (at[1:] != at[:-1] + 1)]))
+                    lo = np.concatenate([lo, at[new]])
+                    hi = np.concatenate([hi, at[np.append(new[1:], len(at)) - 1] + length])
+                    order = np.argsort(lo, kind="stable")
+                    lo, hi = lo[order], hi[order]
+                if not len(lo):
+                    continue
+                text = np.searchsorted(w.first, lo, "right") - 1
+                hashes = [X.longs(X.gram_hashes(h, lo, hi, salt)) for salt in VERIFY]  # in the order of lo the ends rise too
+                take, base = pa.array(text), w.first[text]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)), *hashes], names)
 
     names = ["doc_id", "tag", "lo", "hi", "h1", "h2"]
-    listed = shared.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "inner", "least")).alias("nodes"))
-    rows = _picked(docs, listed).join(listed, ["doc_id", "tag"]).select("doc_id", "tag", "text", "nodes")
+    may = possible(runs.select("doc_id").distinct(), "doc_id")
+    rows = docs.where(may(F.col("doc_id"))).join(runs.hint("merge"), ["doc_id", "tag"]).select("doc_id", "tag", "text", "runs")
     return rows.mapInArrow(run, "doc_id long, tag int, lo int, hi int, h1 long, h2 long")
 
 
-def _picked(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """docs whose doc_id occurs in keys: by broadcast while the ids are few, else left to the join that follows."""
-    ids = saved(keys.select("doc_id").distinct(), "ids")
-    return docs.join(F.broadcast(ids), "doc_id", "left_semi") if ids.count() <= BROADCAST_ROWS else docs
-
-
 def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, tag, spans: the word ranges to remove, for the rows of docs (doc_id, tag, text) that have any."""
+    """doc_id, tag, spans: the word ranges to remove, for the rows of docs (doc_id, tag, text) that have any.
+
+    Tables between the steps are written, so that joins stand alone and a hot key's rows can be split.
+    """
     found = saved(nodes(docs, length), "nodes")
     same = lambda c: F.min(c) == F.max(c)
     graph = found.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), (same("into") & same("out")).alias("inner"))
-    shared = found.select("key", "doc_id", "tag", "place").join(graph.where("least < most").drop("most"), "key").drop("key")
-    rows = saved(settle(docs, saved(shared, "shared"), length), "settled")
-    windows = rows.where("h1 is not null")
-    first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    repeats = windows.join(first, ["h1", "h2"]).where("doc_id > least")
-    spans = rows.where("h1 is null").select("doc_id", "tag", "lo", "hi").union(repeats.select("doc_id", "tag", "lo", "hi"))
+    graph = saved(graph.where("least < most").select("key", "inner"), "graph")
+    shared = saved(found.select("key", "doc_id", "tag", "place").join(graph.hint("merge"), "key").drop("key"), "shared")
+    rows = saved(located(docs, saved(compacted(shared), "runs"), length), "located")
+    first = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+    first = saved(first.select("h1", "h2", "least"), "first")
+    spans = rows.join(first.hint("merge"), ["h1", "h2"]).where("doc_id > least")
     return spans.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
 
 
-def _finish(rows: DataFrame, text_out: bool) -> DataFrame:
-    """Rows (doc_id, text, _spans and others) with the counts, or with text cut down in place."""
+def _finish(rows: DataFrame, marks: str, text_out: bool) -> DataFrame:
+    """Rows (doc_id, text, the spans under ``marks``, and others) with the counts, or with text cut down in place."""
     counts = "n_words long, n_removed long, kept_sha256 string"
-    kept = [c for c in rows.columns if c != "_spans"] if text_out else ["doc_id"]
+    kept = [c for c in rows.columns if c != marks] if text_out else ["doc_id"]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ("" if text_out else ", " + counts)
     names = kept + ([] if text_out else [c.split()[0] for c in counts.split(", ")])
 
@@ -182,7 +189,7 @@ def _finish(rows: DataFrame, text_out: bool) -> DataFrame:
             for lo, hi, data, offs in X.pieces(batch):
                 part, raw = batch.slice(lo, hi - lo), data.tobytes()
                 out, total, removed = [], [], []
-                for i, spans in enumerate(column(part, "_spans")):
+                for i, spans in enumerate(column(part, marks)):
                     words = raw[offs[i] : offs[i + 1]].split()
                     total.append(len(words))
                     cut = 0
@@ -203,7 +210,7 @@ def _finish(rows: DataFrame, text_out: bool) -> DataFrame:
                     columns = [column(part, "doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in out], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.select(*dict.fromkeys([*kept, "text", "_spans"])).mapInArrow(run, schema)
+    return rows.select(*dict.fromkeys([*kept, "text", marks])).mapInArrow(run, schema)
 
 
 def dedup_substrings(docs: DataFrame, length: int = LENGTH, text_out: bool = False) -> DataFrame:
@@ -216,19 +223,22 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, text_out: bool = Fal
     make each other lose words.  Texts shorter than ``length`` words are whole.  Rows in = rows out, and
     further columns are passed through with text_out, else left out.
 
-    Windows where paths branch are compared by two 64-bit hashes of their words, nodes and edges by one.
+    Nodes and edges are compared by one 64-bit hash, the words of spans by two.  Only texts that may
+    have shared nodes, and at the end those that may lose words, are shuffled.
     """
-    docs = docs.withColumn("_tag", F.hash("text"))
-    spans = saved(covered(docs.select("doc_id", "text", F.col("_tag").alias("tag")), length), "spans")
-    spans = spans.select("doc_id", F.col("tag").alias("_tag"), F.col("spans").alias("_spans"))
-    ids = saved(spans.select("doc_id").distinct(), "ids")
-    if ids.count() <= BROADCAST_ROWS:
-        hit = docs.join(F.broadcast(ids), "doc_id", "left_semi").join(spans, ["doc_id", "_tag"], "left")
-        whole = docs.join(F.broadcast(ids), "doc_id", "left_anti").withColumn("_spans", F.lit(None).cast(spans.schema["_spans"].dataType))
-        rows = hit.unionByName(whole)
-    else:
-        rows = docs.join(spans, ["doc_id", "_tag"], "left")
-    return _finish(rows.drop("_tag"), text_out)
+    tag = free_name("_tag", docs.columns)
+    marks = free_name("_spans", [*docs.columns, tag])
+    rows = docs if text_out else docs.select("doc_id", "text")
+    tagged = rows.withColumn(tag, F.hash("text"))
+    spans = covered(tagged.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(tag).alias("tag")), length)
+    spans = saved(spans.select(F.col("doc_id").alias("_of"), F.col("tag").alias("_of_tag"), F.col("spans").alias(marks)), "spans")
+    may = possible(spans.select("_of").distinct(), "_of")
+    hit = tagged.where(may(F.col("doc_id").cast("long")))
+    hit = hit.join(spans.hint("merge"), (hit["doc_id"] == F.col("_of")) & (hit[tag] == F.col("_of_tag")), "left").select(*rows.columns, marks)
+    whole = rows.where(~may(F.col("doc_id").cast("long")))
+    if text_out:
+        return _finish(hit, marks, True).unionByName(whole)
+    return _finish(hit, marks, False).unionByName(_finish(whole.withColumn(marks, F.lit(None).cast(spans.schema[marks].dataType)), marks, False))
 
 
 ORACLE_SQL = r"""
