@@ -107,7 +107,7 @@ def _needed(percent: int) -> Column:
     return F.slice(F.sort_array("beside"), 1, F.greatest(F.lit(0), has - least + 1).cast("int"))
 
 
-def grouped(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+def linked_keys(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
     """node, component of keys: connected by pairs with 100 * intersection >= percent * union; no row for keys without one.
 
     reps: key, doc_id, n, bands, planes, one row per distinct word sequence.
@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, by: tuple[st
     # equal word sequences have equal signatures: which row gives them is all the same
     reps = some.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
     reps = saved(reps, "classes")
-    known = grouped(docs, reps, k, percent).select(F.col("node").alias("key"), "component")
+    known = linked_keys(docs, reps, k, percent).select(F.col("node").alias("key"), "component")
     labelled = saved(reps.select("key", "doc_id").join(known, "key", "left").withColumn("component", F.coalesce("component", "key")), "labelled")
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     labelled = saved(labelled.join(least, "component").select("key", "component_id"), "components")
