@@ -227,14 +227,14 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, text_out: bool = Fal
     have shared nodes, and at the end those that may lose words, are shuffled.
     """
     tag = free_name("_tag", docs.columns)
-    marks = free_name("_spans", [*docs.columns, tag])
+    marks, of, of_tag = (free_name(c, [*docs.columns, tag]) for c in ("_spans", "_of", "_of_tag"))
     rows = docs if text_out else docs.select("doc_id", "text")
     tagged = rows.withColumn(tag, F.hash("text"))
     spans = covered(tagged.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(tag).alias("tag")), length)
-    spans = saved(spans.select(F.col("doc_id").alias("_of"), F.col("tag").alias("_of_tag"), F.col("spans").alias(marks)), "spans")
-    may = possible(spans.select("_of").distinct(), "_of")
+    spans = saved(spans.select(F.col("doc_id").alias(of), F.col("tag").alias(of_tag), F.col("spans").alias(marks)), "spans")
+    may = possible(spans.select(of).distinct(), of)
     hit = tagged.where(may(F.col("doc_id").cast("long")))
-    hit = hit.join(spans.hint("merge"), (hit["doc_id"] == F.col("_of")) & (hit[tag] == F.col("_of_tag")), "left").select(*rows.columns, marks)
+    hit = hit.join(spans.hint("merge"), (F.col("doc_id") == F.col(of)) & (F.col(tag) == F.col(of_tag)), "left").select(*rows.columns, marks)
     whole = rows.where(~may(F.col("doc_id").cast("long")))
     if text_out:
         return _finish(hit, marks, True).unionByName(whole)

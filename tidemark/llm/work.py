@@ -100,8 +100,9 @@ def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     Only rows that may be in gone are shuffled.  Columns are kept, but for key.
     """
     columns = [c for c in docs.columns if c != key]
-    gone = saved(gone.select(F.col("doc_id").alias("_gone_id"), F.col(key).alias("_gone_key")).distinct(), "gone")
-    may = possible(gone, "_gone_key")
-    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col(key) == F.col("_gone_key"))
+    of, of_key = free_name("_gone_id", docs.columns), free_name("_gone_key", docs.columns)
+    gone = saved(gone.select(F.col("doc_id").alias(of), F.col(key).alias(of_key)).distinct(), "gone")
+    may = possible(gone, of_key)
+    same = F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(key) == F.col(of_key))
     doubtful = docs.where(may(F.col(key))).join(gone.hint("merge"), same, "left_anti")
     return docs.where(~may(F.col(key))).select(columns).unionByName(doubtful.select(columns))
