@@ -167,10 +167,32 @@ def test_portions_over_many_bins(spark, monkeypatch, kind):
     assert portions.by_records(df.limit(0), "p", 5).count() == 0
 
 
-def test_numbering_over_bins(spark, monkeypatch):
-    monkeypatch.setattr(changelog, "ROWS_A_BIN", 100)
-    got = changelog.numbered(spark.range(1000).select((F.col("id") * 7 % 1000).alias("k")), ["k"], base=5).orderBy("k").collect()
-    assert [r._seq for r in got] == list(range(6, 1006))
+def test_numbering_over_ranges(spark):
+    """Also with a hot value in the first column, nulls, and ranges that stay apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(1000).select(F.expr("if(id % 3 = 0, null, if(id % 10 < 8, 7, id % 50))").alias("a"), (F.col("id") * 7 % 1000).alias("k"))
+        for order in (["k"], ["a", "k"]):
+            got = changelog.numbered(df, order, base=5).orderBy(*order).collect()
+            assert [r._seq for r in got] == list(range(6, 1006))
+        spread = df.repartitionByRange("a", "k").groupBy(F.spark_partition_id()).count().collect()
+        assert len(spread) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert changelog.numbered(df.limit(0), ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["long", "date", "string", "timestamp", "decimal(12,2)"])
+def test_assigning_by_ranges(spark, kind):
+    make = {"long": "id", "date": "date_add(date'2020-01-01', cast(id as int))", "string": "lpad(id, 4, '0')", "timestamp": "timestamp_seconds(id * 3600)", "decimal(12,2)": "cast(id / 4 as decimal(12,2))"}[kind]
+    df = spark.range(100).select(F.when(F.col("id") % 9 != 0, F.expr(make)).alias("p"), "id")
+    ends = [r[0] for r in spark.range(100).where("id in (10, 30, 31, 60)").select(F.expr(make)).orderBy("id").collect()]
+    cuts = spark.createDataFrame([(2, ends[2], ends[3]), (1, ends[0], ends[1])], f"portion_no long, lo {kind}, hi {kind}")
+    for half_open in (False, True):
+        got = {r.id: r.portion_no for r in portions.assign_portion(df, "p", cuts, half_open).collect()}
+        inside = lambda i, a, b: a <= i < b if half_open else a <= i <= b
+        assert got == {i: 0 if i % 9 == 0 else 1 if inside(i, 10, 30) else 2 if inside(i, 31, 60) else None for i in range(100)}
+    assert {r.portion_no for r in portions.assign_portion(df, "p", cuts.limit(0)).collect()} == {0, None}
 
 
 def test_text_cells(spark):
@@ -235,9 +257,38 @@ def test_tokens_do_not_collide():
     assert len(made) == 4 and scalars.unique_token("a_b") == "A_B"
 
 
-def test_foreign_source_needs_a_driver(spark):
+def test_foreign_source(spark):
+    """A query of another database over JDBC: columns and types come from its result."""
     with pytest.raises(Exception):
         loads.native_source(spark, "jdbc:none:x", "select 1")
+    url = "jdbc:derby:memory:foreign;create=true"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    source = spark.createDataFrame([(1, "a", 2.5), (2, "b", -1.0), (3, "c", 0.25)], "K int, V string, AMOUNT double")
+    source.write.format("jdbc").options(url=url, dbtable="ITEMS", createTableColumnTypes="V VARCHAR(9)", **driver).save()
+    got = loads.native_source(spark, url, "SELECT NULLIF(V, 'b') AS V, COUNT(*) AS N, SUM(AMOUNT) AS S FROM ITEMS WHERE K > 1 GROUP BY V", **driver)
+    assert got.columns == ["V", "N", "S"] and rows(got) == [("c", 1, 0.25), (None, 1, -1.0)]
+
+
+def test_registered_columns():
+    merge.refuse_other_columns(["B", "a"], ["a", "b"])
+    for subset in (["a"], ["a", "b", "c"], []):
+        with pytest.raises(ValueError, match="registered"):
+            merge.refuse_other_columns(subset, ["a", "b"])
+
+
+def test_json_rows(spark):
+    texts = [(1, '{"a": 1, "b": ["x"]}'), (2, '[{"a": 2}, {"b": []}]'), (3, None), (4, "[]"), (5, "nonsense"), (6, '{"a": "text"}')]
+    got = loads.ingest_json(spark.createDataFrame(texts, "id int, body string"), "body", "a int, b array<string>")
+    assert got.columns == ["id", "a", "b"]
+    assert sorted([(r.id, r.a, r.b) for r in got.collect()], key=str) == sorted([(1, 1, ["x"]), (2, 2, None), (2, None, []), (3, None, None), (5, None, None), (6, None, None)], key=str)
+
+
+def test_neighbours_share_buckets(spark):
+    t = Target(spark, fresh_path(spark, "t"), ["id"], 32, stretch=100)
+    t.create(spark.range(3200).select(F.col("id").cast("int").alias("id"), F.lit("a").alias("v")))
+    c = spark.range(200, 232).select(F.col("id").cast("int").alias("id"), F.lit("x").alias("v"))
+    assert len(t.commit(1, c, F.lit(None).cast("timestamp"), F.current_timestamp())) == 1
+    assert t.read().where("v = 'x'").count() == 32 and t.read().count() == 3200
 
 
 def test_log_replay_gives_the_mirror(spark):

@@ -5,33 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import saved
 from .merge import verdicts
 
 CONTROL = ["_seq", "_op", "_run_id", "_commit_ts", "_applied_at"]
-#: Rows that one task numbers.
-ROWS_A_BIN = 200_000
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "_seq", base: int = 0) -> DataFrame:
     """df with base + 1, 2, … in the order of columns that make a total order, without a single-task window.
 
-    Rows fall into bins between cut values of the first column; counts of the bins give the offsets.
+    Rows are dealt by ranges of the whole order, so a hot value of its first column is split by the others, and
+    sorted where they lie; a row's number is its place there and the rows of the ranges before.  The dealt rows
+    are written, so that both come from the same ranges.
     """
-    n = df.count()
-    bins = -(-n // ROWS_A_BIN)
-    cuts: list = []
-    if bins > 1:
-        taken = df.select(order[0]).where(F.col(order[0]).isNotNull()).sample(min(1.0, 100 * bins / n), 7).collect()  # about 100 values a bin
-        values = sorted({r[0] for r in taken})
-        cuts = values[:: max(1, len(values) // bins)][1:]
-    place = F.lit(0)
-    if cuts:
-        place = F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(order[0]))), F.lit(0))
-    rows = df.withColumn("_bin", place)
-    sizes = rows.groupBy("_bin").agg(F.count("*").alias("_n"))
-    offsets = sizes.select("_bin", (F.coalesce(F.sum("_n").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + base).alias("_off"))  # one row a bin
-    inside = F.row_number().over(Window.partitionBy("_bin").orderBy(*order))
-    return rows.withColumn("_in", inside).join(F.broadcast(offsets), "_bin").withColumn(name, (F.col("_off") + F.col("_in")).cast("long")).drop("_bin", "_in", "_off")
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()  # range << 33, and the place in it
+    rows = saved(dealt.withColumns({"_bin": F.shiftright(place, 33), "_in": place.bitwiseAND(F.lit((1 << 33) - 1))}), "numbered")
+    sizes = rows.groupBy("_bin").agg(F.max("_in").alias("_n"))
+    before = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
+    offsets = sizes.select("_bin", (F.coalesce(F.sum(F.col("_n") + 1).over(before), F.lit(0)) + base + 1).alias("_off"))
+    return rows.join(F.broadcast(offsets), "_bin").withColumn(name, (F.col("_off") + F.col("_in")).cast("long")).drop("_bin", "_in", "_off")
 
 
 def log_changes(target: DataFrame, changes: DataFrame, keys: list[str], run_id: int, commit: Column, applied: Column, base: int = 0) -> DataFrame:

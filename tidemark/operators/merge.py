@@ -32,6 +32,13 @@ def refuse_duplicates(df: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"key {tuple(worst[k] for k in keys)} occurs {worst.n} times")
 
 
+def refuse_other_columns(subset: list[str], target: list[str]) -> None:
+    """A registered subset must name exactly the target's columns, whatever their case and order."""
+    a, b = {c.lower() for c in subset}, {c.lower() for c in target}
+    if a != b:
+        raise ValueError(f"registered without a column of the target: {sorted(b - a)}; registered but not in the target: {sorted(a - b)}")
+
+
 def apply_insert(target: DataFrame, changes: DataFrame, op_col: str | None = None) -> DataFrame:
     """Append; of changes with an operation only inserts and updates."""
     if op_col:

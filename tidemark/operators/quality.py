@@ -89,6 +89,12 @@ def validate_full(source: DataFrame, replica: DataFrame, keys: list[str], column
     return out.withColumn("status", F.when(bad, "FAIL").otherwise("PASS"))
 
 
+def ordered_read(df: DataFrame, columns: list[str], n: int | None = None) -> DataFrame:
+    """The compared columns in their own order, nulls first; the first n of them in sample mode."""
+    rows = df.select(columns).orderBy(*[F.asc_nulls_first(c) for c in columns])
+    return rows if n is None else rows.limit(n)
+
+
 def validate_sample(source: DataFrame, replica: DataFrame, keys: list[str], columns: list[str], n: int) -> DataFrame:
     """validate_full of the source rows with the n least key hashes, and the replica's rows of these keys."""
     picked = source.orderBy(F.md5(row_key_text(source, keys)), *keys).limit(n)

@@ -214,10 +214,9 @@ def a_latency(spark, d):
 
 @query("V05_latency_stats", X.with_(X.LAT) + ", " + FIRST + " " + STATS + " WHERE _commit_ts >= (SELECT min(_commit_ts) + INTERVAL 1 DAY FROM g)")
 def v_latency(spark, d):
-    import datetime as dt
-
     log = X.latency_log(spark, d)
-    return _doubles(metrics.latency_stats(log, K, F.lit(log.agg(F.min("_commit_ts")).first()[0] + dt.timedelta(days=1))))
+    since = log.agg((F.min("_commit_ts") + F.expr("interval 1 day")).alias("since")).scalar()  # one row, within the same query
+    return _doubles(metrics.latency_stats(log, K, since))
 
 
 @query("V06_meets_target", X.with_(X.LAT) + ", " + FIRST + f", z AS ({STATS}) SELECT samples, p95, p99, samples > 0 AND p95 <= 28 AND p99 <= 28 AS meets FROM z")
@@ -261,12 +260,18 @@ def s_windowed(spark, d):
 
 # -- streaming -------------------------------------------------------------------------------------------
 
+ROWS_A_FILE = 1_000_000
+
 
-def _stream_of(spark, rows, files: int, key: str):
-    """rows as a directory of files in the order of key, read as a stream of one file a micro-batch at most."""
+def _stream_of(spark, rows, batches: int, key: str):
+    """rows as a directory of files by ranges of key, read as a stream in about so many micro-batches.
+
+    A file has at most ROWS_A_FILE rows, so its size doesn't follow the table's; a micro-batch has many files then.
+    """
     path = fresh_path(spark, "stream")
+    files = max(batches, -(-rows.count() // ROWS_A_FILE))
     rows.repartitionByRange(files, key).write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-files // batches)).parquet(path)
 
 
 @query("S01_stream_cdc", CDC + IMAGE)
@@ -301,11 +306,15 @@ def late_rows(spark, d):
 
 @query("S05_stream_first_apply", X.with_(X.LAT) + "SELECT k, strftime(_commit_ts, '%Y%m%d%H%M%S') AS committed, count(DISTINCT _commit_ts) AS n FROM g GROUP BY 1, 2")
 def stream_first_apply(spark, d):
-    log = X.latency_log(spark, d)
-    path, out = fresh_path(spark, "stream"), fresh_path(spark, "firsts")
-    log.coalesce(1).write.parquet(path)
-    rows = streams.stream_first_apply(spark.readStream.schema(log.schema).parquet(path), K, "2 minutes")
-    rows.writeStream.format("parquet").option("checkpointLocation", fresh_path(spark, "checkpoint")).option("path", out).trigger(availableNow=True).start().awaitTermination()
+    # three deliveries in the order of commits, each read by a run that goes on from the checkpoint of the one before
+    log, out, path, checkpoint = X.latency_log(spark, d), fresh_path(spark, "firsts"), fresh_path(spark, "stream"), fresh_path(spark, "checkpoint")
+    at = F.col("_commit_ts").cast("double")
+    cuts = log.select(at.alias("t")).approxQuantile("t", [1 / 3, 2 / 3], 0.01)
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        part = log.where(at > lo) if lo is not None else log
+        (part.where(at <= hi) if hi is not None else part).write.mode("append").parquet(path)
+        rows = streams.stream_first_apply(spark.readStream.schema(log.schema).parquet(path), K, "2 minutes")
+        rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", out).trigger(availableNow=True).start().awaitTermination()
     back = spark.read.schema(log.schema).parquet(out)
     return back.groupBy("k", F.date_format("_commit_ts", "yyyyMMddHHmmss").alias("committed")).agg(F.count("*").alias("n"))
 

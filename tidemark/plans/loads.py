@@ -85,10 +85,13 @@ def partition_candidates(spark, d):
     return portions.partition_candidates(X.table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
 
 
-@query("L13_ingest_json", "SELECT event_id, CAST(json_extract_string(props, '$.' || json_keys(props)[1]) AS VARCHAR) IS NOT NULL AS has_first FROM events")
+@query("L13_ingest_json", "WITH x AS (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) SELECT event_id, k, i AS part FROM x, (VALUES (0), (1)) v(i) WHERE i = 0 OR event_id % 3 = 0 UNION ALL SELECT event_id, NULL, NULL FROM x WHERE event_id % 5 = 0")
 def ingest_json(spark, d):
-    rows = X.table(spark, d, "events").select("event_id", F.expr("from_json(props, 'map<string,string>')").alias("m"))
-    return rows.select("event_id", F.element_at(F.map_values("m"), 1).isNotNull().alias("has_first"))
+    e = X.table(spark, d, "events")
+    one = lambda i: F.regexp_replace("props", r"\}\s*$", f', "part": {i}}}')
+    text = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(" ["), one(0), F.lit(", "), one(1), F.lit("]"))).otherwise(one(0))  # objects and arrays of them
+    rows = e.select("event_id", text.alias("body")).unionByName(e.where("event_id % 5 = 0").select("event_id", F.lit("{not json").alias("body")))
+    return loads.ingest_json(rows, "body", "k bigint, part int")
 
 
 @query("L14_typed_text", "SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS price, CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders")
@@ -174,9 +177,20 @@ def range_assign(spark, d):
 
 @query("U03_union_portions", "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1")
 def union_portions(spark, d):
-    rows = X.table(spark, d, "lineitem")
+    rows, path = X.table(spark, d, "lineitem").select("l_orderkey", "l_returnflag"), fresh_path(spark, "portions")
     cut = portions.assign_portion(rows, "l_orderkey", portions.by_width(rows, "l_orderkey", parts=4))
-    return loads.union_by_name([cut.where(F.col("portion_no") == i) for i in range(5)]).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    cut.write.partitionBy("portion_no").parquet(path)  # one scan deals the rows out, each portion is then read alone
+    parts = [spark.read.parquet(path).where(F.col("portion_no") == i) for i in range(5)]
+    return loads.union_by_name(parts).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+
+
+@query("T01_ordered_read", "SELECT l_orderkey, l_linenumber, l_returnflag, 'full' AS mode FROM lineitem UNION ALL SELECT * FROM (SELECT l_orderkey, l_linenumber, l_returnflag, 'sample' AS mode FROM lineitem ORDER BY 1, 2, 3 LIMIT 1000)")
+def ordered_read(spark, d):
+    from ..operators import quality
+
+    rows, columns = X.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber", "l_returnflag"]
+    both = [quality.ordered_read(rows, columns, n).withColumn("mode", F.lit(mode)) for n, mode in ((None, "full"), (1000, "sample"))]
+    return loads.union_by_name(both)
 
 
 @query("A12_histogram", "SELECT l_suppkey AS value, count(*) AS n FROM lineitem GROUP BY 1")

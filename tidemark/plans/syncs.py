@@ -376,8 +376,8 @@ def subscription_advance(spark, d):
 @query("C09_retain", X.with_(X.LAT) + "SELECT k, _seq FROM g WHERE NOT (_seq <= 300 AND _applied_at < (SELECT min(_applied_at) + INTERVAL 1 DAY FROM g))")
 def retain(spark, d):
     log = X.latency_log(spark, d)
-    edge = log.agg(F.min("_applied_at")).first()[0] + dt.timedelta(days=1)
-    return changelog.retain(log, [300, 900], F.lit(edge)).select("k", "_seq")
+    edge = log.agg((F.min("_applied_at") + F.expr("interval 1 day")).alias("edge")).scalar()  # one row, within the same query
+    return changelog.retain(log, [300, 900], edge).select("k", "_seq")
 
 
 @query("C10_change_latency", X.with_(X.LAT) + "SELECT k, _seq, CAST(epoch_ms(_applied_at) - epoch_ms(_commit_ts) AS BIGINT) AS ms FROM g WHERE k = 7")

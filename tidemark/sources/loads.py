@@ -106,8 +106,15 @@ def native_source(spark: SparkSession, url: str, query: str, **options) -> DataF
 
 
 def ingest_json(rows: DataFrame, column: str, schema: str) -> DataFrame:
-    """JSON objects in a text column as typed columns beside the others."""
-    return rows.withColumn("_json", F.from_json(column, schema)).select(*[c for c in rows.columns if c != column], "_json.*")
+    """JSON in a text column as typed columns beside the others: one row for an object or null, one for each object of an array.
+
+    Fields that a text lacks, and those of a text that isn't JSON, are null; an empty array gives no row.
+    """
+    text = F.trim(F.col(column))
+    each = F.from_json(F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), F.coalesce(text, F.lit("{}")), F.lit("]"))), f"array<struct<{schema}>>")
+    fields = T.DataType.fromDDL(schema).names
+    out = rows.withColumn("_json", F.explode(F.coalesce(each, F.array(F.lit(None).cast(f"struct<{schema}>")))))
+    return out.select(*[c for c in rows.columns if c != column], *[F.col("_json")[c].alias(c) for c in fields])
 
 
 def union_by_name(parts: list[DataFrame]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,13 +13,15 @@ _own: dict[str, str] = {}
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset, as in tests, below a temporary folder."""
+    """A new path below spark.checkpoint.dir.  Unset, it is a temporary folder in local mode, as in tests, and an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            _own[app] = tempfile.mkdtemp(prefix="spark-")
-        root = _own[app]
+        context = spark.sparkContext
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if context.applicationId not in _own:
+            _own[context.applicationId] = tempfile.mkdtemp(prefix="spark-")
+        root = _own[context.applicationId]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -8,7 +8,7 @@ reader that needs one consistent view reads while no commit runs, or uses an ACI
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.changelog import log_changes
@@ -19,10 +19,13 @@ BUCKET = "__sync_bucket"
 
 
 class Target:
-    """One writer per target. keys are fixed; buckets are counted once at creation."""
+    """One writer per target. keys are fixed; buckets are counted once at creation.
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16):
-        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), keys, buckets
+    stretch: so many neighbours of a whole-number first key share a bucket, so that clustered changes touch few.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16, stretch: int = 0):
+        self.spark, self.path, self.keys, self.buckets, self.stretch = spark, path.rstrip("/"), keys, buckets, stretch
 
     def _files(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -33,10 +36,17 @@ class Target:
         return fs.exists(p)
 
     def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        keys = [F.floor(F.col(self.keys[0]) / self.stretch)] if self.stretch else self.keys
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+
+    def _counted(self, rows: DataFrame) -> tuple[DataFrame, Observation]:
+        """rows whose number and buckets are known once they have been written."""
+        seen = Observation()
+        return rows.observe(seen, F.count("*").alias("n"), F.collect_set(self.bucket()).alias("buckets")), seen
 
     def _put(self, rows: DataFrame, mode: str) -> None:
-        out = rows.withColumn(BUCKET, self.bucket()).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET)
+        # a large bucket is written by several tasks, small ones share one
+        out = rows.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET)
         out.option("partitionOverwriteMode", mode).parquet(f"{self.path}/rows")
 
     def create(self, rows: DataFrame) -> None:
@@ -66,11 +76,15 @@ class Target:
             return []
         merge = merge or (lambda t, c: apply_upsert(t, c, self.keys))
         stage = f"{self.path}/changes/run={run_id}"
-        if not self._exists(f"changes/run={run_id}/_SUCCESS"):
+        if self._exists(f"changes/run={run_id}/_SUCCESS"):
+            seen = self.spark.read.schema(changes.schema).parquet(stage).agg(F.count("*").alias("n"), F.collect_set(self.bucket()).alias("buckets")).first().asDict()
+        else:
             refuse_duplicates(changes, self.keys)
-            changes.write.mode("overwrite").parquet(stage)
+            rows, seen = self._counted(changes)
+            rows.write.mode("overwrite").parquet(stage)
+            seen = seen.get
         changes = self.spark.read.schema(changes.schema).parquet(stage)
-        touched = sorted(r[0] for r in changes.select(self.bucket()).distinct().collect())
+        touched = sorted(seen["buckets"])
         base = before.log_seq if before is not None else 0
         logged = 0
         if touched:
@@ -78,7 +92,7 @@ class Target:
                 rows = log_changes(self.read(touched), changes, self.keys, run_id, commit, applied, base)
                 rows.drop("_run_id").write.mode("overwrite").parquet(f"{self.path}/log/_run_id={run_id}")
             self.rewrite(touched, merge(self.read(touched), changes))
-            logged = changes.count() if log else 0
+            logged = seen["n"] if log else 0
         row = [(run_id, watermark if watermark is not None else (before.watermark if before is not None else None), base + logged)]
         self.spark.createDataFrame(row, "run_id long, watermark string, log_seq long").coalesce(1).write.mode("append").parquet(f"{self.path}/state")
         return touched
@@ -86,9 +100,9 @@ class Target:
     def rewrite(self, touched: list[int], rows: DataFrame) -> None:
         """Overwrite these buckets; one whose last row went writes nothing, so its directory is removed."""
         schema = self.read().schema
-        rows = saved(rows.select([F.col(f.name).cast(f.dataType) for f in schema.fields]), "rewrite")
-        self._put(rows, "dynamic")
-        left = {r[0] for r in rows.select(self.bucket()).distinct().collect()}
+        rows, seen = self._counted(rows.select([F.col(f.name).cast(f.dataType) for f in schema.fields]))
+        self._put(saved(rows, "rewrite"), "dynamic")
+        left = set(seen.get["buckets"])
         for b in set(touched) - left:
             fs, p = self._files(f"{self.path}/rows/{BUCKET}={b}")
             fs.delete(p, True)
