@@ -16,8 +16,9 @@ from .work import BLANK_RUN, BLANKS, saved
 
 #: Weights by rank of the source, repeating; most passes over one document; seed of the order of documents.
 WEIGHTS, MOST_PASSES, SEED = (1, 2, 3), 3, 20_240_601
-#: About so many documents lie in one part of the line of tokens; one task orders a part of one pattern.
-PART_ROWS = 100_000
+#: About so many documents lie in one part of the line of tokens, and most parts as a power of 2: one task orders a part of one
+#: pattern, or adds up the parts of one pattern, so both must stay small.
+PART_ROWS, PART_BITS = 2_000, 20
 #: Most patterns that the driver routes (about a minute); more is refused, never cut.
 MOST_PATTERNS = 200_000
 
@@ -164,7 +165,7 @@ def mix(docs: DataFrame, members: Column, weights=WEIGHTS, most: int = MOST_PASS
     sized = docs.select("doc_id", members.alias("members"), word_count(F.col("text")).alias("size"))
     sized = saved(sized.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id")), "mixing")
     # parts are ranges of the hash, so their number changes no order
-    bits = min(32, (sized.count() // PART_ROWS).bit_length())
+    bits = min(PART_BITS, (sized.count() // PART_ROWS).bit_length())
     sized = sized.withColumn("_part", F.shiftright("_h", 64 - bits) if bits else F.lit(0).cast("long"))
     parts = sized.groupBy("members", "_part").agg(F.sum("size").alias("tokens"))
     parts = saved(parts, "mixing-parts")
