@@ -121,7 +121,7 @@ def warc_records(data: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _archives(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content", F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
 def _inflated(content: pa.Scalar) -> BinaryIO:
@@ -163,13 +163,14 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
         names = [c.split()[0] for c in RECORD.split(", ")]
         kinds = [pa.int64() if c.endswith(" long") else pa.binary() if c.endswith(" binary") else pa.string() for c in RECORD.split(", ")]
         for batch in batches:
-            for content in batch.column(0):
+            for content, archive in zip(batch.column(0), batch.column(1).to_pylist()):
                 rows = []
-                for fields, block in arc_records(_inflated(content)):
+                for number, (fields, block) in enumerate(arc_records(_inflated(content))):
                     head, payload, http = http_parts(block)
                     digest = hashlib.sha1(payload).hexdigest()
                     page = http.get("x-page-id")
-                    name = hashlib.sha1(f"{fields['URL']} {fields['Archive-date']} {page} {digest}".encode()).digest()
+                    # its place is part of a record's name, so repeated pages have records of their own
+                    name = hashlib.sha1(f"{archive} {number} {fields['URL']} {fields['Archive-date']} {page} {digest}".encode()).digest()
                     row = (int(page) if page else None, fields["URL"], fields["IP-address"], warc_date(fields["Archive-date"]), fields["Content-type"])
                     rows.append((*row, head, payload, digest, len(payload), f"<urn:uuid:{uuid.UUID(bytes=name[:16], version=5)}>"))
                     if len(rows) == 256:
@@ -184,12 +185,15 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 def write_warc(records: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
     """A folder of .gz WARC archives, one for each partition of the only exchange of payloads, which is by digest.
 
-    Of equal payloads of ``least`` bytes or more only the one with the largest page_id is stored whole.
+    Of equal payloads of ``least`` bytes or more only the one with the largest page_id is stored whole.  Smaller
+    ones are dealt by their record, so that however many are equal they don't meet; what is kept of large
+    ones is stored first, so that the join stands alone and the rows of a hot payload can be split.
     """
+    records = records.withColumn("_deal", F.when(F.col("payload_bytes") >= least, F.col("payload_digest")).otherwise(F.col("record_id")))
     large = records.where(F.col("payload_bytes") >= least)
-    kept = large.groupBy("payload_digest").agg(F.max(F.struct("page_id", "record_id")).alias("_keep"), F.count("*").alias("_n"))
-    kept = kept.where("_n > 1").drop("_n")
-    rows = records.join(kept, "payload_digest", "left")
+    kept = large.groupBy("_deal").agg(F.max(F.struct("page_id", "record_id")).alias("_keep"), F.count("*").alias("_n"))
+    kept = saved(kept.where("_n > 1").drop("_n"), "warc-kept")
+    rows = records.join(kept.hint("merge"), "_deal", "left")
     later = (F.col("payload_bytes") >= least) & F.col("_keep").isNotNull() & F.coalesce(F.col("page_id") < F.col("_keep.page_id"), F.col("_keep.page_id").isNotNull())
     rows = rows.select("*", F.when(later, F.col("_keep.record_id")).alias("refers_to")).drop("_keep")
     rows = rows.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")))
