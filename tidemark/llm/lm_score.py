@@ -25,7 +25,9 @@ from .work import saved
 
 #: Tokens of a batch, and for each part of the hash range; strength of the smoothing of pairs and of triples.
 BLOCK, PART = 1 << 22, 1 << 21
-STRENGTH = {2: 30.0, 3: 8.0}
+#: Tokens of a step of the traversal.
+STEP = 1 << 18
+STRENGTH = {2: 300.0, 3: 5.0}
 #: The end of a text, as a word's hash.
 END = np.uint64(0x0E0F0E0D0C0B0A09)
 
@@ -71,15 +73,31 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 # -- n-grams of a batch --------------------------------------------------------------------------------
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """X.mix() in place; the lowest bit is left free."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    x &= np.uint64(0xFFFFFFFFFFFFFFFE)
+    return x
+
+
 def grams(h: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(n, place of the last word, hash) of every run of n = 1, 2, 3 words of one text; begin flags first words."""
+    """(n, whether an n-gram ends at each token, its hash) of every run of n = 1, 2, 3 words of one text; begin flags first words."""
     a, b = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-    yield 1, np.arange(len(h)), X.mix(h ^ np.uint64(0x5BD1E995))
-    pairs = X.mix(h[:-1] * a + h[1:] * b)  # ending at 1, 2, …
-    inside = ~begin[1:]
-    yield 2, np.flatnonzero(inside) + 1, pairs[inside]
-    inside = inside[:-1] & inside[1:]
-    yield 3, np.flatnonzero(inside) + 2, X.mix(pairs[:-1] * a + h[2:] * b + np.uint64(1))[inside]
+    there = np.ones(len(h), bool)
+    key = _mixed(h ^ np.uint64(0x5BD1E995))
+    yield 1, there, key
+    for n in (2, 3):
+        # the hash of the n - 1 words before, and the last word
+        there = np.concatenate([[False], there[:-1]]) & ~begin
+        longer = h * b
+        longer += np.uint64(n)
+        longer[1:] += key[:-1] * a
+        key = _mixed(longer)
+        yield n, there, key[there]
 
 
 class Batch:
@@ -120,19 +138,25 @@ def batches(docs: DataFrame) -> DataFrame:
 
         task = TaskContext.get().partitionId()
         number, made = task << 36, task << 28
-        held: list[tuple] = []
+        held: list[list] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            h = np.concatenate([x[0] for x in held])
-            word, index, c = np.unique(h, return_inverse=True, return_counts=True)
-            rank = np.argsort(-c, kind="stable")  # frequent words get small numbers
-            place = np.empty(len(rank), np.int64)
-            place[rank] = np.arange(len(rank))
-            first = np.cumsum(np.concatenate([[0], *[x[1] for x in held]]))
-            lists = [np.concatenate([x[k] for x in held]) for k in (2, 5, 6)]
-            ids, outs = (pa.concat_arrays([x[k] for x in held]) for k in (3, 4))
-            row = [[made], [len(h)], [lists[0]], [ids.to_pylist()], [outs.to_pylist()], [lists[1]], [first], [lists[2]], [word[rank].tobytes()], [pack(place[index])]]
+            h = np.concatenate([x.pop(0) for x in held])
+            word = h.copy()
+            word.sort()
+            heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            rank = np.argsort(-np.diff(np.append(heads, len(word))), kind="stable")  # frequent words get small numbers
+            word = word[heads]
+            place = np.empty(len(rank), np.int32)
+            place[rank] = np.arange(len(rank), dtype=np.int32)
+            index = np.empty(len(h), np.int32)
+            for at in range(0, len(h), STEP):
+                index[at : at + STEP] = place[np.searchsorted(word, h[at : at + STEP])]
+            first = np.cumsum(np.concatenate([[0], *[x[0] for x in held]]))
+            lists = [np.concatenate([x[k] for x in held]) for k in (1, 4, 5)]
+            ids, outs = (pa.concat_arrays([x[k] for x in held]) for k in (2, 3))
+            row = [[made], [len(h)], [lists[0]], [ids.to_pylist()], [outs.to_pylist()], [lists[1]], [first], [lists[2]], [word[rank].tobytes()], [pack(index)]]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
 
         names = [c.split()[0] for c in CORPUS.split(", ")]
@@ -143,13 +167,13 @@ def batches(docs: DataFrame) -> DataFrame:
                 ids, out = batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo)
                 text, begin, end, skip = _stretches(first, block)
                 if len(text) == hi - lo:
-                    parts = [(h, np.diff(first), number + text, ids, out, np.zeros(len(text), bool), skip)]
+                    parts = [[h, np.diff(first), number + text, ids, out, np.zeros(len(text), bool), skip]]
                 else:
                     cut = np.bincount(text)[text] > 1
-                    parts = [(h[a:b], np.array([b - a]), np.array([number + t]), ids.slice(t, 1), out.slice(t, 1), np.array([c]), np.array([s])) for t, a, b, s, c in zip(text, begin, end, skip, cut)]
+                    parts = [[h[a:b], np.array([b - a]), np.array([number + t]), ids.slice(t, 1), out.slice(t, 1), np.array([c]), np.array([s])] for t, a, b, s, c in zip(text, begin, end, skip, cut)]
                 for part in parts:
-                    held.append(part)
                     size += len(part[0])
+                    held.append(part)
                     if size >= block:
                         yield flush()
                         made, size = made + 1, 0
@@ -171,18 +195,21 @@ def sent(corpus: DataFrame, bits: int) -> DataFrame:
             for i in range(batch.num_rows):
                 b = Batch(batch.slice(i, 1).to_pylist()[0])
                 learned = b.spread([x is False for x in b.row["held_out"]]) & b.own
-                for n, at, key in grams(b.h, b.begin):
-                    found = np.unique(key)
-                    mine, c = np.unique(key[learned[at]], return_counts=True)
-                    counts = np.zeros(len(found), np.int64)
-                    counts[np.searchsorted(found, mine)] = c
+                for n, there, key in grams(b.h, b.begin):
+                    key = key | learned[there]  # in the free bit
+                    key.sort()
+                    found = key & np.uint64(0xFFFFFFFFFFFFFFFE)
+                    heads = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])[: len(found)])
+                    found = found[heads]
+                    counts = np.add.reduceat((key & np.uint64(1)).astype(np.int32), heads) if len(heads) else heads
+                    del key, heads
                     bounds = np.concatenate([[0], np.searchsorted(found, edges), [len(found)]])
                     parts = np.flatnonzero(np.diff(bounds))
-                    if len(parts):
-                        packed = [(pack_sorted(found[bounds[p] : bounds[p + 1]]), pack(counts[bounds[p] : bounds[p + 1]])) for p in parts]
-                        size = len(parts)
+                    for some in np.array_split(parts, -(-len(parts) // 32)) if len(parts) else []:
+                        packed = [(pack_sorted(found[bounds[p] : bounds[p + 1]]), pack(counts[bounds[p] : bounds[p + 1]])) for p in some]
+                        size = len(some)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(parts.astype(np.int32)), pa.array(np.full(size, n, np.int32)), pa.array(np.full(size, b.row["batch"])), pa.array([g for g, _ in packed], pa.binary()), pa.array([x for _, x in packed], pa.binary())],
+                            [pa.array(some.astype(np.int32)), pa.array(np.full(size, n, np.int32)), pa.array(np.full(size, b.row["batch"])), pa.array([g for g, _ in packed], pa.binary()), pa.array([x for _, x in packed], pa.binary())],
                             ["part", "n", "batch", "grams", "counts"],
                         )
 
@@ -257,21 +284,27 @@ def traversed(corpus: DataFrame, counts: DataFrame, made: Automaton) -> DataFram
         if not rows:
             return pa.Table.from_arrays([pa.array([], k) for k in kinds], names)
         b = Batch(rows[0])
-        at_end = {n: np.zeros(len(b.h)) for n in (1, 2, 3)}
+        at_end = {n: np.zeros(len(b.h), np.int64) for n in (1, 2, 3)}
         answers = answers.sort_by([("n", "ascending"), ("part", "ascending")])
         orders = answers["n"].to_numpy()
-        for n, at, key in grams(b.h, b.begin):
-            if len(at):
+        for n, there, key in grams(b.h, b.begin):
+            if len(key):
                 found = np.concatenate([unpack(answers["counts"][int(i)].as_py()) for i in np.flatnonzero(orders == n)])
                 order = np.argsort(key)
-                new = np.ones(len(key), bool)
-                new[1:] = key[order[1:]] != key[order[:-1]]
-                at_end[n][at[order]] = found[np.cumsum(new) - 1]
+                key = key[order]
+                index = np.concatenate([[0], np.cumsum(key[1:] != key[:-1], dtype=np.int32)])
+                of = np.empty(len(key), np.int64)
+                of[order] = found[index]
+                at_end[n][there] = of
+                del found, order, key, index, of
         texts = len(b.first) - 1
         owner = b.spread(np.arange(texts))[b.own]
         add = lambda v: np.bincount(owner, v[b.own], texts)
-        zero = np.zeros(len(b.h))
-        score, base = (made.traverse(b.begin, at_end[1], at_end[2], at_end[3]), made.base(at_end[1])) if made.total else (zero, zero)
+        score, base = np.zeros(len(b.h)), np.zeros(len(b.h))
+        for s in range(0, len(b.h) if made.total else 0, STEP):
+            lo, hi = max(0, s - 1), s + STEP  # with the token that the state comes from
+            score[s:hi] = made.traverse(b.begin[lo:hi], *[at_end[n][lo:hi] for n in (1, 2, 3)])[s - lo :]
+            base[s:hi] = made.base(at_end[1][s:hi])
         known = add(at_end[1] > 0).astype(np.int64)
         columns = [b.row["row"], b.row["doc_id"], b.row["held_out"], b.row["cut"], np.bincount(owner, minlength=texts), known, add(base), add(score)]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
