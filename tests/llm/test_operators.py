@@ -173,6 +173,15 @@ def test_archives(spark):
     assert warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def test_every_record_has_its_own_identifier(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "x" * 2000)] * 3 + [(2, "http://a/", "x")] * 4, "page_id long, url string, html string")
+    arc, out = fresh_path(spark, "arc"), fresh_path(spark, "warc")
+    warc.write_arc(pages, arc)
+    warc.convert(spark, arc, out)
+    rows = warc.read_warc(spark, out).collect()
+    assert len({r.record_id for r in rows}) == 7 and all(r.record_type == "response" for r in rows)
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_versions(version):
     data = warc.arc_opening(version, "x.arc") + b"\n" + warc.arc_record(version, "x.arc", 5, "http://a b/", "hi") + b"\n" + warc.arc_record(version, "x.arc", None, None, None) + b"\n"
@@ -353,9 +362,10 @@ def brute_lm(rows, held):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block,part", [(1 << 22, 1 << 21), (50, 100), (7, 10)])
-def test_lm_scores_equal_brute_force(spark, odd, monkeypatch, block, part):
+@pytest.mark.parametrize("block,part,step", [(1 << 22, 1 << 21, 1 << 18), (50, 100, 16), (7, 10, 3)])
+def test_lm_scores_equal_brute_force(spark, odd, monkeypatch, block, part, step):
     """Also where texts are cut into stretches and n-grams dealt over many parts."""
+    monkeypatch.setattr(lm_score, "STEP", step)
     monkeypatch.setattr(lm_score, "BLOCK", block)
     monkeypatch.setattr(lm_score, "PART", part)
     r = random.Random(3)
@@ -475,15 +485,15 @@ def test_results_do_not_depend_on_the_filter(spark, odd, monkeypatch):
     assert sorted(map(tuple, near_dup.near_duplicates(odd, 3, 85).collect()), key=str) == brute_near(rows, 3, 85)
 
 
-@pytest.mark.parametrize("bits", [6, 27])
-def test_without_drops_rows_by_id_and_text(spark, monkeypatch, bits):
+@pytest.mark.parametrize("bits,native", [(6, False), (27, False), (0, True)])
+def test_without_drops_rows_by_id_and_text(spark, monkeypatch, bits, native):
     monkeypatch.setattr(work, "FILTER_BITS", bits)
     docs = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a"), (None, "c"), (2, None), (3, None), (4, "a"), (4, "a")], "doc_id long, text string").withColumn("_text_key", F.lit(1)).withColumn("_gone_id", F.lit(2))
     keyed, key = work.text_key(docs)
     gone = keyed.where("(doc_id = 1 and text = 'a') or (doc_id is null and text = 'c') or doc_id = 3 or doc_id = 4")
-    left = work.without(keyed, gone, key)
+    left = work.without(keyed, gone, key, native)
     assert left.columns == docs.columns and sorted([(r.doc_id, r.text) for r in left.collect()], key=str) == sorted([(1, "b"), (None, "a"), (2, None)], key=str)
-    assert work.without(keyed, gone.limit(0), key).count() == 8
+    assert work.without(keyed, gone.limit(0), key, native).count() == 8
 
 
 # -- 8: decontamination ------------------------------------------------------------------------------------------

@@ -9,14 +9,13 @@ loses none: a window whose first shingle is not in the item never gets less simi
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .work import BLANK_RUN, BLANKS, saved
+from .work import BLANK_RUN, BLANKS, possible_natively, saved
 
 #: Words of a shingle; least weighted similarity, in percent.
 SHINGLE, PERCENT = 5, 80
@@ -24,9 +23,6 @@ SHINGLE, PERCENT = 5, 80
 RADIUS, BLOCKS = 23, 8
 #: Rows of shingles and probes that are broadcast at once (about 40 bytes each); a larger benchmark is handled in blocks of items.
 ROWS = 1_000_000
-#: Most words of 64 bits in the bitmap of shingles, which travels with the plan; a fuller bitmap passes more places to the join.
-BITMAP = 1 << 16
-
 _LANES = 0x0001000100010001
 _NEAR = [0] + [1 << i for i in range(8)] + [1 << i | 1 << j for i in range(8) for j in range(i)]
 
@@ -65,17 +61,6 @@ def _block(fp: Column, b: int) -> Column:
     return F.shiftrightunsigned(fp, 8 * b).bitwiseAND(F.lit(0xFF)).cast("int")
 
 
-def _maybe(shingles: DataFrame):
-    """A column function: may a hash be one of the shingles?  A bitmap of 64 bits for each, up to BITMAP words."""
-    size = 1 << max(6, min(BITMAP, shingles.count()).bit_length())
-    word, bit = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(size - 1)), F.expr("shiftleft(1L, cast(h & 63 as int))")
-    bitmap = np.zeros(size, np.int64)
-    for r in shingles.groupBy(word.alias("at")).agg(F.bit_or(bit).alias("bits")).collect():  # at most ``size`` rows
-        bitmap[r["at"]] = r["bits"]
-    table = F.from_json(F.lit(json.dumps(bitmap.tolist())), "array<bigint>")
-    return lambda h: F.getbit(F.get(table, F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(size - 1)).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1
-
-
 def _one_block(docs: DataFrame, by: list[str], items: DataFrame, spread: DataFrame, sizes: list[int], percent: int) -> DataFrame:
     """The columns ``by`` of docs, item_id, start, similarity of windows of docs near one of the items of a block.
 
@@ -85,7 +70,7 @@ def _one_block(docs: DataFrame, by: list[str], items: DataFrame, spread: DataFra
     weighed = counts.join(spread, "h").groupBy("item").agg(F.collect_list(F.struct("h", (1.0 / F.col("df")).alias("w"), F.col("c").cast("double").alias("c"))).alias("shingles"))
     items = saved(with_fingerprint(items, "grams").join(weighed, "item"), "items")
     lengths = saved(items.select(F.explode("grams").alias("h"), "k", "words").distinct(), "item-grams")
-    may = _maybe(lengths.select("h").distinct())
+    may = possible_natively(lengths.select("h").distinct())
 
     # one pass: the shingles of every size that an item has, and the places of those that may be the benchmark's
     rows = _once(docs.select(*by, "text"), "_h", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w))).drop("text")

@@ -126,7 +126,11 @@ def line_first_clean(docs: DataFrame) -> DataFrame:
 
 
 def cleaned_text(docs: DataFrame) -> DataFrame:
-    """docs with the text reduced to its passing lines; blank lines go; a null text stays null."""
+    """docs with the text reduced to its passing lines; blank lines go.
+
+    A null text stays null and an empty one empty; a text all of whose lines fail becomes empty.  Repeated rows and
+    null ids stay, other columns are as they were, an empty table gives none.
+    """
     lines = F.filter(line_facts(F.col("text")), passes).getField("line")
     return docs.withColumn("text", F.array_join(lines, "\n"))
 

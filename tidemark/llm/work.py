@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 import uuid
@@ -88,21 +89,40 @@ def possible(wanted: DataFrame, key: str) -> Callable[[Column], Column]:
     return lambda c: check(F.xxhash64(c))
 
 
+#: Most words of 64 bits in the bitmap of possible_natively(), which travels with the plan.
+BITMAP = 1 << 16
+
+
+def possible_natively(wanted: DataFrame) -> Callable[[Column], Column]:
+    """possible() without Python, for hashes: a test that every h of wanted passes, and few others.
+
+    A bitmap of 64 bits a hash, up to BITMAP words; a fuller one lets more rows pass to the join that must follow.
+    """
+    size = 1 << max(6, min(BITMAP, wanted.count()).bit_length())
+    word, bit = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(size - 1)), F.expr("shiftleft(1L, cast(h & 63 as int))")
+    bitmap = np.zeros(size, np.int64)
+    for r in wanted.groupBy(word.alias("at")).agg(F.bit_or(bit).alias("bits")).collect():  # at most ``size`` rows
+        bitmap[r["at"]] = r["bits"]
+    table = F.from_json(F.lit(json.dumps(bitmap.tolist())), "array<bigint>")
+    return lambda h: F.getbit(F.get(table, F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(size - 1)).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def text_key(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs with a hash of the text in a new column, and its name: with doc_id it tells rows apart whose doc_id is the same."""
     name = free_name("_text_key", docs.columns)
     return docs.withColumn(name, F.xxhash64("text")), name
 
 
-def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+def without(docs: DataFrame, gone: DataFrame, key: str, native: bool = False) -> DataFrame:
     """docs without the rows whose doc_id and ``key``, from text_key(), are in gone; a null doc_id is a value like others.
 
-    Only rows that may be in gone are shuffled.  Columns are kept, but for key.
+    Only rows that may be in gone are shuffled.  Columns are kept, but for key.  native: the filter is a
+    column expression, for at most some million rows that go.
     """
     columns = [c for c in docs.columns if c != key]
     of, of_key = free_name("_gone_id", docs.columns), free_name("_gone_key", docs.columns)
     gone = saved(gone.select(F.col("doc_id").alias(of), F.col(key).alias(of_key)).distinct(), "gone")
-    may = possible(gone, of_key)
+    may = possible_natively(gone.select(F.col(of_key).alias("h"))) if native else possible(gone, of_key)
     same = F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(key) == F.col(of_key))
     doubtful = docs.where(may(F.col(key))).join(gone.hint("merge"), same, "left_anti")
     return docs.where(~may(F.col(key))).select(columns).unionByName(doubtful.select(columns))
