@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Every row is judged by its own text, rows with a null doc_id too; null and empty texts stay.
     """
     docs, key = text_key(docs)
-    return without(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"), by=("doc_id", key)), key)
+    return without(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"), by=("doc_id", key)), key, native=True)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
