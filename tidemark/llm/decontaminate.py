@@ -101,7 +101,7 @@ def _one_block(docs: DataFrame, by: list[str], items: DataFrame, spread: DataFra
     total = lambda f: F.aggregate("times", F.lit(0.0), lambda a, g: a + f(g))
     both = total(lambda g: g["w"] * F.least(g["c"], g["n"]))
     any_ = total(lambda g: g["w"] * F.greatest(g["c"], g["n"])) + F.size("window") - total(lambda g: g["n"])
-    pairs = _once(pairs, "similarity", both / any_)
+    pairs = _once(pairs, "similarity", F.round(both / any_, 9))  # so that equal windows tie
     return pairs.where(100 * F.col("similarity") >= percent - 1e-9).select(*by, "item_id", "start", "similarity")
 
 
@@ -136,3 +136,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, percent: int
         found = found.union(_one_block(docs, by, whole.where(F.pmod("item", F.lit(blocks)) == i), spread, sizes, percent))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s")))
     return found.groupBy(*by, "item_id").agg(best.alias("b")).select(*by, "item_id", (-F.col("b.s")).alias("start"), F.col("b.similarity").alias("similarity"))
+
+
+ORACLE_SQL = r"""
+WITH i AS (SELECT row_number() OVER () AS item, * FROM (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark) WHERE len(w) > 0),
+g AS (SELECT item, k, n, s, count(*) AS c FROM (SELECT item, k, n, list_slice(w, p, p + k - 1) AS s FROM (SELECT item, w, len(w) AS n, least(len(w), 5) AS k, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS p FROM i)) GROUP BY ALL),
+f AS (SELECT k, s, 1.0 / count(DISTINCT item) AS weight FROM g GROUP BY k, s),
+d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+e AS (SELECT r, doc_id, k, p - 1 AS p, len(w) - k + 1 AS m, list_slice(w, p, p + k - 1) AS s FROM (SELECT r, doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM g) WHERE len(w) >= k)),
+c AS (SELECT DISTINCT r, doc_id, k, n, m, greatest(0, least(p, m - 1 + k - n)) AS start FROM e JOIN (SELECT DISTINCT k, n, s FROM g) USING (k, s)),
+v AS (SELECT c.r, c.doc_id, c.k, c.n, c.start, e.s, count(*) AS q FROM c JOIN e ON e.r = c.r AND e.k = c.k AND e.p BETWEEN c.start AND c.start + c.n - c.k GROUP BY ALL),
+a AS (SELECT r, doc_id, k, n, start, sum(q) AS size FROM v GROUP BY ALL),
+b AS (SELECT DISTINCT r, doc_id, k, n, start, item FROM v JOIN g USING (k, n, s)),
+x AS (SELECT b.r, b.doc_id, b.k, b.n, b.start, b.item, sum(weight * least(g.c, coalesce(q, 0))) AS inside, sum(weight * greatest(g.c, coalesce(q, 0))) AS most, sum(coalesce(q, 0)) AS seen
+        FROM b JOIN g USING (item) JOIN f ON f.k = g.k AND f.s = g.s LEFT JOIN v ON v.r = b.r AND v.k = b.k AND v.n = b.n AND v.start = b.start AND v.s = g.s GROUP BY ALL),
+y AS (SELECT x.doc_id, item_id, x.start, round(CAST(inside AS DOUBLE) / (most + size - seen), 9) AS similarity FROM x JOIN a USING (r, k, n, start) JOIN i USING (item))
+SELECT doc_id, item_id, CAST(min(start) AS INT) AS start, similarity FROM (SELECT *, max(similarity) OVER (PARTITION BY doc_id, item_id) AS best FROM y WHERE 100 * similarity >= 80 - 1e-9) WHERE similarity = best GROUP BY doc_id, item_id, similarity
+"""

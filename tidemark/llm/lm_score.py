@@ -336,3 +336,23 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
     cut = done.where("cut").groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"), *sums)
     return done.where("not cut").select(columns).unionByName(cut.select(columns))
+
+
+# CRC-32 of an id as text is spelled out: 3988292384 is its polynomial.
+ORACLE_SQL = r"""
+WITH c256 AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END, i) AS c FROM range(256) r(i))),
+d AS (SELECT doc_id, xor(list_reduce(list_transform(str_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda a, b: xor(t[1 + (xor(a, b) & 255)], a >> 8), 4294967295), 4294967295) % 7 = 2 AS held_out,
+        list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') || [' '] AS w FROM documents, c256),
+x AS (SELECT doc_id, held_out, w[p] AS c, CASE WHEN p > 1 THEN w[p - 1] END AS b, CASE WHEN p > 2 THEN w[p - 2] END AS a FROM (SELECT *, unnest(range(1, len(w) + 1)) AS p FROM d)),
+u AS (SELECT c, count(*) AS n FROM x WHERE NOT held_out GROUP BY c),
+v AS (SELECT b, c, count(*) AS n FROM x WHERE NOT held_out AND b IS NOT NULL GROUP BY b, c),
+t AS (SELECT a, b, c, count(*) AS n FROM x WHERE NOT held_out AND a IS NOT NULL GROUP BY a, b, c),
+f AS (SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS types, CASE WHEN count(*) FILTER (n = 1) > 0 AND count(*) FILTER (n = 2) > 0 THEN least(0.9, greatest(0.1, count(*) FILTER (n = 1) / (count(*) FILTER (n = 1) + 2.0 * count(*) FILTER (n = 2)))) ELSE 0.5 END AS d FROM u),
+p AS (SELECT x.doc_id, x.held_out, x.a, x.b, coalesce(u.n, 0) AS c1, coalesce(h.n, 0) AS h1, coalesce(v.n, 0) AS c2, coalesce(g.n, 0) AS h2, coalesce(t.n, 0) AS c3
+        FROM x LEFT JOIN u ON u.c = x.c LEFT JOIN u h ON h.c = x.b LEFT JOIN v ON v.b = x.b AND v.c = x.c LEFT JOIN v g ON g.b = x.a AND g.c = x.b LEFT JOIN t ON t.a = x.a AND t.b = x.b AND t.c = x.c),
+q AS (SELECT *, CAST(CASE WHEN c1 > 0 THEN c1 - d ELSE d * types END AS DOUBLE) / total AS p1 FROM p, f),
+r AS (SELECT *, CASE WHEN b IS NULL THEN p1 ELSE (c2 + PAIRS * p1) / (h1 + PAIRS) END AS p2 FROM q)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (c1 > 0) AS n_known, total AS train_tokens, round(sum(log10((c1 + 1.0) / CAST(total + types + 1 AS DOUBLE))), 6) AS base_score,
+       round(sum(log10(CASE WHEN a IS NULL THEN p2 ELSE (c3 + TRIPLES * p2) / (h2 + TRIPLES) END)), 6) AS score
+FROM r GROUP BY doc_id, held_out, total
+""".replace("PAIRS", str(STRENGTH[2])).replace("TRIPLES", str(STRENGTH[3]))

@@ -42,7 +42,8 @@ def op5_token_counts(spark, sf_dir):
 
 
 def op6_lm_score(spark, sf_dir):
-    return lm_score.score(table(spark, sf_dir, "documents"), remainder(7) == 2)
+    rows = lm_score.score(table(spark, sf_dir, "documents"), remainder(7) == 2)
+    return rows.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})  # sums of any order agree
 
 
 def op7_substring_dedup(spark, sf_dir):
@@ -63,4 +64,4 @@ def op10_near_dup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_quality_rules, op4_mixing, op5_token_counts, op6_lm_score, op7_substring_dedup, op8_decontaminate, op9_toxicity, op10_near_dup)}
-ORACLE_SQL = {"op2_warc": warc.ORACLE_SQL, "op3_quality_rules": quality_rules.ORACLE_SQL, "op7_substring_dedup": substring_dedup.ORACLE_SQL, "op10_near_dup": near_dup.ORACLE_SQL}
+ORACLE_SQL = {"op2_warc": warc.ORACLE_SQL, "op3_quality_rules": quality_rules.ORACLE_SQL, "op6_lm_score": lm_score.ORACLE_SQL, "op7_substring_dedup": substring_dedup.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL, "op10_near_dup": near_dup.ORACLE_SQL}
