@@ -5,7 +5,8 @@ node, and equal windows have equal ones; edges are the words from one node to th
 occurrences have the same edge in and the same edge out doesn't branch: joins on node hashes find these, and
 runs of them along a document compact into one path.  Every document that holds a path is then read again at
 the path's source coordinates: the repeated span of a path is verified as a whole, by two hashes of all its
-words, and windows where paths branch are verified one by one.
+words.  Where paths branch, windows are first verified by the stretch from the node before them to the node
+after them, all windows of a stretch at once, and only those of stretches that no smaller document has one by one.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as X
-from .work import free_name, possible, saved
+from .work import free_name, possible, release, saved
 
 #: Words of a window; words of a node.
 LENGTH, NODE = 50, 8
@@ -110,7 +111,11 @@ def compacted(shared: DataFrame) -> DataFrame:
 
 
 def located(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
-    """doc_id, tag, lo, hi, h1, h2: the word range of every path's windows and of every window where paths branch, with hashes of its words."""
+    """doc_id, tag, lo, hi, h1, h2, w1, w2: word ranges of consecutive windows, with hashes of what tells them.
+
+    For the windows of a path these are hashes of their words, and w1, w2 are null; for windows where paths branch
+    hashes of the stretch of nodes around them, and w1, w2 are lists with the hashes of each window.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,25 +143,41 @@ def located(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
                 mine = mine[there]
                 start = got.start[there]
                 whole = inner[mine] & (start >= left[mine]) & (start + length <= right[mine])
-                lo, hi = start[~whole], start[~whole] + length
-                if whole.any():  # the windows of a path follow each other
-                    path, at = mine[whole], start[whole]
-                    new = np.flatnonzero(np.concatenate([[True], (path[1:] != path[:-1]) | (at[1:] != at[:-1] + 1)]))
-                    lo = np.concatenate([lo, at[new]])
-                    hi = np.concatenate([hi, at[np.append(new[1:], len(at)) - 1] + length])
-                    order = np.argsort(lo, kind="stable")
-                    lo, hi = lo[order], hi[order]
-                if not len(lo):
+                # windows that follow each other on one path, or on one stretch of nodes, make one row: a stretch reaches
+                # over all shared nodes that follow each other, or around a window that looks out of these
+                before = np.searchsorted(got.place, start, "right") - 1
+                after = np.searchsorted(got.place + NODE, start + length)
+                shared = run_of >= 0
+                apart = np.flatnonzero(np.concatenate([[True], ~shared[1:] | ~shared[:-1] | (got.owner[1:] != got.owner[:-1])]))
+                edge = np.searchsorted(apart, got.node[there], "right")
+                from_, upto = apart[edge - 1], np.append(apart[1:], len(shared))[edge - 1] - 1
+                inside = (from_ <= before) & (after <= upto)
+                before, after = np.where(inside, from_, before), np.where(inside, upto, after)
+                before, after = np.where(whole, mine, before), np.where(whole, -1, after)
+                new = np.ones(len(start), bool)
+                new[1:] = (before[1:] != before[:-1]) | (after[1:] != after[:-1]) | (start[1:] != start[:-1] + 1)
+                head = np.flatnonzero(new)
+                if not len(head):
                     continue
+                bounds = np.append(head, len(start))
+                lo, hi, path = start[head], start[bounds[1:] - 1] + length, whole[head]
+                told = np.empty((len(VERIFY), len(head)), np.uint64)
+                some, rest = np.flatnonzero(path), np.flatnonzero(~path)  # ranges rise within each kind
+                for k, salt in enumerate(VERIFY):
+                    told[k, some] = X.gram_hashes(h, lo[some], hi[some], salt)
+                    told[k, rest] = X.gram_hashes(h, got.place[before[head[rest]]], got.place[after[head[rest]]] + NODE, salt)
                 text = np.searchsorted(w.first, lo, "right") - 1
-                hashes = [X.longs(X.gram_hashes(h, lo, hi, salt)) for salt in VERIFY]  # in the order of lo the ends rise too
+                hashes = [X.longs(x) for x in told]
+                open_ = np.flatnonzero(~whole)
+                ends = np.concatenate([[0], np.cumsum(np.where(path, 0, np.diff(bounds)))])
+                each = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32), mask=np.append(path, False)), X.longs(X.gram_hashes(h, start[open_], start[open_] + length, salt))) for salt in VERIFY]
                 take, base = pa.array(text), w.first[text]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)), *hashes], names)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)), *hashes, *each], names)
 
-    names = ["doc_id", "tag", "lo", "hi", "h1", "h2"]
+    names = ["doc_id", "tag", "lo", "hi", "h1", "h2", "w1", "w2"]
     may = possible(runs.select("doc_id").distinct(), "doc_id")
     rows = docs.where(may(F.col("doc_id"))).join(runs.hint("merge"), ["doc_id", "tag"]).select("doc_id", "tag", "text", "runs")
-    return rows.mapInArrow(run, "doc_id long, tag int, lo int, hi int, h1 long, h2 long")
+    return rows.mapInArrow(run, "doc_id long, tag int, lo int, hi int, h1 long, h2 long, w1 array<long>, w2 array<long>")
 
 
 def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -170,10 +191,24 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     graph = saved(graph.where("least < most").select("key", "inner"), "graph")
     shared = saved(found.select("key", "doc_id", "tag", "place").join(graph.hint("merge"), "key").drop("key"), "shared")
     rows = saved(located(docs, saved(compacted(shared), "runs"), length), "located")
+    release(docs.sparkSession)
+    first = _first(rows)
+    again = F.col("doc_id") > F.col("least")
+    found = rows.drop("w1", "w2").join(first.hint("merge"), ["h1", "h2"]).where(again).select("doc_id", "tag", "lo", "hi")
+    # What a stretch that goes holds is held by the smallest document of that stretch too, whose windows are still here.
+    left = rows.where("w1 is not null").alias("a").join(first.hint("merge").alias("b"), (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2")) & again, "left_anti")
+    left = saved(left.select("doc_id", "tag", "lo", "w1", "w2"), "windows")
+    release(docs.sparkSession)
+    each = left.select("doc_id", "tag", "lo", F.posexplode(F.arrays_zip("w1", "w2")).alias("i", "w"))
+    each = each.select("doc_id", "tag", (F.col("lo") + F.col("i")).alias("lo"), F.col("w.w1").alias("h1"), F.col("w.w2").alias("h2"))
+    singly = each.join(_first(each).hint("merge"), ["h1", "h2"]).where(again).select("doc_id", "tag", "lo", (F.col("lo") + length).alias("hi"))
+    return found.union(singly).groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
+
+
+def _first(rows: DataFrame) -> DataFrame:
+    """h1, h2, least: the smallest document of all that more than one has."""
     first = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    first = saved(first.select("h1", "h2", "least"), "first")
-    spans = rows.join(first.hint("merge"), ["h1", "h2"]).where("doc_id > least")
-    return spans.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
+    return saved(first.select("h1", "h2", "least"), "first")
 
 
 def _finish(rows: DataFrame, marks: str, text_out: bool) -> DataFrame:

@@ -46,6 +46,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Frees the shuffle files of steps whose results have been written.
+
+    Spark deletes them when the driver's JVM finds that nothing refers to them, which may be long after.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def free_name(name: str, taken: list[str]) -> str:
     """name, with more underscores if columns are called so already."""
     low = {c.lower() for c in taken}
