@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as X
-from .work import saved
+from .work import release, saved
 
 #: Tokens of a batch, and for each part of the hash range; strength of the smoothing of pairs and of triples.
 BLOCK, PART = 1 << 22, 1 << 21
@@ -329,6 +329,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     corpus = saved(batches(rows), "lm-corpus")
     size = corpus.agg(F.sum("size")).first()[0] or 0
     counts = saved(counted(sent(corpus, max(0, size // PART).bit_length())), "lm-counts")
+    release(docs.sparkSession)  # the n-grams sent are the largest part of what is written
     t = counts.where("batch is null").agg(*[F.sum(c).alias(c) for c in ("total", "types", "once", "twice")]).first()
     made = Automaton(*[int(x or 0) for x in t])
     done = saved(traversed(corpus, counts.where("batch is not null"), made), "lm-scores")

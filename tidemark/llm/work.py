@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -51,7 +53,10 @@ def release(spark: SparkSession) -> None:
 
     Spark deletes them when the driver's JVM finds that nothing refers to them, which may be long after.
     """
-    spark.sparkContext._jvm.System.gc()
+    gc.collect()  # plans that only Python's garbage refers to
+    for _ in range(2):  # what the first pass finds dead holds on to more until the cleaner has seen it
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def free_name(name: str, taken: list[str]) -> str:
