@@ -26,7 +26,7 @@ SLACK = 0.25
 COMMON = 10
 
 def signatures(docs: DataFrame, k: int, by: list[str]) -> DataFrame:
-    """doc_id, the columns ``by``, n_shingles, key (hash of the word sequence), bands, planes of every row, whatever its text or id."""
+    """doc_id, the columns ``by``, n_shingles, key (128-bit digest of the word sequence), bands, planes of every row, whatever its text or id."""
     own = ["doc_id", *by]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,13 +44,12 @@ def signatures(docs: DataFrame, k: int, by: list[str]) -> DataFrame:
                     count[i] = len(shingles)
                     sig[i] = M.minima(shingles, a, b)
                 bands, planes = M.band_keys(sig, ROWS), M.planes(sig, BITS)
-                key, _ = X.normal_hashes(h, w.first)
                 lists = [X.long_lists(x.ravel(), np.arange(hi - lo + 1) * x.shape[1]) for x in (bands, planes)]
                 passed = [batch.column(i + 1).slice(lo, hi - lo) for i in range(len(own))]
-                yield pa.RecordBatch.from_arrays([*passed, pa.array(count), X.longs(key), *lists], [*own, "n_shingles", "key", "bands", "planes"])
+                yield pa.RecordBatch.from_arrays([*passed, pa.array(count), X.text_digests(w), *lists], [*own, "n_shingles", "key", "bands", "planes"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)
-    return docs.select("text", *own).mapInArrow(run, f"{kinds}, n_shingles long, key long, bands array<long>, planes array<long>")
+    return docs.select("text", *own).mapInArrow(run, f"{kinds}, n_shingles long, key binary, bands array<long>, planes array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -67,13 +66,12 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 h = X.word_hashes(w)
                 start, end, bounds = X.shingle_ranges(w.first, k)
                 grams = X.gram_hashes(h, start, end)
-                key, _ = X.normal_hashes(h, w.first)
                 own = [np.unique(grams[bounds[i] : bounds[i + 1]]) for i in range(hi - lo)]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in own])])
-                yield pa.RecordBatch.from_arrays([X.longs(key), X.long_lists(np.concatenate(own) if own else np.zeros(0, np.uint64), ends)], ["key", "grams"])
+                yield pa.RecordBatch.from_arrays([X.text_digests(w), X.long_lists(np.concatenate(own) if own else np.zeros(0, np.uint64), ends)], ["key", "grams"])
 
     may = possible(wanted.select("doc_id").distinct(), "doc_id")
-    rows = docs.where(may(F.col("doc_id"))).select("text").mapInArrow(run, "key long, grams array<long>")
+    rows = docs.where(may(F.col("doc_id"))).select("text").mapInArrow(run, "key binary, grams array<long>")
     return rows.dropDuplicates(["key"]).join(wanted.select("key").hint("merge"), "key", "left_semi")
 
 

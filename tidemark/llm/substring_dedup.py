@@ -4,8 +4,8 @@ Nodes are the k-mers that are least in some window of LENGTH words, so that ever
 node, and equal windows have equal ones; edges are the words from one node to the next.  A node all of whose
 occurrences have the same edge in and the same edge out doesn't branch: joins on node hashes find these, and
 runs of them along a document compact into one path.  Every document that holds a path is then read again at
-the path's source coordinates: the repeated span of a path is verified as a whole, by two hashes of all its
-words.  Where paths branch, windows are first verified by the stretch from the node before them to the node
+the path's source coordinates: the repeated span of a path is verified as a whole, by a cryptographic digest of
+128 bits of all its words.  Where paths branch, windows are first verified by the stretch from the node before them to the node
 after them, all windows of a stretch at once, and only those of stretches that no smaller document has one by one.
 """
 
@@ -24,8 +24,6 @@ from .work import free_name, possible, release, saved
 
 #: Words of a window; words of a node.
 LENGTH, NODE = 50, 8
-#: Salts of the two hashes that verify spans.
-VERIFY = (0x1B873593, 0x6C62272E)
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -111,10 +109,10 @@ def compacted(shared: DataFrame) -> DataFrame:
 
 
 def located(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
-    """doc_id, tag, lo, hi, h1, h2, w1, w2: word ranges of consecutive windows, with hashes of what tells them.
+    """doc_id, tag, lo, hi, h1, h2, w1, w2: word ranges of consecutive windows, with a digest of what tells them.
 
-    For the windows of a path these are hashes of their words, and w1, w2 are null; for windows where paths branch
-    hashes of the stretch of nodes around them, and w1, w2 are lists with the hashes of each window.
+    For the windows of a path this is a digest of their words, and w1, w2 are null; for windows where paths branch
+    one of the words from the node before them to the node after, and w1, w2 are lists with the digest of each window.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,16 +159,16 @@ def located(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
                     continue
                 bounds = np.append(head, len(start))
                 lo, hi, path = start[head], start[bounds[1:] - 1] + length, whole[head]
-                told = np.empty((len(VERIFY), len(head)), np.uint64)
+                told = np.empty((len(head), 2), np.uint64)
                 some, rest = np.flatnonzero(path), np.flatnonzero(~path)  # ranges rise within each kind
-                for k, salt in enumerate(VERIFY):
-                    told[k, some] = X.gram_hashes(h, lo[some], hi[some], salt)
-                    told[k, rest] = X.gram_hashes(h, got.place[before[head[rest]]], got.place[after[head[rest]]] + NODE, salt)
+                told[some] = X.run_digests(w, lo[some], hi[some])
+                told[rest] = X.run_digests(w, got.place[before[head[rest]]], got.place[after[head[rest]]] + NODE)
                 text = np.searchsorted(w.first, lo, "right") - 1
-                hashes = [X.longs(x) for x in told]
+                hashes = [X.longs(x) for x in told.T]
                 open_ = np.flatnonzero(~whole)
                 ends = np.concatenate([[0], np.cumsum(np.where(path, 0, np.diff(bounds)))])
-                each = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32), mask=np.append(path, False)), X.longs(X.gram_hashes(h, start[open_], start[open_] + length, salt))) for salt in VERIFY]
+                singly = X.run_digests(w, start[open_], start[open_] + length)
+                each = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32), mask=np.append(path, False)), X.longs(x)) for x in singly.T]
                 take, base = pa.array(text), w.first[text]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)), *hashes, *each], names)
 
@@ -258,7 +256,8 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, text_out: bool = Fal
     make each other lose words.  Texts shorter than ``length`` words are whole.  Rows in = rows out, and
     further columns are passed through with text_out, else left out.
 
-    Nodes and edges are compared by one 64-bit hash, the words of spans by two.  Only texts that may
+    Nodes and edges, which only say where to look, are compared by 64-bit hashes, the words of spans by a
+    cryptographic digest of 128 bits.  Only texts that may
     have shared nodes, and at the end those that may lose words, are shuffled.
     """
     tag = free_name("_tag", docs.columns)

@@ -1,11 +1,13 @@
 """Whole Arrow batches of texts as numpy arrays of words and hashes.
 
-A word is a maximal run of bytes outside ``\\x20\\x09-\\x0D``.  All hashes are 64-bit and depend on
-content only, so they agree between tasks, runs and machines.  Null texts count as empty.
+A word is a maximal run of bytes outside ``\\x20\\x09-\\x0D``.  Hashes depend on content only, so they agree
+between tasks, runs and machines.  Those of words and runs are 64-bit, made of mixing steps that aren't linear; what
+must be equal as words is compared by cryptographic digests of 128 bits.  Null texts count as empty.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -21,8 +23,12 @@ LOWER[65:91] += 32
 #: Bytes of text handled at once inside a task; one longer text is handled alone, its bytes in steps of STEP.
 PIECE, STEP = 1 << 19, 1 << 16
 
-_P, _Q = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-_low: dict[int, np.ndarray] = {}
+#: Odd multipliers of the hashes.
+_P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
+#: The lowest bytes of a number, by how many of them belong to a word.
+_KEEP = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
 class Words(NamedTuple):
@@ -36,60 +42,110 @@ class Words(NamedTuple):
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    return mixed(x.copy())
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """mix() in place, by steps that fit the processor's cache."""
+    flat = x.reshape(-1)
+    for s in range(0, len(flat), STEP):
+        part = flat[s : s + STEP]
+        part ^= part >> np.uint64(30)
+        part *= np.uint64(0xBF58476D1CE4E5B9)
+        part ^= part >> np.uint64(27)
+        part *= np.uint64(0x94D049BB133111EB)
+        part ^= part >> np.uint64(31)
     return x
 
 
-def powers(base: int, exponents: np.ndarray) -> np.ndarray:
-    """base ** exponents modulo 2 ** 64, from two tables of bounded size."""
-    if base not in _low:
-        table = np.full(STEP, base, np.uint64)
-        table[0] = 1
-        _low[base] = np.cumprod(table, dtype=np.uint64)
-    out = _low[base][exponents & (STEP - 1)]
-    if len(exponents) and exponents[-1] >= STEP:
-        steps = np.full(int(exponents[-1]) // STEP + 1, pow(base, STEP, 1 << 64), np.uint64)
-        steps[0] = 1
-        out *= np.cumprod(steps, dtype=np.uint64)[exponents // STEP]
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of data[start:end] for each pair, the same wherever the bytes stand.
+
+    Eight bytes at a time are added to what has been mixed before, so no arithmetic structure of the bytes
+    carries over; ranges of more than LONG_WORD bytes get a cryptographic hash.
+    """
+    out = np.empty(len(starts), np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, np.uint64, padded, strides=(1,))  # the eight bytes from each place on
+    for s in range(0, len(starts), STEP):
+        begin, size = starts[s : s + STEP], ends[s : s + STEP] - starts[s : s + STEP]
+        h = size.astype(np.uint64) * _P
+        h ^= eight[begin] & _KEEP[np.minimum(size, 8)]
+        mixed(h)
+        more = np.flatnonzero((size > 8) & (size <= LONG_WORD))
+        done = 8
+        while len(more):
+            next_ = eight[begin[more] + done] & _KEEP[np.minimum(size[more] - done, 8)]
+            h[more] = mixed(h[more] * _Q + next_)
+            done += 8
+            more = more[size[more] > done]
+        for i in np.flatnonzero(size > LONG_WORD):
+            h[i] = int.from_bytes(hashlib.blake2b(data[begin[i] : begin[i] + size[i]], digest_size=8).digest(), "little")
+        out[s : s + STEP] = h
     return out
 
 
-def ranged(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: int, plus: int = 0) -> np.ndarray:
-    """Hash of values[lo:hi] + plus for each pair, the same wherever the values stand; lo and hi must not fall.
+def run_hashes(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, salt: int = 0) -> np.ndarray:
+    """Hash of values[lo:hi] for each pair, the same wherever the values stand.
 
-    Sums of values times powers are only kept for STEP values and for the places asked for.
+    A run is cut into stretches of 1, 2, 4, ... values by the bits of its length, and a stretch's hash mixes those of its
+    halves: a tree whose every step is mixed.  Only one level of the tree is held at a time.
     """
-    n, scale, carry, whole = len(values), np.ones(1, np.uint64), np.zeros(1, np.uint64), pow(base, STEP, 1 << 64)
-    one = powers(base, np.arange(min(n, STEP)))
-    sums, total = [np.zeros(len(lo), np.uint64), np.zeros(len(hi), np.uint64)], np.empty(STEP + 1, np.uint64)
-    done = [0, 0]
-    for s in range(0, n, STEP):
-        part = values[s : s + STEP].astype(np.uint64)
-        if plus:
-            part += np.uint64(plus)
-        part *= one[: len(part)]
-        if s:
-            part *= scale
-        total[0] = 0
-        np.cumsum(part, out=total[1 : len(part) + 1])
-        total[: len(part) + 1] += carry
-        for k, at in enumerate((lo, hi)):
-            upto = int(np.searchsorted(at, s + len(part), "right"))
-            sums[k][done[k] : upto] = total[at[done[k] : upto] - s]
-            done[k] = upto
-        carry, scale = total[len(part) : len(part) + 1].copy(), scale * np.uint64(whole)
-    out, back = sums[1], pow(base, -1, 1 << 64)
-    out -= sums[0]
-    del sums
-    for s in range(0, len(out), STEP):
-        out[s : s + STEP] = mix(out[s : s + STEP] * powers(back, lo[s : s + STEP]))
+    size = hi - lo
+    out = mixed(size.astype(np.uint64) * _P + np.uint64(salt))
+    if not len(size):
+        return out
+    most, at, step = int(size.max()), lo.copy(), 1
+    level = mix(values ^ np.uint64(salt)) if salt else values
+    while step <= most:
+        for s in range(0, len(size), STEP):
+            some = np.flatnonzero(size[s : s + STEP] & step) + s
+            out[some] = mixed(out[some] * _P + level[at[some]])
+            at[some] += step
+        if 2 * step <= most:
+            longer = level[: len(level) - step] * _Q
+            longer += level[step:]
+            longer += np.uint64(step)
+            level = mixed(longer)
+        step *= 2
     return out
 
 
+def joined(w: Words, text: int) -> np.ndarray:
+    """The bytes of a text's words, joined by one blank."""
+    a, b = w.first[text], w.first[text + 1]
+    if a == b:
+        return w.data[:0]
+    part = w.data[w.starts[a] : w.ends[b - 1]].copy()
+    ends = w.ends[a : b - 1] - w.starts[a]
+    keep = IS_WORD[part]
+    keep[ends], part[ends] = True, 0x20
+    return part[keep]
+
+
+def _digest(data) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def text_digests(w: Words) -> pa.Array:
+    """A 128-bit cryptographic hash of each text's whole word sequence, as 16 bytes."""
+    return pa.array([_digest(joined(w, t)) for t in range(len(w.first) - 1)], pa.binary())
+
+
+def run_digests(w: Words, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A 128-bit cryptographic hash, as two numbers, of the words lo..hi of one text each; lo must not fall."""
+    out = bytearray()
+    text = np.searchsorted(w.first, lo, "right") - 1
+    for t in np.unique(text):
+        a, b = w.first[t], w.first[t + 1]
+        begin = np.concatenate([[0], np.cumsum(w.ends[a:b] - w.starts[a:b] + 1)])  # of each word, once they are joined
+        data = joined(w, t).tobytes()
+        i, j = np.searchsorted(text, [t, t + 1])
+        for x, y in zip(begin[lo[i:j] - a].tolist(), begin[hi[i:j] - a].tolist()):
+            out += _digest(data[x : y - 1])
+    return np.frombuffer(bytes(out), np.uint64).reshape(-1, 2)
+
+
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row, bytes, offsets) of runs of rows with about ``limit`` bytes."""
     col = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string())
@@ -134,12 +190,12 @@ def split(data: np.ndarray, offs: np.ndarray, lower: bool = False, table: np.nda
 
 def word_hashes(w: Words) -> np.ndarray:
     """One 64-bit hash for each word."""
-    return ranged(w.data, w.starts, w.ends, _P, 1)
+    return byte_hashes(w.data, w.starts, w.ends)
 
 
 def gram_hashes(words: np.ndarray, lo: np.ndarray, hi: np.ndarray, salt: int = 0) -> np.ndarray:
-    """One 64-bit hash for each run of words lo..hi; other salts give independent hashes."""
-    return ranged(mix(words ^ np.uint64(salt)) if salt else words, lo, hi, _Q)
+    """One 64-bit hash for each run of words lo..hi; other salts give other hashes of the same words' hashes."""
+    return run_hashes(words, lo, hi, salt)
 
 
 def shingle_ranges(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,11 +213,6 @@ def shingle_ranges(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, n
     return lo, hi, bounds
 
 
-def normal_hashes(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of each text's whole word sequence."""
-    return tuple(gram_hashes(words, first[:-1], first[1:], salt) for salt in (0x5851F42D, 0x2545F491))
-
-
 def longs(values: np.ndarray) -> pa.Array:
     """A uint64 array as Spark's long."""
     return pa.array(np.ascontiguousarray(values).view(np.int64))

@@ -46,7 +46,7 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     out = [(owner, h)]
     for n in STEMS:
         long = np.flatnonzero(w.ends - w.starts > n)
-        out.append((owner[long], X.ranged(w.data, w.starts[long], w.starts[long] + n, X._P, 1) ^ np.uint64(n)))
+        out.append((owner[long], X.byte_hashes(w.data, w.starts[long], w.starts[long] + n) ^ np.uint64(n)))
     for gap in (1, 2):
         same = np.flatnonzero(owner[:-gap] == owner[gap:])
         out.append((owner[same], X.mix(h[same] * np.uint64(3) + h[same + gap] + np.uint64(gap))))
