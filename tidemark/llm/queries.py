@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm_score, mixing, near_dup, quality_model, quality_rules, substring_dedup, token_counts, toxicity, warc
+from . import collocations, decontaminate, lm_score, mixing, near_dup, quality_model, quality_rules, sharding, substring_dedup, token_counts, toxicity, warc, whitening
 from .work import table
 
 
@@ -63,5 +63,17 @@ def op10_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_quality_rules, op4_mixing, op5_token_counts, op6_lm_score, op7_substring_dedup, op8_decontaminate, op9_toxicity, op10_near_dup)}
-ORACLE_SQL = {"op2_warc": warc.ORACLE_SQL, "op3_quality_rules": quality_rules.ORACLE_SQL, "op6_lm_score": lm_score.ORACLE_SQL, "op7_substring_dedup": substring_dedup.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL, "op10_near_dup": near_dup.ORACLE_SQL}
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_quality_rules, op4_mixing, op5_token_counts, op6_lm_score, op7_substring_dedup, op8_decontaminate, op9_toxicity, op10_near_dup, op11_collocations, op12_whitening, op13_sharding)}
+ORACLE_SQL = {"op2_warc": warc.ORACLE_SQL, "op3_quality_rules": quality_rules.ORACLE_SQL, "op6_lm_score": lm_score.ORACLE_SQL, "op7_substring_dedup": substring_dedup.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL, "op10_near_dup": near_dup.ORACLE_SQL, "op11_collocations": collocations.ORACLE_SQL}
