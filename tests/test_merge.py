@@ -1,13 +1,15 @@
 """Hand-written rows: merges, change capture, windows, guards."""
 
 import datetime as dt
+import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars
 from tidemark.operators import cdc, changelog, delta, merge, metrics, packages, quality
-from tidemark.sources import loads, portions, sinks
+from tidemark.sources import loads, ordered, portions, sinks
 from tidemark.sources.scratch import fresh_path
 from tidemark.sources.store import Target
 
@@ -157,8 +159,7 @@ def test_portions_of_many_values_are_exact(spark):
 
 
 @pytest.mark.parametrize("kind", ["long", "date", "string"])
-def test_portions_over_many_bins(spark, monkeypatch, kind):
-    monkeypatch.setattr(portions, "VALUES_A_BIN", 6)
+def test_portions_over_many_bins(spark, apart, kind):
     p = {"long": "id * 3 - 40", "date": "date_add(date'2020-01-01', cast(id as int))", "string": "concat('k', id)"}[kind]
     df = spark.range(60).select(F.expr(p).alias("p"), F.explode(F.array_repeat(F.lit(1), F.expr("if(id = 31, 90, 1 + id * 7 % 5)").cast("int"))).alias("x"))
     counts = {r.p: r.n for r in df.groupBy("p").agg(F.count("*").alias("n")).collect()}
@@ -167,23 +168,84 @@ def test_portions_over_many_bins(spark, monkeypatch, kind):
     assert portions.by_records(df.limit(0), "p", 5).count() == 0
 
 
-def test_numbering_over_ranges(spark):
-    """Also with a hot value in the first column, nulls, and ranges that stay apart."""
+@pytest.fixture
+def apart(spark):
+    """Ranges stay apart, eleven of them."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        df = spark.range(1000).select(F.expr("if(id % 3 = 0, null, if(id % 10 < 8, 7, id % 50))").alias("a"), (F.col("id") * 7 % 1000).alias("k"))
-        for order in (["k"], ["a", "k"]):
-            got = changelog.numbered(df, order, base=5).orderBy(*order).collect()
-            assert [r._seq for r in got] == list(range(6, 1006))
-        spread = df.repartitionByRange("a", "k").groupBy(F.spark_partition_id()).count().collect()
-        assert len(spread) > 1
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert changelog.numbered(df.limit(0), ["k"]).count() == 0
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def mixed(spark):
+    """Rows with a hot value in the first column, and nulls."""
+    return spark.range(1000).select(F.expr("if(id % 3 = 0, null, if(id % 10 < 8, 7, id % 50))").alias("a"), (F.col("id") * 7 % 1000).alias("k"))
+
+
+def test_numbering_over_ranges(spark, apart):
+    df = mixed(spark)
+    for order in (["k"], ["a", "k"]):
+        got = ordered.numbered(df, order, base=5).orderBy(*order).collect()
+        assert [r._seq for r in got] == list(range(6, 1006))
+    assert ordered.dealt(df, ["a", "k"]).select("_bin").distinct().count() > 5
+    assert ordered.numbered(df.limit(0), ["k"]).count() == 0
+
+
+def test_lag_over_ranges(spark, apart):
+    df = mixed(spark).withColumn("v", F.when(F.col("k") % 4 != 0, F.col("k") * 2))
+    got = {(r.a, r.k): (r._before_k, r._before_v) for r in ordered.lagged(df, ["a"], ["k"], ["k", "v"]).collect()}
+    by = {}
+    for r in sorted(df.collect(), key=lambda r: r.k):
+        by.setdefault(r.a, []).append(r)
+    want = {(a, r.k): (before.k, before.v) if before else (None, None) for a, own in by.items() for before, r in zip([None, *own], own)}
+    assert got == want and len(got) == 1000
+    assert ordered.lagged(df.limit(0), ["a"], ["k"], ["v"]).count() == 0
+
+
+def test_values_carried_over_ranges(spark, apart):
+    df = mixed(spark).withColumn("m", F.when(F.col("k").isin(130, 500, 501), F.col("k")))
+    got = {r.k: r.c for r in ordered.carried(df, ["k"], "m", "c").collect()}
+    assert got == {k: None if k < 130 else 130 if k < 500 else 500 if k < 501 else 501 for k in range(1000)}
+
+
+def brute_quantile(values, p, interpolated):
+    values = sorted(values)
+    if not interpolated:
+        return values[max(0, math.ceil(p * len(values) - 1e-9) - 1)]
+    at = p * (len(values) - 1)
+    lo = math.floor(at)
+    return values[lo] + (at - lo) * (values[math.ceil(at)] - values[lo])
+
+
+def test_quantiles_are_exact(spark, apart):
+    df = mixed(spark).withColumn("n", F.col("k") % 5)
+    by = {}
+    for r in df.collect():
+        by.setdefault(r.a, []).extend([r.k] * r.n)
+    for interpolated in (False, True):
+        got = ordered.quantiles(df, ["a"], "k", "n", {"x": 0.0, "y": 0.5, "z": 0.99, "w": 1.0}, interpolated)
+        assert {r.a: (r.x, r.y, r.z, r.w) for r in got.collect()} == {a: tuple(brute_quantile(v, p, interpolated) for p in (0, 0.5, 0.99, 1)) for a, v in by.items() if v}
+    assert ordered.quantiles(df.limit(0), ["a"], "k", "n", {"x": 0.5}).count() == 0
+
+
+def test_percentiles_of_a_million_latencies(spark):
+    at = F.timestamp_seconds(F.lit(1_600_000_000))
+    log = spark.range(1_000_000).select(F.col("id").alias("k"), F.col("id").alias("_seq"), F.lit("U").alias("_op"), at.alias("_commit_ts"), (at + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), ((F.col("id") * 7919 % 1_000_000 + 1) / 1000).cast("decimal(18,6)"))).alias("_applied_at"))
+    r = metrics.latency_stats(log, ["k"]).first()
+    assert (r.samples, float(r.p50), float(r.p95), float(r.p99), float(r.most)) == (1_000_000, 500.0, 950.0, 990.0, 1000.0)
+
+
+def test_a_million_portions(spark):
+    cuts = spark.range(1_000_000).select((F.col("id") + 1).alias("portion_no"), (F.col("id") * 10).alias("lo"), (F.col("id") * 10 + 4).alias("hi"))
+    rows = portions.assign_portion(spark.range(0, 10_000_000, 5000).select(F.col("id").alias("p")).union(spark.range(9, 10_000_000, 5000)), "p", cuts)
+    plan = rows._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+    assert all(r.portion_no == (r.p // 10 + 1 if r.p % 10 < 5 else None) for r in rows.collect())
 
 
 @pytest.mark.parametrize("kind", ["long", "date", "string", "timestamp", "decimal(12,2)"])
-def test_assigning_by_ranges(spark, kind):
+def test_assigning_by_ranges(spark, apart, kind):
     make = {"long": "id", "date": "date_add(date'2020-01-01', cast(id as int))", "string": "lpad(id, 4, '0')", "timestamp": "timestamp_seconds(id * 3600)", "decimal(12,2)": "cast(id / 4 as decimal(12,2))"}[kind]
     df = spark.range(100).select(F.when(F.col("id") % 9 != 0, F.expr(make)).alias("p"), "id")
     ends = [r[0] for r in spark.range(100).where("id in (10, 30, 31, 60)").select(F.expr(make)).orderBy("id").collect()]

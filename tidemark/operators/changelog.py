@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import saved
+from ..sources.ordered import numbered
 from .merge import verdicts
 
 CONTROL = ["_seq", "_op", "_run_id", "_commit_ts", "_applied_at"]
 
 
-def numbered(df: DataFrame, order: list[str], name: str = "_seq", base: int = 0) -> DataFrame:
-    """df with base + 1, 2, … in the order of columns that make a total order, without a single-task window.
-
-    Rows are dealt by ranges of the whole order, so a hot value of its first column is split by the others, and
-    sorted where they lie; a row's number is its place there and the rows of the ranges before.  The dealt rows
-    are written, so that both come from the same ranges.
-    """
-    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    place = F.monotonically_increasing_id()  # range << 33, and the place in it
-    rows = saved(dealt.withColumns({"_bin": F.shiftright(place, 33), "_in": place.bitwiseAND(F.lit((1 << 33) - 1))}), "numbered")
-    sizes = rows.groupBy("_bin").agg(F.max("_in").alias("_n"))
-    before = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
-    offsets = sizes.select("_bin", (F.coalesce(F.sum(F.col("_n") + 1).over(before), F.lit(0)) + base + 1).alias("_off"))
-    return rows.join(F.broadcast(offsets), "_bin").withColumn(name, (F.col("_off") + F.col("_in")).cast("long")).drop("_bin", "_in", "_off")
-
-
 def log_changes(target: DataFrame, changes: DataFrame, keys: list[str], run_id: int, commit: Column, applied: Column, base: int = 0) -> DataFrame:
     """Log rows of applied changes: U where the key was in the target, else I."""
     rows = verdicts(target, changes, keys).withColumn("_run_id", F.lit(run_id).cast("long")).withColumn("_commit_ts", commit).withColumn("_applied_at", applied)

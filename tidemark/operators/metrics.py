@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.ordered import lagged, quantiles
+from ..sources.scratch import saved
+
 
 def run_stats(runs: DataFrame) -> DataFrame:
     """runs with started_at, rows_applied, rows_per_sec (null without a duration) and is_success."""
@@ -95,16 +98,19 @@ def first_apply(log: DataFrame, keys: list[str]) -> DataFrame:
 def latency_stats(log: DataFrame, keys: list[str], since: Column | None = None) -> DataFrame:
     """samples, mean, discrete p50, p95, p99, min, max, and samples by operation; no samples give nulls, not zeros.
 
-    The percentiles are exact: Spark counts distinct latencies with partial aggregation, so what meets in
-    one place is one entry for each distinct latency.
+    The percentiles are exact and found in range bins of the distinct latencies: no aggregate holds them all.
     """
     rows = first_apply(log, keys)
     rows = rows.where(F.col("_commit_ts") >= since) if since is not None else rows
-    at = lambda p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY latency_seconds)")
-    return rows.agg(
-        F.count("*").alias("samples"), F.round(F.avg("latency_seconds"), 6).alias("mean"), at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.99).alias("p99"),
-        F.min("latency_seconds").alias("least"), F.max("latency_seconds").alias("most"), *[F.count_if(F.col("_op") == o).alias(f"n_{o.lower()}") for o in "IUD"],
+    counts = saved(rows.groupBy("latency_seconds", "_op").agg(F.count("*").alias("n")), "latencies")
+    x, n = F.col("latency_seconds"), F.col("n")
+    stats = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("samples"), F.round(F.sum(x * n).cast("double") / F.sum("n"), 6).alias("mean"), F.min(x).alias("least"), F.max(x).alias("most"),
+        *[F.coalesce(F.sum(F.when(F.col("_op") == o, n)), F.lit(0)).alias(f"n_{o.lower()}") for o in "IUD"],
     )
+    ranks = quantiles(counts.groupBy("latency_seconds").agg(F.sum("n").alias("n")).withColumn("_all_", F.lit(0)), ["_all_"], "latency_seconds", "n", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+    both = stats.join(F.broadcast(ranks.drop("_all_")), F.lit(True), "left")  # one row on either side
+    return both.select("samples", "mean", "p50", "p95", "p99", "least", "most", "n_i", "n_u", "n_d")
 
 
 def meets_target(stats: DataFrame, p95: float, p99: float) -> DataFrame:
@@ -113,16 +119,19 @@ def meets_target(stats: DataFrame, p95: float, p99: float) -> DataFrame:
 
 
 def lag_by_operation(log: DataFrame) -> DataFrame:
+    """_op, least, median, most of the lags; the median lies between the two middle ones."""
     rows = log.where(F.col("_commit_ts").isNotNull()).withColumn("lag", (F.unix_millis("_applied_at") - F.unix_millis("_commit_ts")) / 1000.0)
-    return rows.groupBy("_op").agg(F.min("lag").alias("least"), F.median("lag").alias("median"), F.max("lag").alias("most"))
+    counts = saved(rows.groupBy("_op", "lag").agg(F.count("*").alias("n")), "lags")
+    ends = counts.groupBy("_op").agg(F.min("lag").alias("least"), F.max("lag").alias("most"))
+    middle = quantiles(counts, ["_op"], "lag", "n", {"median": 0.5}, interpolated=True).withColumnRenamed("_op", "_of")
+    return ends.join(middle, ends["_op"].eqNullSafe(middle["_of"]), "left").select("_op", "least", "median", "most")
 
 
 def throughput(samples: DataFrame) -> DataFrame:
     """target, ts, ins_rate, upd_rate, del_rate from counters (rows, upd, del) sampled over time; the first sample has none."""
-    w = Window.partitionBy("target").orderBy("ts")
-    dt = (F.unix_millis("ts") - F.unix_millis(F.lag("ts").over(w))) / 1000.0
-    step = lambda c: F.col(c) - F.lag(c).over(w)
-    rows = samples.withColumns({"dt": dt, "_rows": step("rows"), "_upd": step("upd"), "_del": step("del")}).where("dt >= 0.5")
+    rows = lagged(samples, ["target"], ["ts"], ["ts", "rows", "upd", "del"])
+    step = lambda c: F.col(c) - F.col(f"_before_{c}")
+    rows = rows.withColumns({"dt": (F.unix_millis("ts") - F.unix_millis("_before_ts")) / 1000.0, "_rows": step("rows"), "_upd": step("upd"), "_del": step("del")}).where("dt >= 0.5")
     rate = lambda x: F.round(x / F.col("dt"), 6)
     return rows.select("target", "ts", rate(F.greatest("_rows", F.lit(0))).alias("ins_rate"), rate(F.col("_upd")).alias("upd_rate"), rate(F.greatest(F.col("_del"), -F.col("_rows"))).alias("del_rate"))
 

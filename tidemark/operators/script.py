@@ -7,7 +7,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .changelog import numbered
+from ..sources.ordered import numbered, quantiles
+from ..sources.portions import value_counts
+from ..sources.scratch import saved
 
 
 def statements(script: str) -> list[str]:
@@ -54,19 +56,26 @@ def preview(table: DataFrame, n: int, transform=None, order: list[str] | None =
     return (rows.orderBy(*order) if order else rows).limit(n)
 
 
-def summarize(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """column_name, column_type, least, most, n_distinct, mean, deviation, n_rows, null_percent of every column, in one pass.
+def summarize(df: DataFrame) -> DataFrame:
+    """column_name, column_type, least, most, n_distinct, mean, deviation, q25, q50, q75, n_rows, null_percent of every column.
 
-    Exact distinct counts of many columns expand the rows; approximate=True keeps it to one plain aggregate.
+    Least and most are in the type's own order.  Distinct counts and the exact quartiles of numbers (discrete
+    ones) follow from the counts of each column's values.  An empty table has counts of 0 and nulls.
     """
+    number = lambda kind: kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
     aggs, lines = [F.count("*").alias("_n")], []
     for i, (c, kind) in enumerate(df.dtypes):
-        number = kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
-        x = F.col(c).cast("double") if number else F.lit(None).cast("double")
-        distinct = F.approx_count_distinct(c) if approximate else F.countDistinct(c)
-        aggs += [F.min(c).cast("string").alias(f"a{i}"), F.max(c).cast("string").alias(f"b{i}"), distinct.alias(f"d{i}"), F.round(F.avg(x), 6).alias(f"m{i}"), F.round(F.stddev_samp(x), 6).alias(f"s{i}"), F.round(100.0 * F.count_if(F.col(c).isNull()) / F.count("*"), 6).alias(f"z{i}")]
-        lines.append(f"'{c}', '{kind}', a{i}, b{i}, d{i}, m{i}, s{i}, _n, z{i}")
-    return df.agg(*aggs).selectExpr(f"stack({len(lines)}, {', '.join(lines)}) as (column_name, column_type, least, most, n_distinct, mean, deviation, n_rows, null_percent)")
+        x = F.col(c).cast("double") if number(kind) else F.lit(None).cast("double")
+        aggs += [F.min(c).cast("string").alias(f"a{i}"), F.max(c).cast("string").alias(f"b{i}"), F.round(F.avg(x), 6).alias(f"m{i}"), F.round(F.stddev_samp(x), 6).alias(f"s{i}"), F.round(100.0 * F.count_if(F.col(c).isNull()) / F.count("*"), 6).alias(f"z{i}")]
+        lines.append(f"'{c}', '{kind}', a{i}, b{i}, m{i}, s{i}, _n, z{i}")
+    plain = df.agg(*aggs).selectExpr(f"stack({len(lines)}, {', '.join(lines)}) as (column_name, column_type, least, most, mean, deviation, n_rows, null_percent)")
+    counts = saved(value_counts(df, df.columns), "values")
+    distinct = counts.groupBy("column_name").agg(F.count("text").alias("n_distinct"))
+    numbers = [c for c, kind in df.dtypes if number(kind)]
+    quarters = counts.where(F.col("column_name").isin(numbers)).withColumn("x", F.expr("try_cast(text as double)"))
+    quarters = quantiles(quarters, ["column_name"], "x", "n", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    out = plain.join(distinct, "column_name", "left").join(quarters, "column_name", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
+    return out.select("column_name", "column_type", "least", "most", "n_distinct", "mean", "deviation", "q25", "q50", "q75", "n_rows", "null_percent")
 
 
 def stride_sample(df: DataFrame, order: list[str], p: int) -> DataFrame:
