@@ -98,36 +98,53 @@ def test_bounds_keep_late_commits():
             bad()
 
 
-def test_store_rewrites_only_touched_buckets_and_replays(spark):
-    t = Target(spark, fresh_path(spark, "t"), ["id"], 8)
+def test_commits_count_once(spark):
+    none = F.lit(None).cast("timestamp")
+    t = Target(spark, fresh_path(spark, "t"), ["id"])
     t.create(spark.range(100).select(F.col("id").cast("int").alias("id"), F.lit("a").alias("v")))
-    c = spark.createDataFrame([(5, "x"), (200, "y")], T)
-    touched = t.commit(1, c, F.lit(None).cast("timestamp"), F.current_timestamp(), "w1")
-    assert 0 < len(touched) <= 2
-    assert t.commit(1, c, F.lit(None).cast("timestamp"), F.current_timestamp(), "w1") == []
-    assert rows(t.log().select("id", "_op", "_seq")) == [(200, "I", 2), (5, "U", 1)]
-    assert t.read().count() == 101 and t.state().watermark == "w1"
-    t.commit(2, c.limit(0), F.lit(None).cast("timestamp"), F.current_timestamp(), "w2")
-    assert t.state().watermark == "w2" and t.state().log_seq == 2
-
-
-def test_emptied_bucket_is_removed(spark):
-    t = Target(spark, fresh_path(spark, "t"), ["id"], 64)
-    t.create(spark.createDataFrame([(1, "a"), (2, "b")], T))
-    gone = spark.createDataFrame([(1, None, "D")], T + ", _op string")
-    t.commit(1, gone, F.lit(None).cast("timestamp"), F.current_timestamp(), merge=lambda old, c: merge.apply_merge(old, c, ["id"], "_op"), log=False)
-    assert rows(t.read()) == [(2, "b")]
-
-
-def test_killed_commit_is_repeated(spark):
-    t = Target(spark, fresh_path(spark, "t"), ["id"], 4)
+    c = spark.createDataFrame([(5, "x"), (200, "y"), (None, "z")], T)
+    assert t.commit(1, c, none, F.current_timestamp(), "w1") == 3
+    assert t.commit(1, c, none, F.current_timestamp(), "w1") == 0
+    assert rows(t.log().select("id", "_op")) == [(200, "I"), (5, "U"), (None, "I")] and {r._seq for r in t.log().collect()} == {1, 2, 3}
+    assert t.read().count() == 102 and t.state().watermark == "w1"
+    quiet = t.state().rows
+    t.commit(2, c.limit(0), none, F.current_timestamp(), "w2")
+    assert t.state().watermark == "w2" and t.state().log_seq == 3 and t.state().rows == quiet
+    t.commit(3, spark.createDataFrame([(5, "z")], T).select("id", "v"), none, F.current_timestamp())
+    assert rows(t.log().where("_run_id = 3").select("id", "v", "_op", "_seq")) == [(5, "z", "U", 4)] and t.state().watermark == "w2"
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        t.commit(4, c.union(c), none, F.current_timestamp())
+    assert t.state().run_id == 3
+
+
+def test_commit_of_some_columns_and_of_deletes(spark):
+    none = F.lit(None).cast("timestamp")
+    t = Target(spark, fresh_path(spark, "t"), ["id"])
+    t.create(spark.createDataFrame([(1, "a", 7), (2, "b", 8)], T + ", w int"))
+    t.commit(1, spark.createDataFrame([(2, "c"), (3, "d")], T), none, none)
+    assert rows(t.read()) == [(1, "a", 7), (2, "c", 8), (3, "d", None)]
+    gone = spark.createDataFrame([(i, None, None, "D") for i in (1, 2, 3)], T + ", w int, _op string")
+    t.commit(2, gone, none, none, merge=lambda old, c: merge.apply_merge(old, c, ["id"], "_op"), log=False)
+    assert rows(t.read()) == [] and t.read().columns == ["id", "v", "w"]
+
+
+@pytest.mark.parametrize("dies", ["before the pointer", "while writing"])
+def test_killed_commit_is_repeated(spark, monkeypatch, dies):
+    none = F.lit(None).cast("timestamp")
+    t = Target(spark, fresh_path(spark, "t"), ["id"])
     t.create(spark.createDataFrame([(1, "a")], T))
     c = spark.createDataFrame([(1, "b"), (2, "c")], T)
-    real, t.rewrite = t.rewrite, None
-    with pytest.raises(TypeError):  # dies after the log, before the rows
-        t.commit(1, c, F.lit(None).cast("timestamp"), F.current_timestamp())
-    t.rewrite = real
-    t.commit(1, c, F.lit(None).cast("timestamp"), F.current_timestamp())
+    with monkeypatch.context() as m:
+        if dies == "while writing":
+            bad = c.withColumn("v", F.when(F.col("id") == 2, F.raise_error(F.lit("killed")).cast("string")).otherwise(F.col("v")))
+            with pytest.raises(Exception, match="killed"):
+                t.commit(1, bad, none, F.current_timestamp())
+        else:
+            m.setattr(t, "_point", None)
+            with pytest.raises(TypeError):
+                t.commit(1, c, none, F.current_timestamp())
+    assert rows(t.read()) == [(1, "a")] and t.log().count() == 0  # nothing of it is seen
+    t.commit(1, c, none, F.current_timestamp())
     assert rows(t.read()) == [(1, "b"), (2, "c")]
     assert rows(t.log().select("id", "_op")) == [(1, "U"), (2, "I")]
 
@@ -345,14 +362,6 @@ def test_json_rows(spark):
     assert sorted([(r.id, r.a, r.b) for r in got.collect()], key=str) == sorted([(1, 1, ["x"]), (2, 2, None), (2, None, []), (3, None, None), (5, None, None), (6, None, None)], key=str)
 
 
-def test_neighbours_share_buckets(spark):
-    t = Target(spark, fresh_path(spark, "t"), ["id"], 32, stretch=100)
-    t.create(spark.range(3200).select(F.col("id").cast("int").alias("id"), F.lit("a").alias("v")))
-    c = spark.range(200, 232).select(F.col("id").cast("int").alias("id"), F.lit("x").alias("v"))
-    assert len(t.commit(1, c, F.lit(None).cast("timestamp"), F.current_timestamp())) == 1
-    assert t.read().where("v = 'x'").count() == 32 and t.read().count() == 3200
-
-
 def test_log_replay_gives_the_mirror(spark):
     none = F.lit(None).cast("timestamp")
     t0 = spark.createDataFrame([], T)

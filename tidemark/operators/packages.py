@@ -73,8 +73,13 @@ def package_delta(target: DataFrame, raw: DataFrame, keys: list[str], op_col: st
     return apply_merge(target, ingest_typed_text(last.withColumn("_op", op), kinds), keys, "_op")
 
 
+def with_number(raw: DataFrame, payload: str = "payload", name: str = "_number") -> DataFrame:
+    """raw with each package's number; nothing else is decoded."""
+    return raw.withColumn(name, F.from_json(payload, "Attributes struct<`message.batchIndex`: long>")["Attributes"]["message.batchIndex"])
+
+
 def refuse_stale(raw: DataFrame, position: int) -> None:
     """A new package must come after the merged position."""
-    least = envelopes(raw).agg(F.min("batch_index")).first()[0]
+    least = with_number(raw).agg(F.min("_number")).first()[0]
     if least is not None and least <= position:
         raise ValueError(f"batch {least} is not after {position}")

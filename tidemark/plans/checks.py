@@ -253,11 +253,6 @@ def v_rates(spark, d):
     return _rates(spark, d).groupBy("target").agg(F.count("*").alias("n"), F.max("ins_rate").alias("top"))
 
 
-@query("S10_windowed_throughput", X.with_(X.LAT) + "SELECT strftime(time_bucket(INTERVAL 2 SECOND, _applied_at), '%Y%m%d%H%M%S') AS start, _op, count(*) AS n FROM g GROUP BY 1, 2")
-def s_windowed(spark, d):
-    return metrics.windowed_throughput(X.latency_log(spark, d), "2 seconds").withColumn("start", F.date_format("start", "yyyyMMddHHmmss"))
-
-
 # -- streaming -------------------------------------------------------------------------------------------
 
 ROWS_A_FILE = 1_000_000
@@ -276,7 +271,7 @@ def _stream_of(spark, rows, batches: int, key: str):
 
 @query("S01_stream_cdc", CDC + IMAGE)
 def stream_cdc(spark, d):
-    t = Target(spark, fresh_path(spark, "target"), K, 4)
+    t = Target(spark, fresh_path(spark, "target"), K)
     t.create(X.cdc_target(spark, d).select("k", "v", F.lit(-1).cast("long").alias("_seq"), F.lit("I").alias("_op")))
     streams.stream_cdc(_stream_of(spark, X.cdc_log(spark, d), 3, "_seq"), t, fresh_path(spark, "checkpoint"))
     return streams.read_live(t).select("k", "v")
@@ -284,39 +279,64 @@ def stream_cdc(spark, d):
 
 @query("S02_stream_delta", BASE + UPSERT)
 def stream_delta(spark, d):
-    t = Target(spark, fresh_path(spark, "target"), K, 4)
+    t = Target(spark, fresh_path(spark, "target"), K)
     t.create(X.target(spark, d))
     streams.stream_delta(_stream_of(spark, X.stage(spark, d), 2, "k"), t, fresh_path(spark, "checkpoint"), "changed")
     return t.read().select(COLS.split(", "))
 
 
+def _deliveries(rows, order: str, n: int = 3):
+    """rows in n deliveries of this order: written once, and read by delivery."""
+    path = fresh_path(rows.sparkSession, "deliveries")
+    rows.repartitionByRange(n, order).withColumn("_delivery", F.spark_partition_id()).write.partitionBy("_delivery").parquet(path)
+    back = rows.sparkSession.read.parquet(path)
+    return [back.where(F.col("_delivery") == i).select(rows.columns) for i in range(n)]
+
+
 @query("S03_late_rows", X.with_(X.ORD) + "SELECT k, changed FROM ord WHERE changed > '19981231000000'")
 def late_rows(spark, d):
-    """Two reads whose windows overlap by the safety: rows that came late into the overlap are not lost."""
+    """A stream of reads whose windows overlap by the safety: rows that came late into the overlap are not lost, and those read twice count once."""
     import datetime as dt
 
     from ..operators import delta
 
     o = X.orders(spark, d).select("k", "changed")
     first = delta.bounds("NUMTS", "19990101000000", 86400, dt.datetime(2000, 1, 1))
-    early = o.where(delta.predicate("NUMTS", first, "changed") & (F.col("changed") < "20000101000000") & ((F.col("k") % 2 == 0) | (F.col("changed") < first.next_watermark)))
     second = delta.bounds("NUMTS", first.next_watermark, 86400, dt.datetime(2002, 1, 1))
-    return merge.apply_upsert(early, o.where(delta.predicate("NUMTS", second, "changed")), K)
+    late = (F.col("k") % 2 == 1) & (F.col("changed") >= first.next_watermark)  # not there yet at the first read
+    reads = [o.where(delta.predicate("NUMTS", first, "changed") & (F.col("changed") < "20000101000000") & ~late), o.where(delta.predicate("NUMTS", second, "changed"))]
+    t, path, checkpoint = Target(spark, fresh_path(spark, "target"), K), fresh_path(spark, "stream"), fresh_path(spark, "checkpoint")
+    t.create(o.limit(0))
+    for rows in reads:
+        rows.write.mode("append").parquet(path)
+        streams.stream_delta(spark.readStream.schema(o.schema).parquet(path), t, checkpoint, "changed")
+    return t.read()
+
+
+def _streamed(spark, rows, order: str, made, heartbeat: dict):
+    """What a stream with a watermark gives out of rows delivered in this order, each delivery by a run that goes on from the one before; a heartbeat closes it."""
+    out, path, checkpoint = (fresh_path(spark, x) for x in ("out", "stream", "checkpoint"))
+    last = rows.agg(F.max(order).alias("m")).select(*[heartbeat[f.name].alias(f.name) if f.name in heartbeat else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+    for part in [*_deliveries(rows, order), last]:
+        part.write.mode("append").parquet(path)
+        stream = made(spark.readStream.schema(rows.schema).parquet(path))
+        streams.append_available(stream, out, checkpoint)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query("S05_stream_first_apply", X.with_(X.LAT) + ", " + FIRST + " SELECT k, strftime(_commit_ts, '%Y%m%d%H%M%S') AS committed, CAST(s AS DOUBLE) AS latency_seconds, _op FROM h")
+def stream_first_apply(spark, d):
+    # as they are applied, so that rows delivered again come up to 90 seconds after their commit
+    later = F.col("m") + F.expr("interval 1 hour")
+    rows = _streamed(spark, X.latency_log(spark, d), "_applied_at", lambda log: streams.stream_first_apply(log, K, "2 minutes"), {"_commit_ts": later, "_applied_at": later})
+    return rows.select("k", F.date_format("_commit_ts", "yyyyMMddHHmmss").alias("committed"), F.col("latency_seconds").cast("double").alias("latency_seconds"), "_op")
 
 
-@query("S05_stream_first_apply", X.with_(X.LAT) + "SELECT k, strftime(_commit_ts, '%Y%m%d%H%M%S') AS committed, count(DISTINCT _commit_ts) AS n FROM g GROUP BY 1, 2")
-def stream_first_apply(spark, d):
-    # three deliveries in the order of commits, each read by a run that goes on from the checkpoint of the one before
-    log, out, path, checkpoint = X.latency_log(spark, d), fresh_path(spark, "firsts"), fresh_path(spark, "stream"), fresh_path(spark, "checkpoint")
-    at = F.col("_commit_ts").cast("double")
-    cuts = log.select(at.alias("t")).approxQuantile("t", [1 / 3, 2 / 3], 0.01)
-    for lo, hi in zip([None, *cuts], [*cuts, None]):
-        part = log.where(at > lo) if lo is not None else log
-        (part.where(at <= hi) if hi is not None else part).write.mode("append").parquet(path)
-        rows = streams.stream_first_apply(spark.readStream.schema(log.schema).parquet(path), K, "2 minutes")
-        rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", out).trigger(availableNow=True).start().awaitTermination()
-    back = spark.read.schema(log.schema).parquet(out)
-    return back.groupBy("k", F.date_format("_commit_ts", "yyyyMMddHHmmss").alias("committed")).agg(F.count("*").alias("n"))
+@query("S10_windowed_throughput", X.with_(X.LAT) + "SELECT strftime(time_bucket(INTERVAL 2 SECOND, _applied_at), '%Y%m%d%H%M%S') AS start, _op, count(*) AS n FROM g GROUP BY 1, 2")
+def s_windowed(spark, d):
+    # in the order of commits, so that rows come up to 90 seconds late for the window of their apply
+    rows = _streamed(spark, X.latency_log(spark, d), "_commit_ts", lambda log: streams.stream_windows(log, "2 seconds", "2 minutes"), {"_applied_at": F.col("m") + F.expr("interval 1 hour")})
+    return rows.select(F.date_format("start", "yyyyMMddHHmmss").alias("start"), "_op", "n")
 
 
 @query("S06_stream_to_sink", X.with_(X.L) + "SELECT k, _seq, _op FROM l")
@@ -326,19 +346,27 @@ def stream_to_sink(spark, d):
     return spark.read.parquet(out).select("k", "_seq", "_op")
 
 
-@query("S09_stream_packages", "WITH p AS (SELECT p_partkey AS k, CAST(p_retailprice AS DECIMAL(10,2)) AS price FROM part), b AS (SELECT * FROM p WHERE k % 3 = 0) SELECT k, price FROM b WHERE k % 5 <> 0 UNION SELECT k, price FROM p WHERE k % 5 <> 0")
+@query("S09_stream_packages", "WITH p AS (SELECT p_partkey AS k, CAST(p_retailprice AS DECIMAL(10,2)) AS price FROM part), v AS (SELECT k, (k * 7 + j * 9) % 24 AS b, CAST(price + j AS DECIMAL(10,2)) AS price, (k + j) % 5 = 0 AS gone FROM p, range(3) r(j)) SELECT k, arg_max(price, b) AS price FROM v GROUP BY k HAVING NOT arg_max(gone, b)")
 def stream_packages(spark, d):
+    """Every key in three of 24 packages, which come in the order of a hash of their numbers."""
     from ..operators import packages
-    from .syncs import _packages, _part
 
-    p = _part(spark, d).select("k", "price")
-    t = Target(spark, fresh_path(spark, "target"), K, 4)
+    p = X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_retailprice").cast("decimal(10,2)").alias("price"))
+    t = Target(spark, fresh_path(spark, "target"), K)
     t.create(p.where("k % 3 = 0"))
-    raw = _stream_of(spark, _packages(spark, d), 2, "payload")
+    j = p.select("k", "price", F.explode(F.array(*map(F.lit, range(3)))).alias("j"))
+    cell = F.concat_ws(",", F.col("k").cast("string"), (F.col("price") + F.col("j")).cast("decimal(10,2)").cast("string"), F.when((F.col("k") + F.col("j")) % 5 == 0, "D").otherwise("U"))
+    b = j.groupBy(((F.col("k") * 7 + F.col("j") * 9) % 24).alias("b")).agg(F.concat_ws("\n", F.collect_list(cell)).alias("body"))
+    fields = F.array(*[F.struct(F.lit(x).alias("Name")) for x in ("K", "PRICE", "OPER")])
+    content = F.struct(F.lit("Table").alias("Kind"), fields.alias("Fields"))
+    envelope = F.struct(F.lit("csv").alias("Encoding"), F.struct(F.col("b").alias("message.batchIndex"), F.lit(False).alias("message.lastBatch"), content.alias("Content")).alias("Attributes"), F.col("body").alias("Body"))
+    path = fresh_path(spark, "stream")
+    b.repartition(9, F.xxhash64("b")).select(F.to_json(envelope).alias("payload")).write.parquet(path)
+    raw = spark.readStream.schema("payload string").option("maxFilesPerTrigger", 3).parquet(path)
 
     def prepare(rows):
         last = cdc.coalesce_log(packages.decode(rows, ["k", "price", "oper"]).withColumn("_place", F.struct("batch_index", "row_no")), K, "_place")
         return last.select(F.col("k").cast("long").alias("k"), F.col("price").cast("decimal(10,2)").alias("price"), F.when(F.col("oper") == "D", "D").otherwise("U").alias("_op"))
 
-    streams.stream_merge(raw, t, fresh_path(spark, "checkpoint"), prepare)
-    return t.read().select("k", "price")
+    streams.stream_packages(raw, t, fresh_path(spark, "bronze"), fresh_path(spark, "checkpoint"), prepare)
+    return t.read()

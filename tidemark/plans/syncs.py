@@ -53,7 +53,7 @@ def snapshot_merge(spark, d):
 
 @query("M05_commit_delta", BASE + UPSERT)
 def commit_delta(spark, d):
-    t = Target(spark, fresh_path(spark, "target"), K, 8)
+    t = Target(spark, fresh_path(spark, "target"), K)
     t.create(X.target(spark, d))
     t.commit(1, X.stage(spark, d), delta.commit_ts("NUMTS", "changed"), F.current_timestamp(), "20010801000000")
     t.commit(2, X.stage(spark, d).limit(0), delta.commit_ts("NUMTS", "changed"), F.current_timestamp(), "20010802000000")

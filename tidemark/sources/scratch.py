@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 _own: dict[str, str] = {}
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir.  Unset, it is a temporary folder in local mode, as in tests, and an error on a cluster."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def fresh_path(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A new path below root, or else spark.checkpoint.dir.  Unset, it is a temporary folder in local mode, as in tests, and an error on a cluster."""
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
         if not re.match(r"local(\[|$)", context.master):

@@ -1,108 +1,125 @@
-"""A target as a bucketed Parquet directory, rewritten only where its keys change.
+"""A target that is merged run by run: every run writes rows and log as one job to a fresh path, and a pointer row last.
 
-Layout: rows/__sync_bucket=N, log/_run_id=N, state/ (one row a run, the last one rules). A commit writes the
-change rows, the log, the touched buckets and the state in that order; a run that died is repeated with
-its stored changes and log, which changes nothing twice. Dynamic overwrite is not atomic across buckets: a
-reader that needs one consistent view reads while no commit runs, or uses an ACID table format.
+What a run has written counts once its pointer row is there, so a run that died is simply repeated, a run that finished does
+nothing again, and readers see whole runs alone.  Paths that no pointer names, and those of older runs, may be removed by
+whoever keeps the folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.changelog import log_changes
-from ..operators.merge import apply_upsert, refuse_duplicates
-from .scratch import saved
+from ..operators.merge import apply_upsert, same_keys
+from .scratch import fresh_path
 
-BUCKET = "__sync_bucket"
+#: Changes are numbered within so many parts of their keys' hash range, one after another.
+PARTS = 256
+POINTER = "run_id long, rows string, log string, schema string, watermark string, log_seq long"
+LOG = "_seq long, _op string, _run_id long, _commit_ts timestamp, _applied_at timestamp"
 
 
 class Target:
-    """One writer per target. keys are fixed; buckets are counted once at creation.
+    """Rows with these keys below a path.  One writer at a time; run ids must rise."""
 
-    stretch: so many neighbours of a whole-number first key share a bucket, so that clustered changes touch few.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16, stretch: int = 0):
-        self.spark, self.path, self.keys, self.buckets, self.stretch = spark, path.rstrip("/"), keys, buckets, stretch
-
-    def _files(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), p
-
-    def _exists(self, name: str) -> bool:
-        fs, p = self._files(f"{self.path}/{name}")
-        return fs.exists(p)
-
-    def bucket(self) -> Column:
-        keys = [F.floor(F.col(self.keys[0]) / self.stretch)] if self.stretch else self.keys
-        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
-
-    def _counted(self, rows: DataFrame) -> tuple[DataFrame, Observation]:
-        """rows whose number and buckets are known once they have been written."""
-        seen = Observation()
-        return rows.observe(seen, F.count("*").alias("n"), F.collect_set(self.bucket()).alias("buckets")), seen
-
-    def _put(self, rows: DataFrame, mode: str) -> None:
-        # a large bucket is written by several tasks, small ones share one
-        out = rows.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET)
-        out.option("partitionOverwriteMode", mode).parquet(f"{self.path}/rows")
+    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
 
     def create(self, rows: DataFrame) -> None:
-        self._put(rows, "static")
+        """The first rows, as run 0."""
+        at = fresh_path(self.spark, "rows", self.path)
+        rows.write.parquet(at)
+        self._point(0, at, None, rows.schema, None, 0)
 
-    def read(self, buckets: list[int] | None = None) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.path}/rows")
-        df = df.where(F.col(BUCKET).isin(buckets)) if buckets is not None else df  # prunes directories
-        return df.drop(BUCKET)
+    def _point(self, run_id: int, at: str, log: str | None, schema: T.StructType, watermark: str | None, log_seq: int) -> None:
+        row = [(run_id, at, log, schema.json(), watermark, log_seq)]
+        self.spark.createDataFrame(row, POINTER).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
 
-    def state(self):
-        """The row of the last finished run, or None."""
-        if not self._exists("state"):
-            return None
-        return self.spark.read.parquet(f"{self.path}/state").orderBy(F.desc("run_id")).first()
+    def _runs(self) -> DataFrame:
+        return self.spark.read.schema(POINTER).parquet(f"{self.path}/runs")
 
-    def log(self) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/log")
+    def state(self) -> Row:
+        """The pointer row of the last finished run."""
+        return self._runs().orderBy(F.desc("run_id")).first()
 
-    def commit(self, run_id: int, changes: DataFrame, commit: Column, applied: Column, watermark: str | None = None, merge=None, log: bool = True) -> list[int]:
-        """Merge changes under a run; returns the buckets that were rewritten. A quiet run only stores its state.
+    def read(self, state: Row | None = None) -> DataFrame:
+        """The rows as the last finished run, or the one of a pointer row, left them."""
+        state = state or self.state()
+        return self.spark.read.schema(T.StructType.fromJson(_json(state.schema))).parquet(state.rows)
 
-        merge(target, changes) defaults to an upsert; it must give the same result when applied twice.
+    def log(self) -> DataFrame:
+        """The change log of all finished runs; columns that a target gained later are null before."""
+        out = None
+        for r in self._runs().where("log is not null").orderBy("run_id").collect():  # a row a run
+            own = self.spark.read.schema(_with_log(T.StructType.fromJson(_json(r.schema)))).parquet(r.log)
+            out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+        return out if out is not None else self.spark.createDataFrame([], _with_log(self.read().schema))
+
+    def commit(self, run_id: int, changes: DataFrame, commit: Column, applied: Column, watermark: str | None = None, merge=None, log: bool = True) -> int:
+        """Merge changes under a run; returns how many there were.  Of a run that has finished nothing is done again.
+
+        merge(target, changes) defaults to an upsert by key; with it rows and log are one job, over one join.  Other merges
+        and a log of theirs take a job each.  Changes that share a key fail the run.  The log has U for keys that the
+        target held and else I, numbered on without gaps; its order within a run follows the keys' hash.  A quiet
+        run stores its pointer alone.
         """
         before = self.state()
-        if before is not None and run_id <= before.run_id:
-            return []
-        merge = merge or (lambda t, c: apply_upsert(t, c, self.keys))
-        stage = f"{self.path}/changes/run={run_id}"
-        if self._exists(f"changes/run={run_id}/_SUCCESS"):
-            seen = self.spark.read.schema(changes.schema).parquet(stage).agg(F.count("*").alias("n"), F.collect_set(self.bucket()).alias("buckets")).first().asDict()
+        if run_id <= before.run_id:
+            return 0
+        sizes = self._sizes(changes)
+        n = sum(sizes.values())
+        watermark = watermark if watermark is not None else before.watermark
+        if not n:
+            self._point(run_id, before.rows, None, T.StructType.fromJson(_json(before.schema)), watermark, before.log_seq)
+            return 0
+        old = self.read(before)
+        at = fresh_path(self.spark, "run", self.path)
+        if merge:
+            merge(old, changes).select([F.col(f.name).cast(f.dataType).alias(f.name) for f in old.schema]).write.parquet(f"{at}/_part=rows")
+            if log:
+                self._upserted(old, changes, sizes, before.log_seq, run_id, commit, applied).where("_part = 'log'").drop("_part").write.parquet(f"{at}/_part=log")
         else:
-            refuse_duplicates(changes, self.keys)
-            rows, seen = self._counted(changes)
-            rows.write.mode("overwrite").parquet(stage)
-            seen = seen.get
-        changes = self.spark.read.schema(changes.schema).parquet(stage)
-        touched = sorted(seen["buckets"])
-        base = before.log_seq if before is not None else 0
-        logged = 0
-        if touched:
-            if log and not self._exists(f"log/_run_id={run_id}/_SUCCESS"):
-                rows = log_changes(self.read(touched), changes, self.keys, run_id, commit, applied, base)
-                rows.drop("_run_id").write.mode("overwrite").parquet(f"{self.path}/log/_run_id={run_id}")
-            self.rewrite(touched, merge(self.read(touched), changes))
-            logged = seen["n"] if log else 0
-        row = [(run_id, watermark if watermark is not None else (before.watermark if before is not None else None), base + logged)]
-        self.spark.createDataFrame(row, "run_id long, watermark string, log_seq long").coalesce(1).write.mode("append").parquet(f"{self.path}/state")
-        return touched
-
-    def rewrite(self, touched: list[int], rows: DataFrame) -> None:
-        """Overwrite these buckets; one whose last row went writes nothing, so its directory is removed."""
-        schema = self.read().schema
-        rows, seen = self._counted(rows.select([F.col(f.name).cast(f.dataType) for f in schema.fields]))
-        self._put(saved(rows, "rewrite"), "dynamic")
-        left = set(seen.get["buckets"])
-        for b in set(touched) - left:
-            fs, p = self._files(f"{self.path}/rows/{BUCKET}={b}")
-            fs.delete(p, True)
+            rows = self._upserted(old, changes, sizes, before.log_seq, run_id, commit, applied)
+            (rows if log else rows.where("_part = 'rows'")).write.partitionBy("_part").parquet(at)
+        self._point(run_id, f"{at}/_part=rows", f"{at}/_part=log" if log else None, old.schema, watermark, before.log_seq + (n if log else 0))
+        return n
+
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(PARTS)).cast("int")
+
+    def _sizes(self, changes: DataFrame) -> dict[int, int]:
+        """Changes in each part; at most PARTS rows meet on the driver."""
+        by = changes.groupBy(self._part().alias("p"), *self.keys).agg(F.count("*").alias("c"))
+        by = by.groupBy("p").agg(F.sum("c").alias("n"), F.max(F.struct("c", *self.keys)).alias("worst")).collect()
+        for r in by:
+            if r.worst.c > 1:
+                raise ValueError(f"key {tuple(r.worst[1:])} occurs {r.worst.c} times")
+        return {r.p: r.n for r in by}
+
+    def _upserted(self, old: DataFrame, changes: DataFrame, sizes: dict[int, int], base: int, run_id: int, commit: Column, applied: Column) -> DataFrame:
+        """The merged rows and the log rows, told apart by _part, from one full outer join of target and changes."""
+        offsets, at = [], base
+        for p in range(PARTS):
+            offsets.append(at)
+            at += sizes.get(p, 0)
+        place = F.row_number().over(Window.partitionBy("_p").orderBy(*self.keys))
+        news = changes.withColumn("_p", self._part()).withColumn("_seq", (F.get(F.array(*map(F.lit, offsets)), F.col("_p")) + place).cast("long"))
+        news = news.withColumns({"_commit_ts": commit.cast("timestamp"), "_applied_at": applied.cast("timestamp")})
+        both = old.withColumn("_t", F.lit(True)).alias("a").join(news.alias("b"), same_keys(self.keys), "full_outer")
+        changed, have = F.col("b._seq").isNotNull(), {c.lower() for c in changes.columns}
+        pick = [F.when(changed, F.col(f"b.{f.name}")).otherwise(F.col(f"a.{f.name}")).cast(f.dataType).alias(f.name) if f.name.lower() in have else F.col(f"a.{f.name}") for f in old.schema]
+        op = F.when(F.col("a._t"), "U").otherwise("I")
+        rows = both.select(*pick, F.col("b._seq").alias("_seq"), op.alias("_op"), F.lit(run_id).cast("long").alias("_run_id"), F.col("b._commit_ts").alias("_commit_ts"), F.col("b._applied_at").alias("_applied_at"))
+        parts = F.when(F.col("_seq").isNotNull(), F.array(F.lit("rows"), F.lit("log"))).otherwise(F.array(F.lit("rows")))
+        return rows.withColumn("_part", F.explode(parts))
+
+
+def _json(text: str) -> dict:
+    import json
+
+    return json.loads(text)
+
+
+def _with_log(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(LOG).fields])
