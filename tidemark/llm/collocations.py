@@ -15,10 +15,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from . import text as X
+from .lm_score import pack, pack_sorted, unpack, unpack_sorted
 from .work import fresh_path, saved
 
 #: Shards of the corpus; least count of a phrase; most words; phrases reported for each language.
@@ -27,8 +28,8 @@ SHARDS, LEAST, LONGEST, MOST = 4, 10, 3, 2000
 INSIDE = 50
 #: Most bits of a bitmap, as a power of 2: 16 MB.
 BITS = 27
-#: Tokens whose phrases a task counts at once.
-BLOCK = 1 << 20
+#: Words whose phrases a task counts at once; bytes of text for each part of the hash range.
+BLOCK, PART = 1 << 21, 1 << 23
 #: Parts in which a language's phrases are ranked first.
 SALTS = 64
 
@@ -76,13 +77,13 @@ class Phrases:
         return self.key[n - 1][:size], self.key[n - 1][1:][:size]
 
 
-def dealt(docs: DataFrame) -> DataFrame:
-    """shard, tongue, lang, text of the rows with a text, written by shard; rows go to the shards in turn."""
-    spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "shards")
+def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
+    """shard, tongue, lang, text of the rows with a text, written by shard, and their bytes; rows go to the shards in turn."""
+    spark, path, seen = docs.sparkSession, fresh_path(docs.sparkSession, "shards"), Observation()
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").where("text <> ''")
     rows = rows.select(F.xxhash64("lang").alias("tongue"), "lang", "text", (F.monotonically_increasing_id() % SHARDS).cast("int").alias("shard"))
-    rows.write.partitionBy("shard").parquet(path)
-    return spark.read.schema("tongue long, lang string, text string, shard int").parquet(path)
+    rows.observe(seen, F.sum(F.octet_length("text")).alias("bytes")).write.partitionBy("shard").parquet(path)
+    return spark.read.schema("tongue long, lang string, text string, shard int").parquet(path), int(seen.get["bytes"] or 0)
 
 
 Bitmap = tuple[int, np.ndarray]
@@ -114,20 +115,31 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Phrases]:
             yield Phrases(data, offs, tongue[lo:hi])
 
 
-def scanned(shard: DataFrame, lengths: list[int], active: Callable[[int, Phrases], np.ndarray]) -> DataFrame:
-    """n, key, c: how often a task's texts hold the phrases of these lengths that active() marks, and with length 1 how many words a
-    language has, under n 0 and its hash."""
+SCAN = "n int, part int, grams binary, counts binary"
+
+
+def scanned(shard: DataFrame, lengths: list[int], bits: int, active: Callable[[int, Phrases], np.ndarray]) -> DataFrame:
+    """SCAN: the phrases of these lengths that active() marks and how often a batch of texts holds them, for each part of the hash range.
+
+    With length 1 also how many words a language has, under n 0 and its hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {n: [] for n in [0, *lengths]}
+        edges = np.array([i << (64 - bits) for i in range(1, 1 << bits)], np.uint64)
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for n, parts in held.items():
-                if parts:
-                    key, c = np.unique(np.concatenate(parts), return_counts=True)
-                    parts.clear()
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), n, np.int32)), X.longs(key), pa.array(c.astype(np.int64))], ["n", "key", "c"])
+            for n, own in held.items():
+                if not own:
+                    continue
+                key, c = np.unique(np.concatenate(own), return_counts=True)
+                own.clear()
+                bounds = np.concatenate([[0], np.searchsorted(key, edges), [len(key)]])
+                parts = np.flatnonzero(np.diff(bounds))
+                packed = [(pack_sorted(key[bounds[i] : bounds[i + 1]]), pack(c[bounds[i] : bounds[i + 1]])) for i in parts]
+                columns = [pa.array(np.full(len(parts), n, np.int32)), pa.array(parts.astype(np.int32)), *[pa.array([x[k] for x in packed], pa.binary()) for k in (0, 1)]]
+                yield pa.RecordBatch.from_arrays(columns, ["n", "part", "grams", "counts"])
 
         for p in _pieces(batches):
             for n in lengths:
@@ -140,40 +152,51 @@ def scanned(shard: DataFrame, lengths: list[int], active: Callable[[int, Phrases
                 size = 0
         yield from flush()
 
-    return shard.select("tongue", "text").mapInArrow(run, "n int, key long, c long")
+    return shard.select("tongue", "text").mapInArrow(run, SCAN)
 
 
 # -- dynamic counting ----------------------------------------------------------------------------------
 
 
-def totals(scans: dict[int, DataFrame]) -> DataFrame:
-    """key, f, reached, home of the phrases of scans (by number: rows key, c of one shard) that have come to LEAST.
+def totals(scans: dict[int, DataFrame], least: int) -> DataFrame:
+    """key, f, reached, home of the phrases of scans (SCAN rows by number of the scan) that have come to ``least``.
 
-    f: the count over all shards scanned so far; reached: the scan in which it came to LEAST; home: a shard that holds the
-    phrase.  A shard that two scans have counted, because a bitmap let a phrase pass, counts once.
+    f: the count over all shards scanned so far; reached: the scan in which it came to ``least``; home: a shard that holds
+    the phrase.  A shard that two scans have counted, because a bitmap let a phrase pass, counts once.  A group is a
+    part of the hash range, of a bounded share of the corpus; a frequent phrase has an entry for each batch in it.
     """
-    rows = None
+    rows, shards = None, SHARDS
     for t, own in scans.items():
-        own = own.select("key", "c", F.lit(t).alias("t"))
+        own = own.select("part", "grams", "counts", F.lit(t).alias("t"))
         rows = own if rows is None else rows.unionByName(own)
-    by = rows.groupBy("key").agg(*[F.sum(F.when(F.col("t") == t, F.col("c"))).alias(f"c{t}") for t in scans])
-    f, reached, home = F.lit(0).cast("long"), F.lit(None).cast("int"), F.lit(None).cast("int")
-    for t in sorted(scans):
-        twice = [F.coalesce(F.col(f"c{u}"), F.lit(0)) for u in scans if u < t and u % SHARDS == t % SHARDS]
-        seen = F.greatest(F.lit(0), F.lit(0), *twice)
-        by = by.withColumn(f"f{t}", f + F.greatest(F.coalesce(F.col(f"c{t}"), F.lit(0)) - seen, F.lit(0)))
-        f = F.col(f"f{t}")
-        reached = F.coalesce(reached, F.when(f >= LEAST, F.lit(t)))
-        home = F.coalesce(home, F.when(F.col(f"c{t}") > 0, F.lit(t % SHARDS)))
-    return by.select("key", f.alias("f"), reached.alias("reached"), home.alias("home")).where("reached is not null")
-
-
-def counted(corpus: DataFrame) -> dict[int, DataFrame]:
+
+    def count(table: pa.Table) -> pa.Table:
+        keys = [unpack_sorted(x.as_py()) for x in table["grams"]]
+        c = np.concatenate([unpack(x.as_py()) for x in table["counts"]]).astype(np.int64)
+        at = np.repeat(table["t"].to_numpy(), [len(k) for k in keys])
+        key, index = np.unique(np.concatenate(keys), return_inverse=True)
+        f, reached, home = np.zeros(len(key), np.int64), np.full(len(key), -1, np.int32), np.full(len(key), -1, np.int32)
+        seen: dict[int, np.ndarray] = {}
+        for t in np.unique(at).tolist():
+            own = np.bincount(index[at == t], c[at == t], len(key)).astype(np.int64)
+            shard = t % shards
+            before = seen.get(shard)
+            f += own if before is None else np.maximum(own - before, 0)
+            seen[shard] = own if before is None else np.maximum(own, before)
+            reached[(reached < 0) & (f >= least)] = t
+            home[(home < 0) & (own > 0)] = shard
+        kept = np.flatnonzero(f >= least)
+        return pa.Table.from_arrays([X.longs(key[kept]), pa.array(f[kept]), pa.array(reached[kept]), pa.array(home[kept])], ["key", "f", "reached", "home"])
+
+    return rows.groupBy("part").applyInArrow(count, "key long, f long, reached int, home int")
+
+
+def counted(corpus: DataFrame, size: int) -> dict[int, DataFrame]:
     """By length: key, f, reached, home of all phrases that come to LEAST; under 0: key, f of every language's words.
 
     A phrase is counted in scan t if what it is built on came to LEAST before, and one of the two in the last SHARDS scans.
     """
-    spark = corpus.sparkSession
+    spark, bits = corpus.sparkSession, (size // PART).bit_length()
     scans: dict[int, dict[int, DataFrame]] = {n: {} for n in range(LONGEST + 1)}
     found: dict[int, DataFrame] = {}
     ever: dict[int, Bitmap] = {}
@@ -200,24 +223,19 @@ def counted(corpus: DataFrame) -> dict[int, DataFrame]:
                 out[at] = passes(late, parts[0][at]) | passes(late, parts[1][at])
             return out
 
-        path = fresh_path(spark, "scan")
-        scanned(corpus.where(F.col("shard") == t % SHARDS), lengths, active).write.partitionBy("n").parquet(path)
-        rows = spark.read.schema("key long, c long, n int").parquet(path)
+        rows = saved(scanned(corpus.where(F.col("shard") == t % SHARDS), lengths, bits, active), "scan")
         for n in [*lengths, 0] if 1 in lengths else lengths:
             scans[n][t] = rows.where(F.col("n") == n)
         for n in lengths:
             if n < LONGEST:
-                found[n] = saved(totals(scans[n]), "frequent")
+                found[n] = saved(totals(scans[n], LEAST), "frequent")
                 most = found[n].agg(F.max("reached")).first()[0]
                 if most is not None:
                     ever[n], last[n] = bitmap(found[n]), most
         t += 1
     if scans[LONGEST]:
-        found[LONGEST] = saved(totals(scans[LONGEST]), "frequent")
-    words = None
-    for own in scans[0].values():
-        words = own if words is None else words.unionByName(own)
-    found[0] = words.groupBy("key").agg(F.sum("c").alias("f"))
+        found[LONGEST] = saved(totals(scans[LONGEST], LEAST), "frequent")
+    found[0] = totals(scans[0], 1)
     none = spark.createDataFrame([], "key long, f long, reached int, home int")
     return {n: found.get(n, none) for n in range(LONGEST + 1)}
 
@@ -235,6 +253,7 @@ def spelled(corpus: DataFrame, candidates: DataFrame) -> DataFrame:
     shipped = corpus.sparkSession.sparkContext.broadcast(maps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = {n: np.zeros(0, np.uint64) for n in range(2, LONGEST + 1)}  # what this task has given out already, or some of it
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -243,10 +262,12 @@ def spelled(corpus: DataFrame, candidates: DataFrame) -> DataFrame:
                 for n in range(2, LONGEST + 1):
                     at = np.flatnonzero(p.there[n])
                     at = at[passes(shipped.value[n], p.key[n][at] ^ mark)]
-                    _, first = np.unique(p.key[n][at], return_index=True)
-                    at = at[first]
+                    own, first = np.unique(p.key[n][at], return_index=True)
+                    fresh = np.flatnonzero(~np.isin(own, seen[n], assume_unique=True))
+                    at = at[first[fresh]]
                     if not len(at):
                         continue
+                    seen[n] = own if len(seen[n]) > BLOCK else np.union1d(seen[n], own[fresh])
                     raw, w = p.words.data.tobytes(), p.words
                     begin, upto = w.starts[at].tolist(), w.ends[at + n - 1].tolist()
                     phrase = [b" ".join(raw[x:y].split()).decode() for x, y in zip(begin, upto)]
@@ -274,8 +295,8 @@ def collocations(docs: DataFrame, most: int = MOST) -> DataFrame:
     and empty texts hold nothing, repeated rows count each, languages without phrases and empty tables give no rows.
     Only lang and text are read.  Phrases are told apart by 64-bit hashes.
     """
-    corpus = dealt(docs)
-    counts = counted(corpus)
+    corpus, size = dealt(docs)
+    counts = counted(corpus, size)
     candidates = None
     for n in range(2, LONGEST + 1):
         own = counts[n].select(F.lit(n).alias("n"), "key", "home", F.col("f").alias("a"))

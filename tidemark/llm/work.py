@@ -20,9 +20,19 @@ BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = "[ \\t-\\r]+"
 
 
+#: Most bytes of the batches of rows that go to Python workers and back, if the session says nothing of it: Spark's own
+#: default counts rows, whatever their texts' length.
+BATCH = 4 << 20
+
 _own: dict[str, str] = {}
 
 
+def steady(spark: SparkSession) -> None:
+    """Bounds the batches of the session by bytes, so that tasks on long texts need no more memory than others."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's spark.checkpoint.dir.  Unset, it is a temporary folder in local mode, as in tests, and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -38,6 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nobody has used."""
+    steady(spark)
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -68,6 +79,7 @@ def free_name(name: str, taken: list[str]) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    steady(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
