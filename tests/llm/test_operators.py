@@ -5,6 +5,7 @@ import io
 import itertools
 import math
 import random
+import re
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -14,14 +15,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.oracle import compare
-from tidemark.llm import components, decontaminate, lm_score, mixing, near_dup, quality_model, quality_rules, queries, substring_dedup, token_counts, toxicity, warc, work
+from tidemark.llm import collocations, components, decontaminate, lm_score, mixing, near_dup, quality_model, quality_rules, queries, sharding, substring_dedup, text, token_counts, toxicity, warc, whitening, work
 from tidemark.llm.work import fresh_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [f"{a}{b}" for a in "ba ce di fo gu ha".split() for b in "na re ti lo mu sha".split()]
 
 
-HELPERS = ("score", "size", "key", "tag", "spans", "grams", "held_out", "row", "batch", "label", "coords", "component", "_h", "_upper", "_all", "_statistics", "_tag", "_spans", "_text_key", "_of", "_gone_id", "_places", "_p", "_g5", "_part", "_at")
+HELPERS = ("score", "size", "key", "tag", "spans", "grams", "held_out", "row", "batch", "label", "coords", "component", "_h", "_upper", "_all", "_statistics", "_tag", "_spans", "_text_key", "_of", "_gone_id", "_places", "_p", "_g5", "_part", "_at", "rank", "phrase", "tongue", "shard", "slot", "law", "arc", "bin", "x", "n", "component")
 
 
 def prose(seed, n):
@@ -642,3 +643,228 @@ def test_text_of_20_megabytes(spark, name):
         w = long.lower().split()
         got = {x.doc_id: x for x in near_dup.near_duplicates(docs, 3, 85).collect()}
         assert got[2].n_shingles == len(set(zip(w, w[1:], w[2:]))) and all(x.kept for x in got.values())
+
+
+# -- words and sequences that linear hashes confuse -------------------------------------------------------
+
+
+def thue_morse(n):
+    return [bin(i).count("1") & 1 for i in range(n)]
+
+
+TWINS = ["".join("ab"[x] for x in thue_morse(1024)), "".join("ba"[x] for x in thue_morse(1024))]
+SEQUENCES = [" ".join(f"{w}{x}" for x in thue_morse(1024)) for w in ("a",)] + [" ".join(f"a{1 - x}" for x in thue_morse(1024))]
+
+
+def test_hashes_tell_thue_morse_words_apart():
+    for texts in (TWINS, SEQUENCES):
+        batch = text.pa.RecordBatch.from_arrays([text.pa.array(texts)], ["text"])
+        ((_, _, data, offs),) = text.pieces(batch)
+        w = text.split(data, offs)
+        h = text.word_hashes(w)
+        for salt in (0, 0x51ED2701, 0x7A3D99E1):
+            a, b = text.gram_hashes(h, w.first[:-1], w.first[1:], salt)
+            assert a != b
+        assert len(set(text.text_digests(w).to_pylist())) == 2 and len(set(h.tolist())) == 2
+
+
+def test_runs_hash_alike_wherever_they_stand():
+    r = np.random.default_rng(3)
+    v = r.integers(0, 1 << 63, 5000).astype(np.uint64)
+    lo = np.sort(r.integers(0, 4000, 300))
+    hi = lo + r.integers(0, 900, 300)
+    whole = text.run_hashes(v, lo, hi)
+    for i in range(0, 300, 7):
+        part = v[lo[i] : hi[i]]
+        assert text.run_hashes(part, np.zeros(1, int), np.array([len(part)]))[0] == whole[i]
+    assert len(set(whole.tolist())) == len({v[a:b].tobytes() for a, b in zip(lo, hi)})
+
+
+def test_operators_tell_thue_morse_words_apart(spark):
+    docs = table(spark, [(0, TWINS[0]), (1, TWINS[1]), (2, SEQUENCES[0]), (3, SEQUENCES[1])])
+    held = F.col("doc_id") % 2 == 1
+    assert {r.doc_id: r.n_known for r in lm_score.score(docs, held).collect()}[1] == 1  # the end alone
+    assert all(r.kept for r in near_dup.near_duplicates(docs.where("doc_id < 2"), k=3, percent=85).collect())
+    got = {(r.doc_id, r.n_removed) for r in substring_dedup.dedup_substrings(docs).collect()}
+    want = brute_substrings([(r.doc_id, r.text) for r in docs.collect()], 50)
+    assert got == {(i, n) for i, _, n, _ in want}
+    rows = {r.doc_id: r for r in quality_model.statistics(docs.select("doc_id", F.concat_ws(" ", F.lit(TWINS[0]), "text").alias("text"))).collect()}
+    assert rows[0]["_distinct"] == 0.5 and rows[1]["_distinct"] == 1.0
+    a, b = (toxicity.features(*(lambda t: (np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)])))(t))[1] for t in TWINS)
+    assert sorted(a.tolist()) != sorted(b.tolist())
+
+
+# -- 11: collocations ---------------------------------------------------------------------------------------
+
+
+def brute_collocations(rows, least, most=2000, longest=3):
+    f, n = defaultdict(Counter), Counter()
+    for lang, t in rows:
+        lang = "und" if lang is None else lang
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+            w = [x for x in re.split("[ \t]+", piece) if x]
+            n[lang] += len(w)
+            for k in range(1, longest + 1):
+                f[lang].update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        c = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        scored = []
+        for p, a in c.items():
+            if any(100 * b >= 50 * a for q, b in c.items() if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))):
+                continue
+            score, k = min((10**6 * a * a // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p)))
+            scored.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        out += [(lang, i + 1, p.decode(), -a, l, r, n[lang], -s) for i, (s, a, p, l, r) in enumerate(sorted(scored)[:most])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("least,bits,block,part", [(2, 27, 1 << 20, 1 << 23), (3, 10, 7, 99), (10, 27, 50, 5000)])
+def test_collocations(spark, odd, monkeypatch, least, bits, block, part):
+    """Also where bitmaps let nearly everything pass, and with batches of a few words."""
+    for name, value in (("LEAST", least), ("BITS", bits), ("BLOCK", block), ("PART", part)):
+        monkeypatch.setattr(collocations, name, value)
+    r = random.Random(5)
+    small = ["ab", "Cd", "é", "ß-x", "ab"]
+    more = [(100 + i, "".join(r.choice(small) + r.choice([" ", " ", "  ", "\t", ". ", ",", "\n", " ! "]) for _ in range(r.randint(0, 60)))) for i in range(40)]
+    docs = odd.unionByName(table(spark, more)).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "en").when(F.col("doc_id") % 3 == 1, "und"))
+    rows = [(r.lang, r.text) for r in docs.collect()]
+    got = sorted(map(tuple, collocations.collocations(docs).collect()))
+    want = brute_collocations(rows, least)
+    assert got == want and len(want) > 20
+    few = sorted(map(tuple, collocations.collocations(docs, most=3).collect()))
+    assert few == [w for w in want if w[1] <= 3]
+
+
+def test_late_phrases_are_counted_for_a_whole_cycle(spark, monkeypatch):
+    """A phrase whose words come to the threshold only in the last shard is counted in every shard."""
+    monkeypatch.setattr(collocations, "LEAST", 4)
+    texts = [(i, f"x y z filler{i}") for i in range(4)] + [(9, "x y y z")]
+    docs = table(spark, texts).coalesce(1)
+    got = {r.phrase: r.a for r in collocations.collocations(docs).collect()}
+    assert got == {"x y z": 4}
+    assert collocations.collocations(docs.limit(0)).count() == 0
+    assert collocations.collocations(docs.withColumn("text", F.lit(None).cast("string"))).count() == 0
+
+
+# -- 12: whitening -------------------------------------------------------------------------------------------
+
+
+def brute_whitening(rows, components=4):
+    rows = [(i, v) for i, v in rows if v and all(c is not None and math.isfinite(c) for c in v)]
+    x = np.array([[math.floor(256 * float(np.float32(c))) for c in v] for _, v in rows])
+    fit = np.unique(x, axis=0)
+    n, s = len(fit), fit.sum(axis=0)
+    c = fit - s / n
+    e, u = np.linalg.eigh(c.T @ c / n)
+    e, u = e[::-1][:components], u[:, ::-1][:, :components]
+    keep = e > 1e-9
+    e, u = e[keep], u[:, keep]
+    trace = np.trace(c.T @ c / n)
+    return {(i, k + 1): (n, int(((n * a - s) ** 2).sum()), float((a - s / n) @ u[:, k] / math.sqrt(e[k])), e[k] / trace) for (i, _), a in zip(rows, x) for k in range(len(e))}
+
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def check_whitening(got, want, columns=None):
+    assert len(got) == len(want)
+    sign = {}
+    for r in got:
+        n, deviation, w, explained = want[r.vec_id, r.component]
+        assert (r.n, r.deviation) == (n, deviation) and abs(r.explained - explained) <= 1e-4 * explained and r.identity_error <= 1e-4
+        if abs(w) > 1e-3:
+            assert sign.setdefault(r.component, np.sign(w * r.whitened)) == np.sign(w * r.whitened)
+        assert abs(abs(r.whitened) - abs(w)) < 1e-7
+
+
+@pytest.mark.parametrize("n,d", [(60, 7), (400, 24), (5, 6), (2, 3)])
+def test_whitening(spark, n, d):
+    r = np.random.default_rng(n)
+    rows = [(i, (r.standard_normal(d) * (3 + np.arange(d))).tolist()) for i in range(n)]
+    rows += [(1000, rows[0][1]), (1001, rows[1][1]), (1002, None), (1003, [None] * d), (1004, [float("nan")] * d), (1005, [float("inf")] + [0.0] * (d - 1)), (1006, []), (1007, rows[0][1][:-1])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS).withColumns({"x": F.lit(1), "n": F.lit("n"), "component": F.lit(2)})
+    check_whitening(whitening.whiten(df).collect(), brute_whitening([(i, v) for i, v in rows if i != 1007]))
+
+
+def test_whitening_of_nothing(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0], 0), (2, [1.0, 2.0], 0), (None, None, 1)], VECTORS)
+    assert whitening.whiten(df).count() == 0 and whitening.whiten(df.limit(0)).count() == 0
+    assert whitening.whiten(df.where("vec_id is null")).count() == 0
+    one = spark.createDataFrame([(1, [1.0, 2.0], 0), (None, [2.0, 2.0], 0), (None, [2.0, 2.0], 0)], VECTORS).transform(whitening.whiten).collect()
+    assert [(r.component, abs(r.whitened), r.n) for r in one] == [(1, 1.0, 2)] * 3
+    huge = spark.createDataFrame([(1, [3e15, 2.0], 0), (2, [-3e15, 2.0], 0)], VECTORS).transform(whitening.whiten).collect()
+    assert all(r.deviation is None and abs(abs(r.whitened) - 1) < 1e-9 for r in huge)
+
+
+def test_feast_against_eigh():
+    r = np.random.default_rng(2)
+    close = np.diag([1.0] * 5 + [0.999] * 5 + [0.5] * 20)
+    turn = np.linalg.qr(r.standard_normal((30, 30)))[0]
+    for v in (np.eye(9), turn @ close @ turn.T, np.diag([1e9, 1.0, 1e-3]), (lambda a: a.T @ a)(r.standard_normal((40, 33))), np.zeros((4, 4))):
+        e, u = whitening.leading(v, 4)
+        want = np.linalg.eigvalsh(v)[::-1][:4]
+        want = want[want > 1e-12 * np.trace(v)]
+        scale = max(1e-300, np.trace(v))
+        assert len(e) == len(want) and np.abs(e - want).max(initial=0) < 1e-13 * scale
+        assert np.abs(v @ u - u * e).max(initial=0) < 1e-13 * scale and np.abs(u.T @ u - np.eye(len(e))).max(initial=0) < 1e-12
+        t = whitening.tridiagonal(v)
+        assert all(whitening.inertia(*t, s) == (np.linalg.eigvalsh(v) > s).sum() for s in r.uniform(0, scale, 5))
+
+
+def test_feast_refuses_a_wrong_count():
+    with pytest.raises(ArithmeticError):
+        whitening.feast(np.diag([3.0, 2.0, 1.0]), 1.5, 2.5, 2)
+
+
+# -- 13: sharding --------------------------------------------------------------------------------------------
+
+
+def brute_shards(keys, points, shards):
+    """shard of every key (position, tie): key after key in the order of the ring, then those that found their shard full."""
+    keys = sorted(keys)
+    room = [len(keys) // shards + (s < len(keys) % shards) for s in range(shards)]
+    owners = [s for _, s in points]
+    out, late = {}, []
+    for k in keys:
+        at = next((i for i, (p, _) in enumerate(points) if p >= k[0]), 0)
+        if room[owners[at]]:
+            room[owners[at]] -= 1
+            out[k] = owners[at]
+        else:
+            late.append((k, at))
+    for k, at in late:
+        while not room[owners[at]]:
+            at = (at + 1) % len(owners)
+        room[owners[at]] -= 1
+        out[k] = owners[at]
+    return out
+
+
+@pytest.mark.parametrize("shards,points", [(16, 256), (5, 3), (1, 4)])
+def test_sharding(spark, odd, shards, points):
+    docs = odd.unionByName(table(spark, [(100 + i, prose(i, i % 7)) for i in range(300)] + [(7, "hot") for _ in range(150)]))
+    got = sharding.shard(docs, shards, points).collect()
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", F.lit(sharding.KEY_SEED)).alias("h")).collect()
+    facts = lambda i, t: (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode()))
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(facts(r.doc_id, r.text) for r in rows)
+    assert all(r.law == "rows" and r.grown_shard is None for r in got)
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+    assert set(by) == set(range(shards)) and max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    want = brute_shards([(r.h, i) for i, r in enumerate(rows)], sharding.ring(spark, shards, points), shards)
+    h = {r.doc_id: r.h for r in rows}
+    assert Counter((h[r.doc_id], r.shard) for r in got) == Counter((k[0], s) for k, s in want.items())
+    again = sharding.shard(docs.repartition(3), shards, points).collect()
+    assert Counter((r.doc_id, r.shard) for r in again) == Counter((r.doc_id, r.shard) for r in got)
+
+
+def test_a_further_shard_moves_few_rows(spark):
+    docs = table(spark, [(i, "t") for i in range(6000)])
+    place = lambda n: {r.doc_id: r.shard for r in sharding.shard(docs, n).collect()}
+    a, b = place(16), place(17)
+    assert sum(a[i] != b[i] for i in a) < 0.15 * len(a)  # a remainder of doc_id would move 94 %
+    assert sharding.shard(docs.limit(0)).count() == 0
