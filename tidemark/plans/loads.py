@@ -75,10 +75,16 @@ q AS (SELECT *, CAST(ceil((b - a + 1) / parts) AS BIGINT) AS width FROM p), c AS
 cuts AS (SELECT row_number() OVER (ORDER BY lo) AS portion_no, lo, least(lo + width - 1, b) AS hi, CAST(ceil(n / parts) AS BIGINT) AS est_rows FROM c)"""
 
 
-@query("L10_parallel_load", "WITH " + WIDTH_SQL.format(parts="8") + " SELECT portion_no, count(*) AS n FROM lineitem JOIN cuts ON l_orderkey BETWEEN lo AND hi GROUP BY 1")
+@query("L10_parallel_load", "WITH s AS (SELECT CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS c, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders), f AS (SELECT min(c) AS a, max(c) AS b FROM s), q AS (SELECT a, CAST(ceil((b - a + 1) / CAST(greatest(1, least(8, b - a + 1)) AS DOUBLE)) AS BIGINT) AS width FROM f) SELECT CASE WHEN c IS NULL THEN 0 ELSE (c - a) // width + 1 END AS portion_no, count(*) AS n, count(c) AS customers, CAST(sum(price) AS DOUBLE) AS price FROM s, q GROUP BY 1")
 def parallel_load(spark, d):
-    rows = X.table(spark, d, "lineitem").select("l_orderkey")
-    return portions.assign_portion(rows, "l_orderkey", portions.by_width(rows, "l_orderkey", parts=8)).groupBy("portion_no").agg(F.count("*").alias("n"))
+    """orders from another database into a target, a task and a query of its own for each of 8 portions and for the rows without a customer."""
+    rows = X.orders(spark, d).select(F.col("k").alias("K"), F.when(F.col("k") % 11 != 0, F.col("cust")).alias("CUST"), F.col("price").alias("PRICE"))
+    url, name, options = X.foreign(spark, rows)
+    facts = loads.native_source(spark, url, f"SELECT MIN(CUST) AS A, MAX(CUST) AS B, COUNT(CUST) AS N FROM {name}", **options).toDF("a", "b", "n")
+    path = fresh_path(spark, "load")
+    loads.parallel_load(spark, url, name, "CUST", portions.widths(facts, parts=8), **options).write.partitionBy("portion_no").parquet(path)
+    back = spark.read.schema("K long, CUST long, PRICE decimal(18,2), portion_no long").parquet(path)
+    return back.groupBy("portion_no").agg(F.count("*").alias("n"), F.count("CUST").alias("customers"), F.sum("PRICE").cast("double").alias("price"))
 
 
 @query("L11_partition_candidates", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, min(CAST({c} AS VARCHAR)) AS min_value, max(CAST({c} AS VARCHAR)) AS max_value, count(*) - count({c}) AS n_null, avg(CASE WHEN regexp_matches(CAST({c} AS VARCHAR), '^[0-9]+$') THEN 1.0 ELSE 0.0 END) AS digit_share FROM orders" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")))
@@ -120,11 +126,13 @@ def read_partitioned(spark, d):
     return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.max("o_orderkey").alias("last_key"))
 
 
-@query("L17_federated_query", "SELECT lang, coalesce(CAST(quality AS VARCHAR), 'none') AS quality, count(*) AS n, sum(n_chars) AS chars FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1, 2")
+@query("L17_federated_query", "SELECT lang, coalesce(CAST(quality AS VARCHAR), 'none') AS quality, count(*) AS n, sum(n_chars) AS chars FROM documents LEFT JOIN (SELECT doc_id, quality FROM labels WHERE toxic = 0) USING (doc_id) GROUP BY 1, 2")
 def federated_query(spark, d):
-    docs, labels = X.table(spark, d, "documents").drop("text"), X.table(spark, d, "labels")
-    rows = docs.join(labels, "doc_id", "left").withColumn("quality", F.coalesce(F.col("quality").cast("string"), F.lit("none")))
-    return rows.groupBy("lang", "quality").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+    """One statement over Parquet and a table of another database, which gets the filter and the columns."""
+    url, name, options = X.foreign(spark, X.table(spark, d, "labels").select("doc_id", F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic")))
+    X.table(spark, d, "documents").createOrReplaceTempView("federated_documents")
+    spark.read.format("jdbc").options(url=url, dbtable=name, **options).load().createOrReplaceTempView("federated_labels")
+    return spark.sql("SELECT lang, coalesce(CAST(quality AS STRING), 'none') AS quality, count(*) AS n, sum(n_chars) AS chars FROM federated_documents LEFT JOIN (SELECT doc_id, quality FROM federated_labels WHERE toxic = 0) USING (doc_id) GROUP BY 1, 2")
 
 
 @query("L18_empty_load", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey < 0")

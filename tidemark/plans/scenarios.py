@@ -92,6 +92,24 @@ def registry_cdc(spark, d) -> DataFrame:
     return registry(spark, d).where("fail_count = 1").select("target", F.when(F.col("pending_spill") == 2, "BROKEN").otherwise("OK").alias("status"))
 
 
+def foreign(spark, rows: DataFrame, types: str = "") -> tuple[str, str, dict]:
+    """(url, table, options) of rows written to another database over JDBC.
+
+    That is the one of the session's tidemark.jdbc.url and tidemark.jdbc.driver; unset, Spark's embedded one, which a driver
+    in local mode shares with its tasks.
+    """
+    import uuid
+
+    url = spark.conf.get("tidemark.jdbc.url", None)
+    if not url and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set tidemark.jdbc.url to a database that all executors reach")
+    options = {"driver": spark.conf.get("tidemark.jdbc.driver", "org.apache.derby.iapi.jdbc.AutoloadedDriver")}
+    url, name = url or "jdbc:derby:memory:tidemark;create=true", f"T_{uuid.uuid4().hex}".upper()
+    more = {"createTableColumnTypes": types} if types else {}
+    rows.coalesce(4).write.format("jdbc").options(url=url, dbtable=name, batchsize="10000", **more, **options).save()
+    return url, name, options
+
+
 NOW = 1_700_000_000
 
 ORD = "ord AS (SELECT o_orderkey AS k, o_custkey AS cust, o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(18,2)) AS price, strftime(o_orderdate, '%Y%m%d%H%M%S') AS changed FROM orders)"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,6 +106,40 @@ def native_source(spark: SparkSession, url: str, query: str, **options) -> DataF
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 
+#: Most portions of a parallel load over JDBC: each is a connection of its own.
+MOST_PARTS = 10_000
+
+
+def sql_literal(value) -> str:
+    """A value as other databases read it, with the JDBC escapes of dates and times."""
+    if isinstance(value, dt.datetime):
+        return f"{{ts '{value:%Y-%m-%d %H:%M:%S.%f}'}}"
+    if isinstance(value, dt.date):
+        return f"{{d '{value:%Y-%m-%d}'}}"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def portion_predicates(portions: DataFrame, column: str, half_open: bool = False) -> tuple[list[int], list[str]]:
+    """(numbers, conditions) of portions (portion_no, lo, hi), and number 0 for the rows without a value; together they hold every row once."""
+    rows = portions.where("lo is not null").orderBy("lo").limit(MOST_PARTS + 1).collect()
+    if len(rows) > MOST_PARTS:
+        raise ValueError(f"more than {MOST_PARTS} portions")
+    end = "<" if half_open else "<="
+    return [0, *[r.portion_no for r in rows]], [f"{column} IS NULL", *[f"{column} >= {sql_literal(r.lo)} AND {column} {end} {sql_literal(r.hi)}" for r in rows]]
+
+
+def parallel_load(spark: SparkSession, url: str, table: str, column: str, portions: DataFrame, half_open: bool = False, **options) -> DataFrame:
+    """A foreign table over JDBC with portion_no: a task and a query of its own for each portion, and one for the rows without a value.
+
+    Each query asks the foreign database for its range alone; rows outside all portions aren't loaded.
+    """
+    numbers, conditions = portion_predicates(portions, column, half_open)
+    rows = spark.read.jdbc(url, table, predicates=conditions, properties={k: str(v) for k, v in options.items()})
+    return rows.withColumn("portion_no", F.get(F.array(*[F.lit(n).cast("long") for n in numbers]), F.spark_partition_id()))
+
+
 def ingest_json(rows: DataFrame, column: str, schema: str) -> DataFrame:
     """JSON in a text column as typed columns beside the others: one row for an object or null, one for each object of an array.
 
