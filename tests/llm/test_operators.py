@@ -617,7 +617,7 @@ def test_components(spark):
 # -- very long texts -------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("name", ["op1", "op6", "op7", "op9", "op10"])
+@pytest.mark.parametrize("name", ["op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "op11", "op13"])
 def test_text_of_20_megabytes(spark, name):
     r = random.Random(9)
     passage = prose(5, 60)
@@ -639,6 +639,28 @@ def test_text_of_20_megabytes(spark, name):
         assert (got[2].n_words, got[2].n_removed) == (n, 60) and got[2].kept_sha256 == hashlib.sha256(" ".join(long.split()[:-60]).encode()).hexdigest()
     elif name == "op9":
         assert toxicity.classify(docs, labels, "y", F.lit(False)).where("score between 0 and 1").count() == 4
+    elif name == "op2":
+        got = {x.page_id: x for x in warc.archive_pages(docs.select(F.col("doc_id").alias("page_id"), F.lit("http://a/").alias("url"), F.col("text").alias("html"))).collect()}
+        assert got[2].payload_bytes == len(long.encode()) and got[2].payload_digest == hashlib.sha1(long.encode()).hexdigest()
+    elif name == "op3":
+        got = {x.doc_id: x for x in quality_rules.line_first_clean(docs).collect()}
+        assert got[2].n_words == n and got[2].word_chars == len("".join(long.split())) and got[2].n_dup_lines > 0
+    elif name == "op4":
+        got = {x.doc_id: x for x in mixing.mix(docs, F.array(F.lit("s"))).collect()}
+        assert got[2].size == n and sum(x.taken for x in got.values()) == got[2].source_size == n + 60 + 40
+    elif name == "op5":
+        made = token_counts.Tokenizer(queries.vocabulary("byte_bpe_50k.json"))
+        got = {x.doc_id: x for x in token_counts.token_counts(docs, made).collect()}
+        assert got[2].n_bytes == len(long.encode()) and got[2].over_limit and got[2].n_tokens > n
+    elif name == "op8":
+        items = spark.createDataFrame([(7, passage)], "item_id long, text string")
+        assert {(x.doc_id, x.start, x.similarity) for x in decontaminate.leaks(docs, items).collect()} == {(1, 0, 1.0), (2, n - 60, 1.0)}
+    elif name == "op11":
+        got = {x.phrase: x for x in collocations.collocations(docs.withColumn("lang", F.lit("en"))).collect()}
+        assert got and all(x.n == n + 60 + 40 for x in got.values())
+    elif name == "op13":
+        got = {x.doc_id: x for x in sharding.shard(docs, 2).collect()}
+        assert got[2].size == len(long.encode()) + 1 and got[2].text_crc32 == zlib.crc32(long.encode())
     else:
         w = long.lower().split()
         got = {x.doc_id: x for x in near_dup.near_duplicates(docs, 3, 85).collect()}
@@ -694,6 +716,21 @@ def test_operators_tell_thue_morse_words_apart(spark):
     assert sorted(a.tolist()) != sorted(b.tolist())
 
 
+def test_features_equal_brute_force():
+    """Words, stems, neighbours and pairs with a word between, each hashed alone."""
+    t = "Abc def's, ghijklmno!  Abc\nüber-x 12"
+    data = np.frombuffer(t.encode(), np.uint8)
+    owner, got = toxicity.features(np.concatenate([data, data]), np.array([0, len(data), 2 * len(data)]))
+    low = bytes(toxicity._lower(data))
+    words = re.findall(b"[" + re.escape(bytes(np.flatnonzero(toxicity._table).astype(np.uint8))) + b"]+", low)
+    one = lambda w: text.byte_hashes(np.frombuffer(w, np.uint8), np.zeros(1, int), np.array([len(w)]))
+    h = [one(w) for w in words]
+    want = h + [one(w[:k]) ^ np.uint64(k) for k in toxicity.STEMS for w in words if len(w) > k]
+    want += [text.mix(h[i] * np.uint64(3) + h[i + gap] + np.uint64(gap)) for gap in (1, 2) for i in range(len(h) - gap)]
+    want = Counter(int(x[0] >> np.uint64(64 - toxicity.BITS)) for x in want)
+    assert len(words) > 5 and all(Counter(got[owner == i].tolist()) == want for i in (0, 1))
+
+
 # -- 11: collocations ---------------------------------------------------------------------------------------
 
 

@@ -1,9 +1,11 @@
 """The pipeline end to end, each stage against a brute-force version on its own input."""
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tests.llm.test_operators import brute_leaks, brute_near, brute_substrings
+from tests.llm.test_operators import brute_leaks, brute_near, brute_substrings, odd  # noqa: F401  (a fixture)
 from tidemark.llm import quality_model
 from tidemark.llm.queries import remainder
 from tidemark.llm.work import saved, table
@@ -42,3 +44,24 @@ def test_empty_documents(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, sf_dir)
         assert out.count() == 0
+
+
+def test_odd_rows_end_to_end(spark, sf_dir, odd):
+    """Null and shared ids, null and blank texts, repeated rows and a very long word, through all stages."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    docs = table(spark, sf_dir, "documents").select(columns).limit(60).unionByName(odd.select(columns))
+    docs = docs.unionByName(docs.where("doc_id = 3").withColumn("text", F.lit("other words under the id of another row, and more of them")))
+    seen = [docs]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), "test")
+        assert docs.columns == columns
+        seen.append(docs)
+    rows = [[(r.doc_id, r.text) for r in d.collect()] for d in seen]
+    assert all(Counter(i for i, _ in b) <= Counter(i for i, _ in a) for a, b in zip(rows, rows[1:]))  # rows go, none come
+    kept = Counter(i for i, _ in rows[2])
+    assert kept[None] == Counter(i for i, _ in rows[1])[None]  # a null id is near nothing
+    alone = {i for i, n in Counter(i for i, _ in rows[1]).items() if n == 1 and i is not None}
+    want = {r[0] for r in brute_near(rows[1], 5, 80) if r[3] and r[0] in alone}
+    assert {i for i, _ in rows[2] if i in alone} == want
+    last = corpus_pipeline.STAGES[-1][1](spark, seen[4], sf_dir).collect()
+    assert Counter(r.doc_id for r in last) == Counter(i for i, _ in rows[4]) and all(0 <= r.taken <= 3 * r.size for r in last)
