@@ -534,7 +534,7 @@ def test_leaks(spark, monkeypatch):
     d = table(spark, docs)
     b = spark.createDataFrame(items, "item_id long, text string").withColumn("grams", F.lit("x"))
     want = brute_leaks(docs, dict(items).items())
-    for most in (1_000_000, 900):
+    for most in (1_000_000, 90):
         monkeypatch.setattr(decontaminate, "ROWS", most)
         assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontaminate.leaks(d, b).collect()} == want
     assert decontaminate.leaks(d.limit(0), b).count() == 0 and decontaminate.leaks(d, b.limit(0)).count() == 0
@@ -547,12 +547,21 @@ def test_leaks_do_not_depend_on_blocks(spark, monkeypatch):
     docs = [(i, prose(i, 30) + " " + prose(800 + i, 12) + " " + " ".join(t.split()[j:])) for i, (j, (_, t)) in enumerate((j, x) for j in (0, 2, 4) for x in items)]
     want = brute_leaks(docs, items[:8])
     assert any(v < 1 for v in want.values())
-    for most in (1_000_000, 900):
+    for most in (1_000_000, 150):
         monkeypatch.setattr(decontaminate, "ROWS", most)
         rows = decontaminate.leaks(table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
         assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in rows} == want
 
 
+def test_leaks_of_a_large_benchmark_take_one_scan(spark, tmp_path):
+    items = [(i, prose(i, 40)) for i in range(30_000)]
+    docs = [(i, prose(50_000 + i, 30) + " " + items[i * 97][1] + " " + prose(60_000 + i, 9)) for i in range(20)] + [(90, prose(70_000, 200))]
+    table(spark, docs).write.parquet(str(tmp_path / "d"))
+    found = decontaminate.leaks(spark.read.parquet(str(tmp_path / "d")), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.start, r.similarity) for r in found.collect()} == {(i, i * 97, 30, 1.0) for i in range(20)}
+    assert found._jdf.queryExecution().sparkPlan().toString().count(str(tmp_path / "d")) == 1
+
+
 # -- 10: near-duplicates ---------------------------------------------------------------------------------------------
 
 

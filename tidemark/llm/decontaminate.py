@@ -21,8 +21,8 @@ from .work import BLANK_RUN, BLANKS, possible_natively, saved
 SHINGLE, PERCENT = 5, 80
 #: Hamming radius of 64-bit fingerprints: windows at similarity 0.8 differ in 10 bits, deviation 3.
 RADIUS, BLOCKS = 23, 8
-#: Rows of shingles and probes that are broadcast at once (about 40 bytes each); a larger benchmark is handled in blocks of items.
-ROWS = 1_000_000
+#: Rows of shingles and fingerprint blocks that are broadcast at once (about 40 bytes each); a larger benchmark is handled in blocks of items.
+ROWS = 2_000_000
 _LANES = 0x0001000100010001
 _NEAR = [0] + [1 << i for i in range(8)] + [1 << i | 1 << j for i in range(8) for j in range(i)]
 
@@ -87,10 +87,11 @@ def _one_block(docs: DataFrame, by: list[str], items: DataFrame, spread: DataFra
     rows = _once(rows, "window", F.slice("grams", F.col("start") + 1, F.col("words") - F.col("k") + 1)).select(*by, "start", "k", "words", "window")
     rows = with_fingerprint(rows, "window")
 
-    probes = F.array(*[F.struct(F.lit(b).alias("b"), _block(F.col("fp"), b).alias("v")) for b in range(BLOCKS)])
-    near = items.select("k", "words", "item", F.col("fp").alias("item_fp"), F.explode(probes).alias("x"))
-    near = near.select("k", "words", "item", "item_fp", "x.b", F.explode(F.array(*[F.col("x.v").bitwiseXOR(F.lit(m)) for m in _NEAR])).alias("v"))
-    pairs = rows.withColumn("x", F.explode(probes)).select("*", "x.b", "x.v").drop("x").join(F.broadcast(near), ["k", "words", "b", "v"])
+    # the windows, which are few, ask for every block of bits within two flips: an item has one row a block
+    blocks = F.explode(F.array(*[F.struct(F.lit(b).alias("b"), _block(F.col("fp"), b).alias("v")) for b in range(BLOCKS)])).alias("x")
+    near = items.select("k", "words", "item", F.col("fp").alias("item_fp"), blocks).select("k", "words", "item", "item_fp", "x.*")
+    probes = rows.select("*", blocks).withColumn("flip", F.explode(F.array(*map(F.lit, _NEAR)))).withColumns({"b": F.col("x.b"), "v": F.col("x.v").bitwiseXOR(F.col("flip"))})
+    pairs = probes.drop("x", "flip").join(F.broadcast(near), ["k", "words", "b", "v"])
     unlike = F.col("fp").bitwiseXOR(F.col("item_fp"))
     first = reduce(lambda rest, b: F.when(F.bit_count(_block(unlike, b)) <= 2, b).otherwise(rest), reversed(range(BLOCKS)), F.lit(-1))
     pairs = pairs.where((F.bit_count(unlike) <= RADIUS) & (first == F.col("b"))).select(*by, "start", "window", "item")
@@ -114,8 +115,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, percent: int
     Items of fewer than k words are found where all their words stand in a row.  Items or documents with
     null or blank text are near nothing; null ids are reported as null; repeated rows are reported once.
     by: the columns of docs that tell rows apart, reported for each find; others are not looked at.
-    Documents are read whole and not shuffled, in one pass for all items; a benchmark whose shingles and
-    probes make more than ROWS rows is dealt into blocks of items, with a pass and equal results for each.
+    Documents are read whole and not shuffled, in one pass for all items; a benchmark of more than ROWS
+    shingles (some 35,000 items of 50 words) is dealt into blocks of items, with a pass and equal results for each.
     """
     by = list(by)
     items = benchmark.select("item_id", "text").dropDuplicates()
@@ -130,7 +131,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, percent: int
     whole = saved(whole.withColumn("item", F.xxhash64("item_id", "k", "grams")).dropDuplicates(["item"]), "benchmark")
     # over all items, so that no weight depends on the blocks
     spread = saved(whole.select(F.explode(F.array_distinct("grams")).alias("h")).groupBy("h").agg(F.count("*").alias("df")), "spread")
-    blocks = max(1, -(-whole.agg(F.sum(F.size("grams") + F.lit(BLOCKS * len(_NEAR)))).first()[0] // ROWS))
+    blocks = max(1, -(-whole.agg(F.sum(F.size("grams") + F.lit(BLOCKS))).first()[0] // ROWS))
     found = none
     for i in range(blocks):
         found = found.union(_one_block(docs, by, whole.where(F.pmod("item", F.lit(blocks)) == i), spread, sizes, percent))
