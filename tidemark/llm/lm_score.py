@@ -27,6 +27,7 @@ from .work import release, saved
 BLOCK, PART = 1 << 22, 1 << 21
 #: Tokens of a step of the traversal.
 STEP = 1 << 18
+#: Constants that held-out text of the given tables bears out; they are not estimated from a corpus.
 STRENGTH = {2: 300.0, 3: 5.0}
 #: The end of a text, as a word's hash.
 END = np.uint64(0x0E0F0E0D0C0B0A09)
@@ -130,7 +131,10 @@ def _stretches(first: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
 
 
 def batches(docs: DataFrame) -> DataFrame:
-    """CORPUS of docs (doc_id, text, held_out): tokens of consecutive rows of a task; long texts are cut into stretches."""
+    """CORPUS of docs (doc_id, text, held_out): tokens of consecutive rows of a task; long texts are cut into stretches.
+
+    A null or empty text has its end alone, a null doc_id is a row as others; an empty table gives no batch.
+    """
     block = BLOCK
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +190,11 @@ def batches(docs: DataFrame) -> DataFrame:
 
 
 def sent(corpus: DataFrame, bits: int) -> DataFrame:
-    """part, n, batch, grams, counts: every distinct n-gram of a batch, and how often its training texts hold it."""
+    """part, n, batch, grams, counts: every distinct n-gram of a batch, and how often its training texts hold it.
+
+    A row for each part that a batch has n-grams of: so many that they grow with batches times parts, until a row has
+    one n-gram.  No batch gives no rows; rows whose held_out is null or true are in no count.
+    """
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = [i << (64 - bits) for i in range(1, 1 << bits)]

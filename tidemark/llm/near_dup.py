@@ -1,7 +1,8 @@
 """Near-duplicates by b-bit MinHash: band candidates, packed low bits for estimates, exact links.
 
-Inside a bucket nothing is paired with everything.  Members meet the bucket's most central text, and
-what isn't linked to it meets others only where counts or shared words leave a link possible.
+Inside a bucket members meet the most central text, and what isn't linked to it meets others only where
+counts or shared words leave a link possible.  Where members lack much of the centre in many ways, that
+is most of them: no link is lost, but the work of such a bucket grows with its square.
 """
 
 from __future__ import annotations
@@ -26,7 +27,10 @@ SLACK = 0.25
 COMMON = 10
 
 def signatures(docs: DataFrame, k: int, by: list[str]) -> DataFrame:
-    """doc_id, the columns ``by``, n_shingles, key (128-bit digest of the word sequence), bands, planes of every row, whatever its text or id."""
+    """doc_id, the columns ``by``, n_shingles, key (128-bit digest of the word sequence), bands, planes of every row, whatever its text or id.
+
+    Null and blank texts have 0 shingles and the digest of nothing; an empty table gives no rows.
+    """
     own = ["doc_id", *by]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +60,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """key and sorted distinct shingle hashes, once for each of wanted (doc_id, key), from whole texts.
 
     Texts are not moved: a filter by doc_id comes before the shingles, and the sets are joined by key.
-    Rows that only share a doc_id have another key; repeated texts give one set.
+    Rows that only share a doc_id have another key; repeated texts give one set.  Null ids are in no set;
+    nothing wanted gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,8 +193,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, by: tuple[st
     keep their own sets and components.  Equal word sequences form one class before anything is
     paired.  Only doc_id, text and by are read; rows in = rows out.
 
-    Words, shingles and whole sequences are compared by 64-bit hashes: among a billion distinct
-    sequences the chance that any two agree is about 0.03.
+    Words and shingles are compared by 64-bit hashes, whole sequences by 128-bit digests of their words.
     """
     docs, by = docs.withColumn("doc_id", F.col("doc_id").cast("long")), list(by)
     rows = saved(signatures(docs, k, by), "signatures")

@@ -78,7 +78,8 @@ class Nodes:
 
 
 def nodes(docs: DataFrame, length: int) -> DataFrame:
-    """key, into, out, doc_id, tag, place (nodes before it in its text) of every node; none of rows without a doc_id or with few words."""
+    """key, into, out, doc_id, tag, place (nodes before it in its text) of every node; none of rows without a doc_id, with a null or
+    empty text or with few words; an empty table gives none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,7 +182,8 @@ def located(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
 def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, tag, spans: the word ranges to remove, for the rows of docs (doc_id, tag, text) that have any.
 
-    Tables between the steps are written, so that joins stand alone and a hot key's rows can be split.
+    Tables between the steps are written, so that joins stand alone and a hot key's rows can be split.  Null ids, null and
+    short texts have none; an empty table gives no rows.
     """
     found = saved(nodes(docs, length), "nodes")
     same = lambda c: F.min(c) == F.max(c)
