@@ -367,9 +367,9 @@ def test_parallel_load(spark, kind, half_open):
 
 
 def test_foreign_filter_is_pushed(spark, sf_dir):
-    from tidemark.plans.registry import QUERIES
+    from tidemark.plans import loads as queries
 
-    plan = QUERIES["L17_federated_query"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    plan = queries.federated_query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"JDBCRelation.*PushedFilters: \[[^]]*EqualTo\(toxic,0\)", plan, re.I) and re.search(r"ReadSchema: struct<doc_id:bigint,quality:int>", plan, re.I) and "FileScan parquet" in plan
 
 
