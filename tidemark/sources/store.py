@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import apply_upsert, same_keys
+from ..operators.merge import same_keys
 from .scratch import fresh_path
 
 #: Changes are numbered within so many parts of their keys' hash range, one after another.
@@ -33,8 +33,9 @@ class Target:
         self._point(0, at, None, rows.schema, None, 0)
 
     def _point(self, run_id: int, at: str, log: str | None, schema: T.StructType, watermark: str | None, log_seq: int) -> None:
-        row = [(run_id, at, log, schema.json(), watermark, log_seq)]
-        self.spark.createDataFrame(row, POINTER).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
+        fields = T.StructType.fromDDL(POINTER).fields
+        row = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip((run_id, at, log, schema.json(), watermark, log_seq), fields)]
+        self.spark.range(0, 1, 1, 1).select(*row).write.mode("append").parquet(f"{self.path}/runs")
 
     def _runs(self) -> DataFrame:
         return self.spark.read.schema(POINTER).parquet(f"{self.path}/runs")
@@ -104,7 +105,8 @@ class Target:
             offsets.append(at)
             at += sizes.get(p, 0)
         place = F.row_number().over(Window.partitionBy("_p").orderBy(*self.keys))
-        news = changes.withColumn("_p", self._part()).withColumn("_seq", (F.get(F.array(*map(F.lit, offsets)), F.col("_p")) + place).cast("long"))
+        starts = F.expr(f"array({', '.join(f'{x}L' for x in offsets)})")
+        news = changes.withColumn("_p", self._part()).withColumn("_seq", F.get(starts, F.col("_p")) + place)
         news = news.withColumns({"_commit_ts": commit.cast("timestamp"), "_applied_at": applied.cast("timestamp")})
         both = old.withColumn("_t", F.lit(True)).alias("a").join(news.alias("b"), same_keys(self.keys), "full_outer")
         changed, have = F.col("b._seq").isNotNull(), {c.lower() for c in changes.columns}
