@@ -2,6 +2,7 @@
 
 import importlib.util
 import os
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -9,7 +10,7 @@ from pathlib import Path
 import pytest
 
 from tests.oracle import compare
-from tidemark.plans import loads, registry  # noqa: F401
+from tidemark.plans import loads, registry, scenarios
 
 RUN = """
 import sys
@@ -24,7 +25,7 @@ spark.stop()
 """
 
 
-@pytest.mark.parametrize("name", ["L10_parallel_load"])
+@pytest.mark.parametrize("name", ["L10_parallel_load", "L17_federated_query"])
 def test_on_a_cluster(spark, sf_dir, tmp_path, name):
     home = tmp_path / "home"  # the executors' logs go to work in Spark's home
     (home / "work").mkdir(parents=True)
@@ -36,3 +37,9 @@ def test_on_a_cluster(spark, sf_dir, tmp_path, name):
     ran = subprocess.run([sys.executable, "-c", RUN, name, sf_dir, str(tmp_path)], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert not ran.returncode, ran.stderr[-3000:]
     compare(spark.read.parquet(f"{tmp_path}/out"), registry.ORACLE_SQL[name], sf_dir)
+
+
+def test_filter_is_pushed_into_files(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(scenarios, "database", lambda spark: None)
+    plan = loads.federated_query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"FileScan orc.*PushedFilters: \[[^]]*EqualTo\(toxic,0\)[^]]*\], ReadSchema: struct<doc_id:bigint,quality:int,toxic:int>", plan) and "FileScan parquet" in plan
