@@ -397,3 +397,39 @@ def test_log_replay_gives_the_mirror(spark):
         mirror, base = merge.apply_upsert(mirror, c, ["id"]), base + 4
         log = part if log is None else changelog.widen(log, part)
     assert rows(changelog.replay(log, ["id"])) == rows(mirror)
+
+
+@pytest.mark.parametrize("kind", ["double", "string", "date", "timestamp"])
+def test_few_and_many_portions_are_assigned_alike(spark, monkeypatch, kind):
+    values = {"double": [-1.5, -0.0, 0.0, 2.0, 5.0, 7.5, float("nan"), float("inf")], "string": ["", "a", "a ", "b", "é", "z"]}.get(kind)
+    values = values or [v[0] for v in spark.range(9).select(F.expr(f"cast(date_add(date'2020-02-26', cast(id as int)) as {kind})")).collect()]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*values, None, *values, None])], f"id int, p {kind}")
+    for ends in ([(1, 2), (3, 5)], [(0, len(values) - 1)], [(4, 4), (1, 3)], []):
+        cuts = spark.createDataFrame([(i + 1, values[a], values[b]) for i, (a, b) in enumerate(ends)] + [(9, None, None)], f"portion_no int, lo {kind}, hi {kind}")
+        for half_open in (False, True):
+            got = []
+            for few in (portions.FEW, -1):
+                monkeypatch.setattr(portions, "FEW", few)
+                got.append(sorted(map(str, portions.assign_portion(df, "p", cuts, half_open).select("id", "portion_no").collect())))
+                monkeypatch.undo()
+            assert got[0] == got[1] and len(got[0]) == 2 * len(values) + 2
+
+
+def test_few_portions_need_no_exchange_of_rows(spark):
+    """Rows stay where they lie, so no task holds more of them than its part of the scan."""
+    cuts = spark.createDataFrame([(i + 1, i * 10, i * 10 + 9) for i in range(portions.FEW + 1)], "portion_no long, lo long, hi long")
+    plans = []
+    for n in (0, 4, portions.FEW, portions.FEW + 1):
+        got = portions.assign_portion(spark.range(5000).select(F.col("id").alias("p")), "p", cuts.limit(n))
+        plans.append(got._jdf.queryExecution().executedPlan().toString())
+        assert rows(got.groupBy("portion_no").count()) == rows(spark.createDataFrame([(i + 1, 10) for i in range(n)] + [(None, 5000 - 10 * n)], "portion_no long, count long"))
+    assert [bool(re.search("rangepartitioning|hashpartitioning", p)) for p in plans] == [False, False, False, True]
+
+
+def test_portions_are_written_without_a_sort(spark, sf_dir, monkeypatch):
+    from tidemark.plans import loads as queries
+
+    written = []
+    monkeypatch.setattr(queries, "saved", lambda df, name: written.append(df) or df)
+    queries.union_portions(spark, sf_dir)
+    assert len(written) == 1 and not re.search(r"rangepartitioning|_bin|Sort \[(?!lo)", written[0]._jdf.queryExecution().executedPlan().toString())
