@@ -794,6 +794,41 @@ def test_late_phrases_are_counted_for_a_whole_cycle(spark, monkeypatch):
     assert collocations.collocations(docs.withColumn("text", F.lit(None).cast("string"))).count() == 0
 
 
+def test_only_first_phrases_are_spelled(spark, monkeypatch):
+    """Of all frequent phrases those of a language's first places, and what shares the last by score and count."""
+    monkeypatch.setattr(collocations, "LEAST", 2)
+    asked, spelled = [], collocations.spelled
+    monkeypatch.setattr(collocations, "spelled", lambda corpus, some: asked.append(some.count()) or spelled(corpus, some))
+    r = random.Random(8)
+    pool = [f"{r.choice(WORDS)}{r.choice(WORDS)}" for _ in range(60)]
+    texts = [" ".join(r.choice(pool) for _ in range(80)) for _ in range(60)]
+    tied = [f"z{x} y{x}." for x in "dbeac"]  # a score of 10^6 and a count of 3 each
+    docs = table(spark, [(i, t) for i, t in enumerate([*texts, *tied, *tied, *tied])]).withColumn("lang", F.lit("en"))
+    want = brute_collocations([("en", r.text) for r in docs.collect()], 2)
+    got = sorted(map(tuple, collocations.collocations(docs, most=3).collect()))
+    assert got == want[:3] and [x[2] for x in got] == ["za ya", "zb yb", "zc yc"]
+    assert asked == [5] and len(want) > 500
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_phrases_seen_between_looks(spark, monkeypatch, seed):
+    """Words and pairs that come to the threshold in any scan of either cycle are looked up later, and lose no count."""
+    monkeypatch.setattr(collocations, "LEAST", 3)
+    r = random.Random(seed)
+    texts = [" ".join(f"{'abcd'[i % 4] if r.random() < 0.3 else ''}{r.choice('klmnop')}" for _ in range(12)) for i in range(24)]
+    docs = table(spark, list(enumerate(texts))).coalesce(1)
+    got = sorted(map(tuple, collocations.collocations(docs).collect()))
+    assert got == brute_collocations([("en", t) for t in texts], 3) and len(got) > 20
+
+
+def test_entries_of_large_texts_hold_many_phrases():
+    """A batch has an entry for each part of the hash range: few parts, but none of more than a bounded share of the texts."""
+    for size in (1 << 20, 1 << 25, 1 << 28, 1 << 30, 3 << 30, 12 << 30, 1 << 40):
+        parts = 1 << collocations.split_bits(size)
+        assert size / parts < 4 * collocations.PART and parts <= max(collocations.MANY, size / (2 * collocations.PART))
+    assert 1 << collocations.split_bits(12 << 30) == 512  # 2,048 before
+
+
 # -- 12: whitening -------------------------------------------------------------------------------------------
 
 

@@ -7,20 +7,25 @@ long phrases are counted in the same scans, and phrases that can't be frequent a
 
 A scan asks bitmaps of bounded size which phrases are active.  They let some others pass, which does no harm: a
 phrase has one count in each shard, however often that is scanned, and reaches the threshold only if it really is frequent.
+
+Frequent phrases are scored as numbers, by the keys of their parts.  Only those that come among a language's first, or
+share the last place, are spelled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from . import text as X
 from .lm_score import pack, pack_sorted, unpack, unpack_sorted
-from .work import fresh_path, saved
+from .work import fresh_path, possible_natively, saved
 
 #: Shards of the corpus; least count of a phrase; most words; phrases reported for each language.
 SHARDS, LEAST, LONGEST, MOST = 4, 10, 3, 2000
@@ -28,8 +33,8 @@ SHARDS, LEAST, LONGEST, MOST = 4, 10, 3, 2000
 INSIDE = 50
 #: Most bits of a bitmap, as a power of 2: 16 MB.
 BITS = 27
-#: Words whose phrases a task counts at once; bytes of text for each part of the hash range.
-BLOCK, PART = 1 << 21, 1 << 23
+#: Words whose phrases a task counts at once; bytes of text for each part of the hash range, four times as many once there are MANY.
+BLOCK, PART, MANY = 1 << 21, 1 << 23, 64
 #: Parts in which a language's phrases are ranked first.
 SALTS = 64
 
@@ -78,41 +83,82 @@ class Phrases:
 
 
 def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
-    """shard, tongue, lang, text of the rows with a text, written by shard, and their bytes; rows go to the shards in turn."""
+    """shard, row, tongue, lang, text of the rows with a text, written by shard, and their bytes; rows go to the shards in turn."""
     spark, path, seen = docs.sparkSession, fresh_path(docs.sparkSession, "shards"), Observation()
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").where("text <> ''")
-    rows = rows.select(F.xxhash64("lang").alias("tongue"), "lang", "text", (F.monotonically_increasing_id() % SHARDS).cast("int").alias("shard"))
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), F.xxhash64("lang").alias("tongue"), "lang", "text").withColumn("shard", (F.col("row") % SHARDS).cast("int"))
     rows.observe(seen, F.sum(F.octet_length("text")).alias("bytes")).write.partitionBy("shard").parquet(path)
-    return spark.read.schema("tongue long, lang string, text string, shard int").parquet(path), int(seen.get["bytes"] or 0)
+    return spark.read.schema("row long, tongue long, lang string, text string, shard int").parquet(path), int(seen.get["bytes"] or 0)
+
+
+def split_bits(size: int) -> int:
+    """How many of a key's first bits name its part of the hash range, for so many bytes of text.
+
+    A batch has an entry for every part, so from MANY parts on these take four times as much text: else entries, which
+    grow with batches times parts, hold few phrases each.
+    """
+    return max(min(size // PART, MANY - 1), size // (4 * PART)).bit_length()
 
 
-Bitmap = tuple[int, np.ndarray]
+class Bitmap(NamedTuple):
+    """2 ** bits bits, in 2 ** top blocks by the first bits of a key."""
 
+    bits: int
+    top: int
+    data: np.ndarray
 
-def bitmap(keys: DataFrame) -> Bitmap:
-    """(bits, words) with two places for every key: 16 bits a key, up to 2 ** BITS in all; then it lets more pass."""
-    bits = min(BITS, max(10, (16 * keys.count()).bit_length()))
-    mask = F.lit((1 << bits) - 1)
-    places = keys.select(F.explode(F.array(F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", 64 - bits).bitwiseAND(mask))).alias("p"))
-    found = places.groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("v")).toArrow()  # at most 2 ** (BITS - 6) rows
-    words = np.zeros(1 << (bits - 6), np.uint64)
-    words[found["at"].to_numpy()] = found["v"].to_numpy().view(np.uint64)
-    return bits, words
 
+def places(bits: int, top: int, keys: np.ndarray, mark: int = 0) -> Iterator[np.ndarray]:
+    """The two places of every key, both in its block; of another mark, below 2 ** 40, a key has others."""
+    low = np.uint64(bits - top)
+    block, keys = keys >> np.uint64(64 - top) << low, keys ^ np.uint64(mark)
+    for by in (0, 28):
+        yield block | (keys >> np.uint64(by)) & np.uint64((1 << (bits - top)) - 1)
 
-def passes(made: Bitmap, keys: np.ndarray) -> np.ndarray:
-    bits, words = made
-    out = np.ones(len(keys), bool)
-    for p in (keys & np.uint64((1 << bits) - 1), keys >> np.uint64(64 - bits)):
-        out &= ((words[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1)).astype(bool)
-    return out
 
+def bitmap(keys: DataFrame, count: int, split: int) -> Bitmap:
+    """Of keys (key, and mark if there is one): 16 bits for each of ``count``, up to 2 ** BITS in all; then it lets more pass.
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Phrases]:
+    A task gives the blocks that it has keys of: few, where its keys are those of some parts of the hash range.
+    """
+    bits = min(BITS, max(10, (16 * count).bit_length()))
+    top = max(1, min(split, bits - 6))
+    low = bits - top
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.uint64)]
+        for batch in batches:
+            key = batch.column(0).to_numpy().view(np.uint64)
+            mark = batch.column(1).to_numpy().view(np.uint64) if batch.num_columns > 1 else 0
+            held += places(bits, top, key, mark)
+        at = np.concatenate(held)
+        at.sort()
+        blocks, first = np.unique(at >> np.uint64(low), return_index=True)
+        for block, own in zip(blocks.tolist(), np.split(at, first[1:])):
+            flags = np.zeros(1 << low, bool)
+            flags[own & np.uint64((1 << low) - 1)] = True
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], ["block", "bits"])
+
+    found = keys.mapInArrow(run, "block long, bits binary").toArrow()
+    data = np.zeros((1 << top, 1 << (low - 3)), np.uint8)
+    for block, own in zip(found["block"].to_pylist(), found["bits"]):
+        data[block] |= np.frombuffer(own.as_buffer(), np.uint8)
+    return Bitmap(bits, top, data.ravel())
+
+
+def passes(made: Bitmap, keys: np.ndarray, mark: int = 0) -> np.ndarray:
+    out = np.ones(len(keys), np.uint8)
+    for p in places(made.bits, made.top, keys, mark):
+        out &= made.data[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)
+    return (out & np.uint8(1)).astype(bool)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, Phrases]]:
+    """(first row, last row, phrases) of some rows of a batch."""
     for batch in batches:
         tongue = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
         for lo, hi, data, offs in X.pieces(batch):
-            yield Phrases(data, offs, tongue[lo:hi])
+            yield lo, hi, Phrases(data, offs, tongue[lo:hi])
 
 
 SCAN = "n int, part int, grams binary, counts binary"
@@ -141,7 +187,7 @@ def scanned(shard: DataFrame, lengths: list[int], bits: int, active: Callable[[i
                 columns = [pa.array(np.full(len(parts), n, np.int32)), pa.array(parts.astype(np.int32)), *[pa.array([x[k] for x in packed], pa.binary()) for k in (0, 1)]]
                 yield pa.RecordBatch.from_arrays(columns, ["n", "part", "grams", "counts"])
 
-        for p in _pieces(batches):
+        for _, _, p in _pieces(batches):
             for n in lengths:
                 held[n].append(p.key[n][active(n, p)])
             if 1 in lengths:
@@ -158,11 +204,11 @@ def scanned(shard: DataFrame, lengths: list[int], bits: int, active: Callable[[i
 # -- dynamic counting ----------------------------------------------------------------------------------
 
 
-def totals(scans: dict[int, DataFrame], least: int) -> DataFrame:
+def totals(scans: dict[int, DataFrame], least: int, looks: list[int]) -> DataFrame:
     """key, f, reached, home of the phrases of scans (SCAN rows by number of the scan) that have come to ``least``.
 
-    f: the count over all shards scanned so far; reached: the scan in which it came to ``least``; home: a shard that holds
-    the phrase.  A shard that two scans have counted, because a bitmap let a phrase pass, counts once.  A group is a
+    f: the count over all shards scanned so far; reached: the scan after which that was seen, of those in looks, which
+    rise; home: a shard that holds the phrase.  A shard that two scans have counted, because a bitmap let a phrase pass, counts once.  A group is a
     part of the hash range, of a bounded share of the corpus; a frequent phrase has an entry for each batch in it.
     """
     rows, shards = None, SHARDS
@@ -171,10 +217,16 @@ def totals(scans: dict[int, DataFrame], least: int) -> DataFrame:
         rows = own if rows is None else rows.unionByName(own)
 
     def count(table: pa.Table) -> pa.Table:
-        keys = [unpack_sorted(x.as_py()) for x in table["grams"]]
-        c = np.concatenate([unpack(x.as_py()) for x in table["counts"]]).astype(np.int64)
-        at = np.repeat(table["t"].to_numpy(), [len(k) for k in keys])
-        key, index = np.unique(np.concatenate(keys), return_inverse=True)
+        grams = [unpack_sorted(x.as_py()) for x in table["grams"]]
+        at = np.repeat(table["t"].to_numpy(), [len(k) for k in grams])
+        key = np.concatenate(grams)
+        grams.clear()
+        c = np.concatenate([unpack(x.as_py()).astype(np.int64) for x in table["counts"]])
+        # most phrases are rare: those whose low bits don't come to ``least`` together need no sort
+        low = key & np.uint64((1 << max(10, len(key).bit_length() - 1)) - 1)
+        may = np.flatnonzero(np.bincount(low.view(np.int64), c)[low] >= least)
+        at, c = at[may], c[may]
+        key, index = np.unique(key[may], return_inverse=True)
         f, reached, home = np.zeros(len(key), np.int64), np.full(len(key), -1, np.int32), np.full(len(key), -1, np.int32)
         seen: dict[int, np.ndarray] = {}
         for t in np.unique(at).tolist():
@@ -186,102 +238,197 @@ def totals(scans: dict[int, DataFrame], least: int) -> DataFrame:
             reached[(reached < 0) & (f >= least)] = t
             home[(home < 0) & (own > 0)] = shard
         kept = np.flatnonzero(f >= least)
-        return pa.Table.from_arrays([X.longs(key[kept]), pa.array(f[kept]), pa.array(reached[kept]), pa.array(home[kept])], ["key", "f", "reached", "home"])
+        seen_at = np.array(looks, np.int32)[np.searchsorted(looks, reached[kept])]
+        return pa.Table.from_arrays([X.longs(key[kept]), pa.array(f[kept]), pa.array(seen_at), pa.array(home[kept])], ["key", "f", "reached", "home"])
 
     return rows.groupBy("part").applyInArrow(count, "key long, f long, reached int, home int")
 
 
-def counted(corpus: DataFrame, size: int) -> dict[int, DataFrame]:
+def counted(corpus: DataFrame, split: int) -> dict[int, DataFrame]:
     """By length: key, f, reached, home of all phrases that come to LEAST; under 0: key, f of every language's words.
 
     A phrase is counted in scan t if what it is built on came to LEAST before, and one of the two in the last SHARDS scans.
+    What has come to LEAST is looked up after each scan of the first cycle, then at the end of a cycle and of the
+    length's last scan: what is seen later starts its cycle later.
     """
-    spark, bits = corpus.sparkSession, (size // PART).bit_length()
+    spark = corpus.sparkSession
     scans: dict[int, dict[int, DataFrame]] = {n: {} for n in range(LONGEST + 1)}
+    looks: dict[int, list[int]] = {n: [] for n in range(1, LONGEST)}
     found: dict[int, DataFrame] = {}
+    count: dict[int, dict[int, int]] = {}  # by the scan after which they were seen
     ever: dict[int, Bitmap] = {}
     last: dict[int, int] = {}
     t = 0
+
+    def goes_on(n: int, t: int) -> bool:
+        return t < SHARDS if n == 1 else last.get(n - 1, -SHARDS - 1) >= t - SHARDS
+
     while True:
-        lengths = [1] if t < SHARDS else []
-        lengths += [n for n in range(2, LONGEST + 1) if last.get(n - 1, -SHARDS - 1) >= t - SHARDS]
+        lengths = [n for n in range(1, LONGEST + 1) if goes_on(n, t)]
         if not lengths:
             break
-        late = {n: bitmap(found[n - 1].where(F.col("reached") >= t - SHARDS)) if t > SHARDS else None for n in lengths if n > 1}
+        late: dict[int, Bitmap | None] = {}
+        for n in lengths:
+            if n > 1:
+                some = sum(c for at, c in count[n - 1].items() if at >= t - SHARDS)
+                late[n] = bitmap(found[n - 1].where(F.col("reached") >= t - SHARDS).select("key"), some, split) if some < sum(count[n - 1].values()) else None
         shipped = spark.sparkContext.broadcast({n: (ever[n - 1], late[n]) for n in late})
 
         def active(n: int, p: Phrases, shipped=shipped) -> np.ndarray:
             if n == 1:
                 return p.there[1]
             ever, late = shipped.value[n]
-            out, parts = p.there[n].copy(), p.parts(n)
-            for keys in parts:
+            out, shorter = p.there[n].copy(), p.there[n - 1]
+            if late is None:
+                here = np.zeros(len(shorter), bool)
+                here[shorter] = passes(ever, p.key[n - 1][shorter])
+                return out & here[: len(out)] & here[1:][: len(out)]
+            here = np.zeros(len(shorter), bool)  # the smaller bitmap first
+            here[shorter] = passes(late, p.key[n - 1][shorter])
+            out &= here[: len(out)] | here[1:][: len(out)]
+            for keys in p.parts(n):
                 at = np.flatnonzero(out)
                 out[at] = passes(ever, keys[at])
-            if late is not None:
-                at = np.flatnonzero(out)
-                out[at] = passes(late, parts[0][at]) | passes(late, parts[1][at])
             return out
 
-        rows = saved(scanned(corpus.where(F.col("shard") == t % SHARDS), lengths, bits, active), "scan")
+        path = fresh_path(spark, "scan")
+        scanned(corpus.where(F.col("shard") == t % SHARDS), lengths, split, active).write.partitionBy("n").parquet(path)  # each length is read alone
+        rows = spark.read.schema(SCAN).parquet(path)
         for n in [*lengths, 0] if 1 in lengths else lengths:
             scans[n][t] = rows.where(F.col("n") == n)
         for n in lengths:
-            if n < LONGEST:
-                found[n] = saved(totals(scans[n], LEAST), "frequent")
-                most = found[n].agg(F.max("reached")).first()[0]
-                if most is not None:
-                    ever[n], last[n] = bitmap(found[n]), most
+            if n < LONGEST and (t < SHARDS or (t + 1) % SHARDS == 0 or not goes_on(n, t + 1)):
+                looks[n].append(t)
+                path, seen = fresh_path(spark, "frequent"), Observation()
+                totals(scans[n], LEAST, looks[n]).observe(seen, *[F.count_if(F.col("reached") == at).alias(str(at)) for at in looks[n]]).write.parquet(path)
+                count[n] = {at: seen.get[str(at)] for at in looks[n] if seen.get[str(at)]}
+                if count[n]:
+                    found[n], last[n] = spark.read.schema("key long, f long, reached int, home int").parquet(path), max(count[n])
+                    ever[n] = bitmap(found[n].select("key"), sum(count[n].values()), split)
         t += 1
     if scans[LONGEST]:
-        found[LONGEST] = saved(totals(scans[LONGEST], LEAST), "frequent")
-    found[0] = totals(scans[0], 1)
+        found[LONGEST] = saved(totals(scans[LONGEST], LEAST, [t]), "frequent")
+    found[0] = totals(scans[0], 1, [t])
     none = spark.createDataFrame([], "key long, f long, reached int, home int")
     return {n: found.get(n, none) for n in range(LONGEST + 1)}
 
 
-def spelled(corpus: DataFrame, candidates: DataFrame) -> DataFrame:
-    """key, tongue, phrase, lefts, rights of what may be candidates (n, key, home), once for each task that holds it.
+# -- scores and spelling -------------------------------------------------------------------------------
+
+#: Phrases that a task remembers to have given out, a power of 2.
+GIVEN = 1 << 17
+#: For each shard what its phrases' places in a bitmap differ by: there a key is looked for in its home alone.
+MARKS = [int(m) & ((1 << 40) - 1) for m in X.mix(np.arange(1, SHARDS + 1, dtype=np.uint64))]
+PARTS = "key long, n int, home int, a long, tongue long, row long, lefts array<long>, rights array<long>"
+
+
+def marked(candidates: DataFrame, split: int) -> dict[int, Bitmap]:
+    """A bitmap a length of candidates (n, key, home)."""
+    count = {r["n"]: r["count"] for r in candidates.groupBy("n").count().collect()}  # a row a length
+    at_home = candidates.select("n", "key", F.get(F.array(*[F.lit(m) for m in MARKS]), F.col("home")).alias("mark"))
+    return {n: bitmap(at_home.where(F.col("n") == n).select("key", "mark"), count.get(n, 0), split) for n in range(2, LONGEST + 1)}
+
+
+def _at_home(p: Phrases, n: int, made: Bitmap, mark: int, given: np.ndarray) -> np.ndarray:
+    """The places of the phrases of n words that may be in a bitmap of marked(), the first of each; given: what has been
+    given out lately, by low bits, is left out."""
+    at = np.flatnonzero(p.there[n])
+    key = p.key[n][at]
+    low = (key & np.uint64(len(given) - 1)).astype(np.int64)
+    new = np.flatnonzero(given[low] != key)
+    new = new[passes(made, key[new], mark)]
+    given[low[new]] = key[new]
+    return at[new[np.unique(key[new], return_index=True)[1]]]
+
 
-    lefts and rights: the keys of both parts of each cut, after the first word, the second and so on.  A phrase is looked
-    for in its home shard alone.
+def taken_apart(corpus: DataFrame, candidates: DataFrame, split: int) -> DataFrame:
+    """PARTS of candidates (n, key, home, a): a row of the corpus that holds the phrase, its shard as home, and the keys of
+    both parts of each cut.
+
+    lefts and rights: of the cut after the first word, the second and so on.  The parts of the hash range meet their
+    candidates as in totals(), so what a bitmap let pass goes no further.
     """
-    # one bitmap a length: in that of its home alone a key has its places
-    marks = [int(m) for m in X.mix(np.arange(1, SHARDS + 1, dtype=np.uint64)).view(np.int64)]
-    at_home = F.col("key").bitwiseXOR(F.get(F.array(*[F.lit(m) for m in marks]), F.col("home"))).alias("key")
-    maps = {n: bitmap(candidates.where(F.col("n") == n).select(at_home)) for n in range(2, LONGEST + 1)}
-    shipped = corpus.sparkSession.sparkContext.broadcast(maps)
+    shipped, limit = corpus.sparkSession.sparkContext.broadcast(marked(candidates, split)), BLOCK
+
+    def run(mark: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {n: [] for n in range(2, LONGEST + 1)}
+        given = {n: np.zeros(GIVEN, np.uint64) for n in held}
+        edges = np.array([i << (64 - split) for i in range(1, 1 << split)], np.uint64)
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for n, own in held.items():
+                if not own:
+                    continue
+                rows = np.concatenate(own, axis=1)
+                own.clear()
+                rows = rows[:, np.unique(rows[0], return_index=True)[1]]
+                bounds = np.concatenate([[0], np.searchsorted(rows[0], edges), [rows.shape[1]]])
+                parts = np.flatnonzero(np.diff(bounds))
+                packed = [np.ascontiguousarray(rows[:, bounds[i] : bounds[i + 1]]).tobytes() for i in parts]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), n, np.int32)), pa.array(parts.astype(np.int32)), pa.array(packed, pa.binary())], ["n", "part", "links"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = {n: np.zeros(0, np.uint64) for n in range(2, LONGEST + 1)}  # what this task has given out already, or some of it
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            mark = np.int64(marks[batch.column(2)[0].as_py()]).view(np.uint64)  # one shard's rows, as they are read below
-            for p in _pieces([batch]):
-                for n in range(2, LONGEST + 1):
-                    at = np.flatnonzero(p.there[n])
-                    at = at[passes(shipped.value[n], p.key[n][at] ^ mark)]
-                    own, first = np.unique(p.key[n][at], return_index=True)
-                    fresh = np.flatnonzero(~np.isin(own, seen[n], assume_unique=True))
-                    at = at[first[fresh]]
-                    if not len(at):
-                        continue
-                    seen[n] = own if len(seen[n]) > BLOCK else np.union1d(seen[n], own[fresh])
-                    raw, w = p.words.data.tobytes(), p.words
-                    begin, upto = w.starts[at].tolist(), w.ends[at + n - 1].tolist()
-                    phrase = [b" ".join(raw[x:y].split()).decode() for x, y in zip(begin, upto)]
-                    cuts = np.arange(len(at) + 1) * (n - 1)
-                    lefts = np.stack([p.key[k][at] for k in range(1, n)], axis=1).ravel()
-                    rights = np.stack([p.key[n - k][at + k] for k in range(1, n)], axis=1).ravel()
-                    yield pa.RecordBatch.from_arrays([X.longs(p.key[n][at]), X.longs(p.tongue[at]), pa.array(phrase, pa.string()), X.long_lists(lefts, cuts), X.long_lists(rights, cuts)], ["key", "tongue", "phrase", "lefts", "rights"])
-
-    rows = corpus.select("tongue", "text", "shard")
-    parts = None
-    for s in range(SHARDS):
-        own = rows.where(F.col("shard") == s).mapInArrow(run, "key long, tongue long, phrase string, lefts array<long>, rights array<long>")
-        parts = own if parts is None else parts.unionByName(own)
-    return parts.dropDuplicates(["key"])
+            row = batch.column(2).to_numpy().view(np.uint64)
+            for lo, hi, p in _pieces([batch]):
+                text = np.repeat(row[lo:hi], np.diff(p.words.first))
+                for n in held:
+                    at = _at_home(p, n, shipped.value[n], mark, given[n])
+                    lefts, rights = [p.key[k][at] for k in range(1, n)], [p.key[n - k][at + k] for k in range(1, n)]
+                    held[n].append(np.stack([p.key[n][at], p.tongue[at], text[at], *lefts, *rights]))
+                    size += held[n][-1].size
+            if size >= limit:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+    def meet(links: pa.Table, wanted: pa.Table) -> pa.Table:
+        if not links.num_rows or not wanted.num_rows:
+            return pa.Table.from_batches([], kinds)
+        n = links["n"][0].as_py()
+        rows = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64).reshape(2 * n + 1, -1) for x in links["links"]], axis=1)
+        key, a = wanted["key"].to_numpy().view(np.uint64), wanted["a"].to_numpy()
+        _, here, there = np.intersect1d(rows[0], key, return_indices=True)
+        rows, cuts = rows[:, here], np.arange(len(here) + 1) * (n - 1)
+        home = (rows[2] % np.uint64(SHARDS)).astype(np.int32)  # a full bitmap lets a phrase pass elsewhere too
+        columns = [X.longs(rows[0]), pa.array(np.full(len(here), n, np.int32)), pa.array(home), pa.array(a[there]), X.longs(rows[1]), X.longs(rows[2])]
+        return pa.Table.from_arrays([*columns, X.long_lists(rows[3 : n + 2].T.ravel(), cuts), X.long_lists(rows[n + 2 :].T.ravel(), cuts)], schema=kinds)
+
+    kinds = pa.schema([(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "array<long>": pa.list_(pa.int64())}[c.split()[1]]) for c in PARTS.split(", ")])
+    links = None
+    for s, mark in enumerate(MARKS):
+        own = corpus.where(F.col("shard") == s).select("tongue", "text", "row").mapInArrow(partial(run, mark), "n int, part int, links binary")
+        links = own if links is None else links.unionByName(own)
+    part = F.shiftrightunsigned("key", 64 - split).cast("int") if split else F.lit(0)
+    return links.groupBy("n", "part").cogroup(candidates.withColumn("part", part).groupBy("n", "part")).applyInArrow(meet, PARTS)
+
+
+def spelled(corpus: DataFrame, chosen: DataFrame) -> DataFrame:
+    """key, phrase of what may be chosen (n, key, home, row), once; only texts that may be such a row are read by words."""
+    shipped = corpus.sparkSession.sparkContext.broadcast(marked(chosen, 0))
+    may = possible_natively(chosen.select(F.xxhash64("row").alias("h")))
+
+    def run(mark: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = {n: np.zeros(GIVEN, np.uint64) for n in shipped.value}
+        for _, _, p in _pieces(batches):
+            raw, w = p.words.data.tobytes(), p.words
+            for n, made in shipped.value.items():
+                at = _at_home(p, n, made, mark, given[n])
+                phrase = [b" ".join(raw[x:y].split()).decode() for x, y in zip(w.starts[at].tolist(), w.ends[at + n - 1].tolist())]
+                yield pa.RecordBatch.from_arrays([X.longs(p.key[n][at]), pa.array(phrase, pa.string())], ["key", "phrase"])
+
+    phrases = None
+    for s, mark in enumerate(MARKS):
+        own = corpus.where(F.col("shard") == s).where(may(F.xxhash64("row"))).select("tongue", "text").mapInArrow(partial(run, mark), "key long, phrase string")
+        phrases = own if phrases is None else phrases.unionByName(own)
+    return phrases.dropDuplicates(["key"])
+
+
+def ranked(rows: DataFrame, order: list[Column], most: int) -> DataFrame:
+    """rows with their rank, the first ``most`` of each tongue; first those of each salt are found."""
+    for by in (["tongue", "salt"], ["tongue"]):
+        rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= most)
+    return rows
 
 
 def collocations(docs: DataFrame, most: int = MOST) -> DataFrame:
@@ -296,12 +443,13 @@ def collocations(docs: DataFrame, most: int = MOST) -> DataFrame:
     Only lang and text are read.  Phrases are told apart by 64-bit hashes.
     """
     corpus, size = dealt(docs)
-    counts = counted(corpus, size)
+    split = split_bits(size)
+    counts = counted(corpus, split)
     candidates = None
     for n in range(2, LONGEST + 1):
         own = counts[n].select(F.lit(n).alias("n"), "key", "home", F.col("f").alias("a"))
         candidates = own if candidates is None else candidates.unionByName(own)
-    named = saved(spelled(corpus, candidates).join(candidates.drop("home").hint("merge"), "key"), "phrases")
+    named = saved(taken_apart(corpus, candidates, split), "phrases")
 
     inside = named.where("n > 2").select(F.explode(F.array(F.element_at("lefts", -1), F.get("rights", F.lit(0)))).alias("key"), F.col("a").alias("longer"))
     inside = inside.groupBy("key").agg(F.max("longer").alias("longer"))
@@ -312,19 +460,25 @@ def collocations(docs: DataFrame, most: int = MOST) -> DataFrame:
         own = counts[n].select("key", "f")
         parts = own if parts is None else parts.unionByName(own)
     of = lambda end: parts.select(F.col("key").alias(end), F.col("f").alias(f"f_{end}")).hint("merge")
-    cuts = kept.select("key", "tongue", "phrase", "a", F.posexplode(F.arrays_zip("lefts", "rights")).alias("k", "cut"))
-    cuts = cuts.select("key", "tongue", "phrase", "a", "k", F.col("cut.lefts").alias("left"), F.col("cut.rights").alias("right"))
+    known = ["key", "n", "home", "tongue", "row", "a"]
+    cuts = kept.select(*known, F.posexplode(F.arrays_zip("lefts", "rights")).alias("k", "cut"))
+    cuts = cuts.select(*known, "k", F.col("cut.lefts").alias("left"), F.col("cut.rights").alias("right"))
     cuts = cuts.join(of("left"), "left").join(of("right"), "right")
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     cuts = cuts.withColumns({"_above": wide("a") * wide("a") * F.lit(1_000_000), "_below": wide("f_left") * wide("f_right")}).withColumn("score", F.expr("_above div _below"))
-    scored = cuts.groupBy("key", "tongue", "phrase", "a").agg(F.min(F.struct("score", "k", "f_left", "f_right")).alias("cut"))
-    scored = scored.select("tongue", "phrase", "a", F.col("cut.f_left").alias("l"), F.col("cut.f_right").alias("r"), "cut.score", F.pmod("key", F.lit(SALTS)).alias("salt"))
+    cuts = cuts.withColumn("lowest", F.col("score") * LONGEST + F.col("k"))  # numbers alone, which Spark aggregates in place; a score is 10^6 at most
+    scored = cuts.groupBy(*known).agg(F.min_by("f_left", "lowest").alias("l"), F.min_by("f_right", "lowest").alias("r"), F.min("score").alias("score"))
+    scored = saved(scored.withColumn("salt", F.pmod("key", F.lit(SALTS))), "scored")
+
+    # a language's last place by score and count: what shares it is spelled too
+    order = [F.desc("score"), F.desc("a")]
+    least = ranked(scored.select("tongue", "salt", "score", "a"), order, most).groupBy("tongue").agg(F.min(F.struct("score", "a")).alias("least"))
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    chosen = saved(scored.join(least, ["tongue", "salt"]).where(F.struct("score", "a") >= F.col("least")).drop("least"), "chosen")
 
-    order = [F.desc("score"), F.desc("a"), "phrase"]
-    first = scored.withColumn("rank", F.row_number().over(Window.partitionBy("tongue", "salt").orderBy(*order))).where(F.col("rank") <= most)
-    first = first.withColumn("rank", F.row_number().over(Window.partitionBy("tongue").orderBy(*order))).where(F.col("rank") <= most)
+    first = ranked(spelled(corpus, chosen).join(chosen, "key"), [*order, F.asc("phrase")], most)
     names = corpus.groupBy("tongue").agg(F.first("lang").alias("lang")).join(counts[0].select(F.col("key").alias("tongue"), F.col("f").alias("n")), "tongue")
-    return first.join(names, "tongue").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    return first.drop("n").join(names, "tongue").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 ORACLE_SQL = r"""
