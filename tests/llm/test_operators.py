@@ -821,6 +821,14 @@ def test_phrases_seen_between_looks(spark, monkeypatch, seed):
     assert got == brute_collocations([("en", t) for t in texts], 3) and len(got) > 20
 
 
+def test_a_phrase_is_given_out_by_one_file(spark):
+    """Its home: else every task of a shard that holds a phrase would give it out."""
+    docs = table(spark, [(i, prose(i, 30)) for i in range(60)]).repartition(3)
+    corpus, _ = collocations.dealt(docs.withColumn("lang", F.lit("en")))
+    rows = [(int(collocations.homes(np.array([r.row], np.uint64))[0]), r.file, r.shard) for r in corpus.select("row", "shard", F.input_file_name().alias("file")).collect()]
+    assert len(set(rows)) == len({x[0] for x in rows}) == len({x[1] for x in rows}) == 3 * collocations.SHARDS
+
+
 def test_entries_of_large_texts_hold_many_phrases():
     """A batch has an entry for each part of the hash range: few parts, but none of more than a bounded share of the texts."""
     for size in (1 << 20, 1 << 25, 1 << 28, 1 << 30, 3 << 30, 12 << 30, 1 << 40):

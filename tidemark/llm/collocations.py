@@ -15,7 +15,6 @@ share the last place, are spelled.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import partial
 from typing import NamedTuple
 
 import numpy as np
@@ -108,16 +107,18 @@ class Bitmap(NamedTuple):
     data: np.ndarray
 
 
-def places(bits: int, top: int, keys: np.ndarray, mark: int = 0) -> Iterator[np.ndarray]:
-    """The two places of every key, both in its block; of another mark, below 2 ** 40, a key has others."""
+def places(bits: int, top: int, keys: np.ndarray, home: np.ndarray | None = None) -> Iterator[np.ndarray]:
+    """The two places of every key, both in its block; at another home a key has others."""
     low = np.uint64(bits - top)
-    block, keys = keys >> np.uint64(64 - top) << low, keys ^ np.uint64(mark)
+    block = keys >> np.uint64(64 - top) << low
+    if home is not None:
+        keys = keys ^ X.mix(home.astype(np.uint64) + np.uint64(1))
     for by in (0, 28):
         yield block | (keys >> np.uint64(by)) & np.uint64((1 << (bits - top)) - 1)
 
 
 def bitmap(keys: DataFrame, count: int, split: int) -> Bitmap:
-    """Of keys (key, and mark if there is one): 16 bits for each of ``count``, up to 2 ** BITS in all; then it lets more pass.
+    """Of keys (key, and home if there is one): 16 bits for each of ``count``, up to 2 ** BITS in all; then it lets more pass.
 
     A task gives the blocks that it has keys of: few, where its keys are those of some parts of the hash range.
     """
@@ -129,8 +130,7 @@ def bitmap(keys: DataFrame, count: int, split: int) -> Bitmap:
         held = [np.zeros(0, np.uint64)]
         for batch in batches:
             key = batch.column(0).to_numpy().view(np.uint64)
-            mark = batch.column(1).to_numpy().view(np.uint64) if batch.num_columns > 1 else 0
-            held += places(bits, top, key, mark)
+            held += places(bits, top, key, batch.column(1).to_numpy() if batch.num_columns > 1 else None)
         at = np.concatenate(held)
         at.sort()
         blocks, first = np.unique(at >> np.uint64(low), return_index=True)
@@ -146,26 +146,33 @@ def bitmap(keys: DataFrame, count: int, split: int) -> Bitmap:
     return Bitmap(bits, top, data.ravel())
 
 
-def passes(made: Bitmap, keys: np.ndarray, mark: int = 0) -> np.ndarray:
+def passes(made: Bitmap, keys: np.ndarray, home: np.ndarray | None = None) -> np.ndarray:
     out = np.ones(len(keys), np.uint8)
-    for p in places(made.bits, made.top, keys, mark):
+    for p in places(made.bits, made.top, keys, home):
         out &= made.data[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)
     return (out & np.uint8(1)).astype(bool)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, Phrases]]:
-    """(first row, last row, phrases) of some rows of a batch."""
+def homes(row: np.ndarray) -> np.ndarray:
+    """The file of the corpus that each row lies in, as a number: the task that dealt it out, and its shard."""
+    return (row >> np.uint64(33)) * np.uint64(SHARDS) + row % np.uint64(SHARDS)  # the upper bits of Spark's rising ids are the task
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Phrases]]:
+    """The numbers and the phrases of some rows of a batch (tongue, text, row), all of one home."""
     for batch in batches:
-        tongue = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        for lo, hi, data, offs in X.pieces(batch):
-            yield lo, hi, Phrases(data, offs, tongue[lo:hi])
+        tongue, row = (batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in (0, 2))
+        cuts = [0, *(np.flatnonzero(np.diff(homes(row))) + 1).tolist(), len(row)]
+        for a, b in zip(cuts, cuts[1:]):
+            for lo, hi, data, offs in X.pieces(batch.slice(a, b - a)):
+                yield row[a + lo : a + hi], Phrases(data, offs, tongue[a + lo : a + hi])
 
 
-SCAN = "n int, part int, grams binary, counts binary"
+SCAN = "n int, home int, part int, grams binary, counts binary"
 
 
 def scanned(shard: DataFrame, lengths: list[int], bits: int, active: Callable[[int, Phrases], np.ndarray]) -> DataFrame:
-    """SCAN: the phrases of these lengths that active() marks and how often a batch of texts holds them, for each part of the hash range.
+    """SCAN: the phrases of these lengths that active() marks and how often a batch of texts of one home holds them, for each part of the hash range.
 
     With length 1 also how many words a language has, under n 0 and its hash.
     """
@@ -173,7 +180,7 @@ def scanned(shard: DataFrame, lengths: list[int], bits: int, active: Callable[[i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {n: [] for n in [0, *lengths]}
         edges = np.array([i << (64 - bits) for i in range(1, 1 << bits)], np.uint64)
-        size = 0
+        size, home = 0, None
 
         def flush() -> Iterator[pa.RecordBatch]:
             for n, own in held.items():
@@ -184,21 +191,23 @@ def scanned(shard: DataFrame, lengths: list[int], bits: int, active: Callable[[i
                 bounds = np.concatenate([[0], np.searchsorted(key, edges), [len(key)]])
                 parts = np.flatnonzero(np.diff(bounds))
                 packed = [(pack_sorted(key[bounds[i] : bounds[i + 1]]), pack(c[bounds[i] : bounds[i + 1]])) for i in parts]
-                columns = [pa.array(np.full(len(parts), n, np.int32)), pa.array(parts.astype(np.int32)), *[pa.array([x[k] for x in packed], pa.binary()) for k in (0, 1)]]
-                yield pa.RecordBatch.from_arrays(columns, ["n", "part", "grams", "counts"])
+                columns = [*[pa.array(np.full(len(parts), x, np.int32)) for x in (n, home)], pa.array(parts.astype(np.int32)), *[pa.array([x[k] for x in packed], pa.binary()) for k in (0, 1)]]
+                yield pa.RecordBatch.from_arrays(columns, ["n", "home", "part", "grams", "counts"])
 
-        for _, _, p in _pieces(batches):
+        for row, p in _pieces(batches):
+            at = int(homes(row[:1])[0])
+            if size >= block or at != home:
+                yield from flush()
+                size, home = 0, at
             for n in lengths:
                 held[n].append(p.key[n][active(n, p)])
             if 1 in lengths:
                 held[0].append(p.tongue)
             size += len(p.tongue)
-            if size >= BLOCK:
-                yield from flush()
-                size = 0
         yield from flush()
 
-    return shard.select("tongue", "text").mapInArrow(run, SCAN)
+    block = BLOCK
+    return shard.select("tongue", "text", "row").mapInArrow(run, SCAN)
 
 
 # -- dynamic counting ----------------------------------------------------------------------------------
@@ -208,26 +217,27 @@ def totals(scans: dict[int, DataFrame], least: int, looks: list[int]) -> DataFra
     """key, f, reached, home of the phrases of scans (SCAN rows by number of the scan) that have come to ``least``.
 
     f: the count over all shards scanned so far; reached: the scan after which that was seen, of those in looks, which
-    rise; home: a shard that holds the phrase.  A shard that two scans have counted, because a bitmap let a phrase pass, counts once.  A group is a
+    rise; home: one that holds the phrase.  A shard that two scans have counted, because a bitmap let a phrase pass, counts once.  A group is a
     part of the hash range, of a bounded share of the corpus; a frequent phrase has an entry for each batch in it.
     """
     rows, shards = None, SHARDS
     for t, own in scans.items():
-        own = own.select("part", "grams", "counts", F.lit(t).alias("t"))
+        own = own.select("part", "home", "grams", "counts", F.lit(t).alias("t"))
         rows = own if rows is None else rows.unionByName(own)
 
     def count(table: pa.Table) -> pa.Table:
         grams = [unpack_sorted(x.as_py()) for x in table["grams"]]
-        at = np.repeat(table["t"].to_numpy(), [len(k) for k in grams])
+        entry = np.repeat(np.arange(len(grams), dtype=np.int32), [len(k) for k in grams])
         key = np.concatenate(grams)
         grams.clear()
         c = np.concatenate([unpack(x.as_py()).astype(np.int64) for x in table["counts"]])
         # most phrases are rare: those whose low bits don't come to ``least`` together need no sort
         low = key & np.uint64((1 << max(10, len(key).bit_length() - 1)) - 1)
         may = np.flatnonzero(np.bincount(low.view(np.int64), c)[low] >= least)
-        at, c = at[may], c[may]
-        key, index = np.unique(key[may], return_inverse=True)
-        f, reached, home = np.zeros(len(key), np.int64), np.full(len(key), -1, np.int32), np.full(len(key), -1, np.int32)
+        entry, c = entry[may], c[may]
+        key, first, index = np.unique(key[may], return_index=True, return_inverse=True)
+        home, at = table["home"].to_numpy()[entry[first]], table["t"].to_numpy()[entry]
+        f, reached = np.zeros(len(key), np.int64), np.full(len(key), -1, np.int32)
         seen: dict[int, np.ndarray] = {}
         for t in np.unique(at).tolist():
             own = np.bincount(index[at == t], c[at == t], len(key)).astype(np.int64)
@@ -236,7 +246,6 @@ def totals(scans: dict[int, DataFrame], least: int, looks: list[int]) -> DataFra
             f += own if before is None else np.maximum(own - before, 0)
             seen[shard] = own if before is None else np.maximum(own, before)
             reached[(reached < 0) & (f >= least)] = t
-            home[(home < 0) & (own > 0)] = shard
         kept = np.flatnonzero(f >= least)
         seen_at = np.array(looks, np.int32)[np.searchsorted(looks, reached[kept])]
         return pa.Table.from_arrays([X.longs(key[kept]), pa.array(f[kept]), pa.array(seen_at), pa.array(home[kept])], ["key", "f", "reached", "home"])
@@ -317,32 +326,29 @@ def counted(corpus: DataFrame, split: int) -> dict[int, DataFrame]:
 
 #: Phrases that a task remembers to have given out, a power of 2.
 GIVEN = 1 << 17
-#: For each shard what its phrases' places in a bitmap differ by: there a key is looked for in its home alone.
-MARKS = [int(m) & ((1 << 40) - 1) for m in X.mix(np.arange(1, SHARDS + 1, dtype=np.uint64))]
 PARTS = "key long, n int, home int, a long, tongue long, row long, lefts array<long>, rights array<long>"
 
 
 def marked(candidates: DataFrame, split: int) -> dict[int, Bitmap]:
-    """A bitmap a length of candidates (n, key, home)."""
+    """A bitmap a length of candidates (n, key, home): a key is looked for at its home alone."""
     count = {r["n"]: r["count"] for r in candidates.groupBy("n").count().collect()}  # a row a length
-    at_home = candidates.select("n", "key", F.get(F.array(*[F.lit(m) for m in MARKS]), F.col("home")).alias("mark"))
-    return {n: bitmap(at_home.where(F.col("n") == n).select("key", "mark"), count.get(n, 0), split) for n in range(2, LONGEST + 1)}
+    return {n: bitmap(candidates.where(F.col("n") == n).select("key", "home"), count.get(n, 0), split) for n in range(2, LONGEST + 1)}
 
 
-def _at_home(p: Phrases, n: int, made: Bitmap, mark: int, given: np.ndarray) -> np.ndarray:
-    """The places of the phrases of n words that may be in a bitmap of marked(), the first of each; given: what has been
+def _at_home(p: Phrases, row: np.ndarray, n: int, made: Bitmap, given: np.ndarray) -> np.ndarray:
+    """The places of the phrases of n words of these rows that may be in a bitmap of marked(), the first of each; given: what has been
     given out lately, by low bits, is left out."""
     at = np.flatnonzero(p.there[n])
     key = p.key[n][at]
     low = (key & np.uint64(len(given) - 1)).astype(np.int64)
     new = np.flatnonzero(given[low] != key)
-    new = new[passes(made, key[new], mark)]
+    new = new[passes(made, key[new], homes(row[:1]))]
     given[low[new]] = key[new]
     return at[new[np.unique(key[new], return_index=True)[1]]]
 
 
 def taken_apart(corpus: DataFrame, candidates: DataFrame, split: int) -> DataFrame:
-    """PARTS of candidates (n, key, home, a): a row of the corpus that holds the phrase, its shard as home, and the keys of
+    """PARTS of candidates (n, key, home, a): a row of the corpus that holds the phrase, its home, and the keys of
     both parts of each cut.
 
     lefts and rights: of the cut after the first word, the second and so on.  The parts of the hash range meet their
@@ -350,7 +356,7 @@ def taken_apart(corpus: DataFrame, candidates: DataFrame, split: int) -> DataFra
     """
     shipped, limit = corpus.sparkSession.sparkContext.broadcast(marked(candidates, split)), BLOCK
 
-    def run(mark: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {n: [] for n in range(2, LONGEST + 1)}
         given = {n: np.zeros(GIVEN, np.uint64) for n in held}
         edges = np.array([i << (64 - split) for i in range(1, 1 << split)], np.uint64)
@@ -368,15 +374,13 @@ def taken_apart(corpus: DataFrame, candidates: DataFrame, split: int) -> DataFra
                 packed = [np.ascontiguousarray(rows[:, bounds[i] : bounds[i + 1]]).tobytes() for i in parts]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), n, np.int32)), pa.array(parts.astype(np.int32)), pa.array(packed, pa.binary())], ["n", "part", "links"])
 
-        for batch in batches:
-            row = batch.column(2).to_numpy().view(np.uint64)
-            for lo, hi, p in _pieces([batch]):
-                text = np.repeat(row[lo:hi], np.diff(p.words.first))
-                for n in held:
-                    at = _at_home(p, n, shipped.value[n], mark, given[n])
-                    lefts, rights = [p.key[k][at] for k in range(1, n)], [p.key[n - k][at + k] for k in range(1, n)]
-                    held[n].append(np.stack([p.key[n][at], p.tongue[at], text[at], *lefts, *rights]))
-                    size += held[n][-1].size
+        for row, p in _pieces(batches):
+            text = np.repeat(row, np.diff(p.words.first))
+            for n in held:
+                at = _at_home(p, row, n, shipped.value[n], given[n])
+                lefts, rights = [p.key[k][at] for k in range(1, n)], [p.key[n - k][at + k] for k in range(1, n)]
+                held[n].append(np.stack([p.key[n][at], p.tongue[at], text[at], *lefts, *rights]))
+                size += held[n][-1].size
             if size >= limit:
                 yield from flush()
                 size = 0
@@ -390,15 +394,12 @@ def taken_apart(corpus: DataFrame, candidates: DataFrame, split: int) -> DataFra
         key, a = wanted["key"].to_numpy().view(np.uint64), wanted["a"].to_numpy()
         _, here, there = np.intersect1d(rows[0], key, return_indices=True)
         rows, cuts = rows[:, here], np.arange(len(here) + 1) * (n - 1)
-        home = (rows[2] % np.uint64(SHARDS)).astype(np.int32)  # a full bitmap lets a phrase pass elsewhere too
+        home = homes(rows[2]).astype(np.int32)  # a full bitmap lets a phrase pass elsewhere too
         columns = [X.longs(rows[0]), pa.array(np.full(len(here), n, np.int32)), pa.array(home), pa.array(a[there]), X.longs(rows[1]), X.longs(rows[2])]
         return pa.Table.from_arrays([*columns, X.long_lists(rows[3 : n + 2].T.ravel(), cuts), X.long_lists(rows[n + 2 :].T.ravel(), cuts)], schema=kinds)
 
     kinds = pa.schema([(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "array<long>": pa.list_(pa.int64())}[c.split()[1]]) for c in PARTS.split(", ")])
-    links = None
-    for s, mark in enumerate(MARKS):
-        own = corpus.where(F.col("shard") == s).select("tongue", "text", "row").mapInArrow(partial(run, mark), "n int, part int, links binary")
-        links = own if links is None else links.unionByName(own)
+    links = corpus.select("tongue", "text", "row").mapInArrow(run, "n int, part int, links binary")
     part = F.shiftrightunsigned("key", 64 - split).cast("int") if split else F.lit(0)
     return links.groupBy("n", "part").cogroup(candidates.withColumn("part", part).groupBy("n", "part")).applyInArrow(meet, PARTS)
 
@@ -408,19 +409,16 @@ def spelled(corpus: DataFrame, chosen: DataFrame) -> DataFrame:
     shipped = corpus.sparkSession.sparkContext.broadcast(marked(chosen, 0))
     may = possible_natively(chosen.select(F.xxhash64("row").alias("h")))
 
-    def run(mark: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = {n: np.zeros(GIVEN, np.uint64) for n in shipped.value}
-        for _, _, p in _pieces(batches):
+        for row, p in _pieces(batches):
             raw, w = p.words.data.tobytes(), p.words
             for n, made in shipped.value.items():
-                at = _at_home(p, n, made, mark, given[n])
+                at = _at_home(p, row, n, made, given[n])
                 phrase = [b" ".join(raw[x:y].split()).decode() for x, y in zip(w.starts[at].tolist(), w.ends[at + n - 1].tolist())]
                 yield pa.RecordBatch.from_arrays([X.longs(p.key[n][at]), pa.array(phrase, pa.string())], ["key", "phrase"])
 
-    phrases = None
-    for s, mark in enumerate(MARKS):
-        own = corpus.where(F.col("shard") == s).where(may(F.xxhash64("row"))).select("tongue", "text").mapInArrow(partial(run, mark), "key long, phrase string")
-        phrases = own if phrases is None else phrases.unionByName(own)
+    phrases = corpus.where(may(F.xxhash64("row"))).select("tongue", "text", "row").mapInArrow(run, "key long, phrase string")
     return phrases.dropDuplicates(["key"])
 
 
